@@ -39,7 +39,7 @@ def _(src):
         df.write.insertInto(f"{raw}.{name}", overwrite=True)
     stored = {name: src.spark.table(f"{raw}.{name}") for name in S.TABLES}
     width = F.create_map(*[F.lit(x) for name, df in stored.items() for x in (name, len(df.columns))])
-    return load_counts(stored).withColumn("width", F.get(F.array(F.element_at(width, F.col("table_name"))), F.lit(0)))
+    return load_counts(stored).withColumn("width", F.element_at(width, F.col("table_name")))
 
 
 @query("table_write", _ALL_SOURCE)

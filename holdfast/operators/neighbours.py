@@ -19,9 +19,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast.operators.skew import split_heavy_join
+from holdfast.session import store
 
 SALTS = 256
-PIVOTS = 64
+MOST_PIVOTS = 256
+ROWS_PER_CELL = 512
 BLOCK_ROWS = 2048
 SLACK = 1e-9
 FEW_CELLS = 100_000
@@ -110,7 +112,7 @@ def _best_in_block(k: int):
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
         asking, held = pdf[pdf["visitor"] == 1], pdf[pdf["visitor"] == 0]
         if asking.empty or held.empty:
-            return pd.DataFrame({"rep": [], "found": []})
+            return pd.DataFrame({"rep": [], "dist": [], "id": [], "vec": []})
         q, m = np.stack(asking["vec"].to_numpy()), np.stack(held["vec"].to_numpy())
         ids = held["ids"].to_numpy()
         lowest = held["rep"].to_numpy()
@@ -125,12 +127,14 @@ def _best_in_block(k: int):
         order = np.lexsort((lowest[cols], exact, rows))
         rows, cols, exact = rows[order], cols[order], exact[order]
         starts = np.searchsorted(rows, np.arange(len(q)))
-        found = [
-            [{"dist": float(exact[j]), "id": one, "vec": m[cols[j]].tolist()}
-             for j in range(s, s + take) for one in ids[cols[j]]]
-            for s in starts
-        ]
-        return pd.DataFrame({"rep": asking["rep"].to_numpy(), "found": found})
+        # The first ``take`` candidates of each row, then one output row per id of a candidate vector.
+        best = (starts[:, None] + np.arange(take)[None, :]).ravel()
+        copies = np.array([len(ids[c]) for c in cols[best]])
+        rows, cols, exact = (np.repeat(a[best], copies) for a in (rows, cols, exact))
+        found = np.concatenate([ids[c] for c in cols[np.r_[0, np.cumsum(copies)[:-1]]]])
+        return pd.DataFrame({
+            "rep": asking["rep"].to_numpy()[rows], "dist": exact, "id": found, "vec": list(m[cols]),
+        })
 
     return best
 
@@ -141,22 +145,25 @@ def nearest_neighbours(
     id_col: str = "customer_id",
     class_col: str = "label",
     vector_col: str = "features",
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(id, class, vec, neighbours): the k nearest other rows of the same class, nearest first, ties by id.
 
-    ``neighbours`` is an array of (dist, id, vec).
+    ``neighbours`` is an array of (dist, id, vec). The number of pivots follows the size of the classes unless given.
     """
-    distinct = distinct_vectors(df, k, id_col, class_col, vector_col).persist()
-    points = _pivots(distinct, pivots)
+    distinct = store(distinct_vectors(df, k, id_col, class_col, vector_col), "vectors")
     facts = distinct.agg(
-        F.approx_count_distinct("cls").alias("classes"), F.max(F.size("ids")).alias("copies")
+        F.approx_count_distinct("cls").alias("classes"), F.max(F.size("ids")).alias("copies"),
+        F.count(F.lit(1)).alias("rows"),
     ).first()
-    few_classes = (facts["classes"] or 0) * max(len(points), 1) <= FEW_CELLS
+    if pivots is None:
+        pivots = min(MOST_PIVOTS, 1 + facts["rows"] // (ROWS_PER_CELL * max(1, facts["classes"])))
+    points = _pivots(distinct, pivots)
+    few_classes = facts["classes"] * pivots <= FEW_CELLS
     kinds = dict(distinct.dtypes)
 
-    assigned = _assign(distinct, points)
+    assigned = store(_assign(distinct, points), "cells")
     visits = _visits(assigned, k, few_classes)
     # Members and visitors of a cell are both cut by hash, so a block is about ``block_rows`` on either side.
     load = visits.groupBy("cls", "cell").agg(F.count(F.lit(1)).alias("visitors"), F.first("rows").alias("rows")).select(
@@ -176,9 +183,10 @@ def nearest_neighbours(
         F.lit(1).alias("visitor"), "rep", "vec", F.lit(None).cast(kinds["ids"]).alias("ids"),
     )
     blocks = members.unionByName(visitors).groupBy("cls", "cell", "mcut", "vcut")
-    found_type = f"array<struct<dist: double, id: {kinds['rep']}, vec: array<double>>>"
-    partial = blocks.applyInPandas(_best_in_block(k), f"rep {kinds['rep']}, found {found_type}")
-    merged = partial.groupBy("rep").agg(F.flatten(F.collect_list("found")).alias("found"))
+    partial = blocks.applyInPandas(
+        _best_in_block(k), f"rep {kinds['rep']}, dist double, id {kinds['rep']}, vec array<double>"
+    )
+    merged = partial.groupBy("rep").agg(F.collect_list(F.struct("dist", "id", "vec")).alias("found"))
     # k others and one entry for the row itself.
     shortlist = merged.select("rep", F.slice(F.array_sort("found"), 1, k + 1).alias("found"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from holdfast.functions import columns as C
 from holdfast.operators.quantiles import exact_quantiles
 from holdfast.operators.skew import split_heavy_join
+from holdfast.session import store
 
 PERIOD_DAYS = 30
 KINDS = {"calls": "call", "sms": "sms", "data_sessions": "data", "complaints": "complaint"}
@@ -93,7 +94,7 @@ def data_by_internet(cdr: DataFrame, services: DataFrame) -> DataFrame:
     sessions = cdr.filter(F.col("event_type") == "data").select("customer_id", "data_mb")
     lookup = services.select("customer_id", "internet_service").filter(F.col("internet_service").isNotNull())
     joined = split_heavy_join(sessions, lookup, "customer_id")
-    sized = joined.groupBy("internet_service", "data_mb").agg(F.count(F.lit(1)).alias("n")).persist()
+    sized = store(joined.groupBy("internet_service", "data_mb").agg(F.count(F.lit(1)).alias("n")), "sessions")
     counts = sized.filter(F.col("data_mb").isNotNull()).select(
         "internet_service", F.lit("data_mb").alias("metric"), F.col("data_mb").cast("double").alias("value"), "n"
     )

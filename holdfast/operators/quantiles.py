@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from holdfast.session import small_table, store
+
 RANGES = 64
+ONE_RANGE_ROWS = 1_000_000
 
 
 def value_counts(df: DataFrame, columns: list[str], groups: tuple[str, ...] = ()) -> DataFrame:
@@ -23,16 +26,19 @@ def value_counts(df: DataFrame, columns: list[str], groups: tuple[str, ...] = ()
 
 
 def with_ranges(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
-    """Add an order-preserving range number per metric.
+    """Add an order-preserving range number per metric to a stored table.
 
-    One row of ``ranges - 1`` numbers per metric reaches the driver; as literals they are the same in every branch and
+    A table of few distinct values, by count, is one range. Otherwise one row of ``ranges - 1`` numbers per metric reaches the driver; as literals they are the same in every branch and
     every retry of the query.
     """
-    spark = counts.sparkSession
+    if counts.count() <= ONE_RANGE_ROWS:
+        return counts.withColumn("part", F.lit(0))
     fractions = [i / ranges for i in range(1, ranges)]
     rows = counts.groupBy("metric").agg(F.percentile_approx("value", fractions, 20 * ranges).alias("splits")).collect()
-    splits = spark.createDataFrame(
-        [(r["metric"], sorted(set(r["splits"]))) for r in rows], "metric string, splits array<double>"
+    splits = small_table(
+        counts.sparkSession,
+        {"metric": [r["metric"] for r in rows], "splits": [sorted(set(r["splits"])) for r in rows]},
+        "metric string, splits array<double>",
     )
     # One row per metric name: bounded by the caller's column list.
     tagged = counts.join(F.broadcast(splits), "metric")
@@ -61,8 +67,11 @@ def exact_quantiles(
     groups: tuple[str, ...] = (),
     counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Linearly interpolated quantiles, one row per (groups, metric) and one column per named probability."""
-    counts = value_counts(df, columns, groups) if counts is None else counts
+    """Linearly interpolated quantiles, one row per (groups, metric) and one column per named probability.
+
+    ``counts`` may pass a stored result of ``value_counts``.
+    """
+    counts = store(value_counts(df, columns, groups), "value-counts") if counts is None else counts
     keys = (*groups, "metric")
     ranged = with_ranges(counts)
     offsets = range_offsets(ranged, keys, ["n"])
@@ -116,7 +125,7 @@ def fill_median(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
 
 def running_sums(df: DataFrame, value: str, sums: list[str], descending: bool = True) -> DataFrame:
     """Inclusive running sums over distinct values. ``df`` holds one row per value."""
-    counts = df.select(F.lit(value).alias("metric"), F.col(value).cast("double").alias("value"), *sums)
+    counts = store(df.select(F.lit(value).alias("metric"), F.col(value).cast("double").alias("value"), *sums), "sums")
     ranged = with_ranges(counts)
     offsets = range_offsets(ranged, (), sums, descending)
     # At most RANGES rows.

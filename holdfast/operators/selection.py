@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast import schemas as S
+from holdfast.session import small_table
 
 
 def filter_eq(df: DataFrame, **wanted: object) -> DataFrame:
@@ -58,4 +59,5 @@ def distinct_options(df: DataFrame, name: str) -> DataFrame:
 def value_domain(spark: SparkSession, name: str, values: list) -> DataFrame:
     """A fixed list of values with their positions."""
     kind = "int" if values and isinstance(values[0], int) else "string"
-    return spark.createDataFrame(list(enumerate(values)), f"ordinal int, {name} {kind}")
+    columns = {"ordinal": list(range(len(values))), name: values}
+    return small_table(spark, columns, f"ordinal int, {name} {kind}")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from holdfast import schemas as S
 from holdfast.operators.quantiles import exact_quantiles, value_counts
+from holdfast.session import small_table, store
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -14,20 +15,23 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 def numeric_summary(df: DataFrame, columns: list[str] | None = None, decimals: int = 2) -> DataFrame:
     """count, mean, std, min, quartiles and max per column, one row per column."""
     columns = columns or S.SUMMARY_COLUMNS
-    counts = value_counts(df, columns).persist()
-    means = counts.groupBy("metric").agg(
+    counts = store(value_counts(df, columns), "value-counts")
+    quartiles = exact_quantiles(df, columns, QUARTILES, counts=counts)
+    # Moments around the median, which is never further than one deviation from the mean: no cancellation.
+    gap = F.col("value") - F.col("median")
+    # One row per column of the list.
+    moments = counts.join(F.broadcast(quartiles), "metric").groupBy("metric", *QUARTILES).agg(
         F.sum("n").alias("count"),
-        (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("mean"),
+        F.sum(F.col("n") * gap).alias("first"),
+        F.sum(F.col("n") * gap * gap).alias("second"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    # One row per column of the list.
-    spread = counts.join(F.broadcast(means), "metric").groupBy("metric").agg(
-        F.sqrt(F.try_divide(F.sum(F.col("n") * (F.col("value") - F.col("mean")) ** 2), F.max("count") - 1)).alias("std")
-    )
-    quartiles = exact_quantiles(df, columns, QUARTILES, counts=counts)
+    mean = F.col("median") + F.col("first") / F.col("count")
+    spread = F.col("second") - F.col("first") * F.col("first") / F.col("count")
+    std = F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), F.col("count") - 1))
     figures = ["mean", "std", "min", "q1", "median", "q3", "max"]
-    return means.join(spread, "metric").join(quartiles, "metric").select(
+    return moments.withColumns({"mean": mean, "std": std}).select(
         "metric", "count", *[F.round(c, decimals).alias(c) for c in figures]
     )
 
@@ -41,22 +45,30 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def schema_profile(df: DataFrame) -> DataFrame:
     """Position, name and type of each column with the number of rows of the table."""
-    spark = df.sparkSession
-    fields = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    described = spark.createDataFrame(fields, "position int, column_name string, data_type string")
+    fields = df.schema.fields
+    described = small_table(
+        df.sparkSession,
+        {
+            "position": list(range(len(fields))),
+            "column_name": [f.name for f in fields],
+            "data_type": [f.dataType.simpleString() for f in fields],
+        },
+        "position int, column_name string, data_type string",
+    )
     return described.withColumn("row_count", df.agg(F.count(F.lit(1))).scalar())
 
 
 def correlation(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson coefficient of each pair of columns (lower triangle), each over the rows where both are present."""
     columns = columns or S.CORRELATION_COLUMNS
-    pairs = list(combinations(columns, 2))
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    wide = numeric.agg(*[F.corr(x, y).alias(f"{y}|{x}") for x, y in pairs])
-    long = wide.unpivot([], wide.columns, "pair", "r")
-    return long.select(
-        F.split_part("pair", F.lit("|"), F.lit(1)).alias("x"), F.split_part("pair", F.lit("|"), F.lit(2)).alias("y"), "r"
-    )
+    # One small aggregate over (pair, a, b) rows: they are summed where they arise, and the code stays compact. An
+    # aggregate per pair in one row is twice as slow.
+    pairs = [
+        F.struct(F.lit(y).alias("x"), F.lit(x).alias("y"), F.col(y).alias("a"), F.col(x).alias("b"))
+        for x, y in combinations(columns, 2)
+    ]
+    return numeric.select(F.inline(F.array(*pairs))).groupBy("x", "y").agg(F.corr("a", "b").alias("r"))
 
 
 def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 10) -> DataFrame:
@@ -89,9 +101,11 @@ def density(df: DataFrame, columns: list[str] | None = None, points: int = 200,
     are weighted distinct values, so the work is distinct values times grid points, summed map-side.
     """
     columns = columns or S.DISTRIBUTION_COLUMNS
-    classes = value_counts(df, columns, ("churn",)).select(F.col("churn").alias("subset"), "metric", "value", "n")
-    everyone = value_counts(df, columns).select(F.lit("all").alias("subset"), "metric", "value", "n")
-    weighted = everyone.unionByName(classes).persist()
+    # One scan: counts per class, then the classes added up. Rows without a class only count overall.
+    labelled = df.select(F.coalesce("churn", F.lit("")).alias("subset"), *columns)
+    classes = store(value_counts(labelled, columns, ("subset",)), "value-counts")
+    everyone = classes.groupBy(F.lit("all").alias("subset"), "metric", "value").agg(F.sum("n").alias("n"))
+    weighted = everyone.unionByName(classes.filter(F.col("subset") != ""))
     keys = ["subset", "metric"]
     means = weighted.groupBy(*keys).agg(
         F.sum("n").alias("total"),
@@ -121,7 +135,7 @@ def density(df: DataFrame, columns: list[str] | None = None, points: int = 200,
 
 def box_stats(df: DataFrame, columns: list[str], groups: tuple[str, ...]) -> DataFrame:
     """Quartiles, whisker ends (furthest value within 1.5 interquartile ranges) and the number of points outside."""
-    counts = value_counts(df, columns, groups).persist()
+    counts = store(value_counts(df, columns, groups), "value-counts")
     keys = [*groups, "metric"]
     quartiles = exact_quantiles(df, columns, QUARTILES, groups, counts)
     spread = F.col("q3") - F.col("q1")

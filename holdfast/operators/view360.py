@@ -54,17 +54,17 @@ def join_usage(customers: DataFrame, totals: DataFrame) -> DataFrame:
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in measures})
 
 
-def usage_monthly_avg(df: DataFrame) -> DataFrame:
-    return df.withColumns({
+def monthly_averages() -> dict[str, Column]:
+    return {
         "avg_monthly_call_mins": C.monthly_average(F.col("total_call_mins"), F.col("tenure")),
         "avg_monthly_data_mb": C.monthly_average(F.col("total_data_mb"), F.col("tenure")),
-    })
+    }
 
 
 def customer_360(crm: DataFrame, services: DataFrame, billing: DataFrame, cdr: DataFrame) -> DataFrame:
     customers = join_sources(crm.drop("zip_code"), services, billing)
-    wide = usage_monthly_avg(join_usage(customers, usage_totals(cdr)))
-    return wide.withColumns({
+    return join_usage(customers, usage_totals(cdr)).withColumns({
+        **monthly_averages(),
         "tenure_segment": C.tenure_segment(),
         "num_services": C.num_services(),
         "revenue_at_risk": C.revenue_at_risk(),

@@ -48,7 +48,11 @@ def sampled_shapley(
     to its margin minus the mean margin of the background rows used. Partial sums stay with the customer.
     """
     width = len(names)
-    customers = rows.select("customer_id", vector_to_array("features").alias("x"))
+    # Each row grows by permutations times features, so the rows are spread over all cores first, whatever the size of
+    # the files they come from. The final sum groups by customer and reuses this partitioning.
+    spark = rows.sparkSession
+    spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    customers = rows.select("customer_id", vector_to_array("features").alias("x")).repartition(spread, "customer_id")
     drawn = customers.select(
         "customer_id", "x", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("draw")
     ).withColumn("base", F.get(F.lit(background), F.col("draw") % len(background)))

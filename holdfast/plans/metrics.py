@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.operators.quantiles import running_sums
+from holdfast.session import small_table
 
 OUTCOMES = {0: "Retained", 1: "Churned"}
 
@@ -37,7 +38,8 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> Data
         F.try_divide(F.col("negatives_upto").cast("double"), F.col("negatives_total").cast("double")).alias("fpr"),
         F.try_divide(F.col("positives_upto").cast("double"), F.col("positives_total").cast("double")).alias("tpr"),
     )
-    origin = df.sparkSession.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")
+    start = {"threshold": [float("inf")], "fpr": [0.0], "tpr": [0.0]}
+    origin = small_table(df.sparkSession, start, "threshold double, fpr double, tpr double")
     return origin.unionByName(points)
 
 

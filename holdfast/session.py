@@ -3,7 +3,8 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -33,8 +34,25 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="holdfast-")
     spark.conf.set("spark.checkpoint.dir", local)
+    spark.sparkContext.setCheckpointDir(local)
     return local
 
 
+def small_table(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:
+    """A few literal rows as a local relation, whose size the optimizer knows."""
+    return spark.createDataFrame(pa.table(columns), schema=schema)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/holdfast/{name}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    For a result that several branches of a query use: it is computed once, its lineage ends there, and losing an
+    executor loses nothing.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

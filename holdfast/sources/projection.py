@@ -3,10 +3,12 @@
 The SQL is plain enough to mean the same in Spark and in the checking engine, so both sides see the same rows.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from holdfast.operators.view360 import customer_360
 
@@ -76,11 +78,13 @@ def projection_text(name: str) -> str:
     return PROJECTIONS[name].format(**{t: t for t in BASE_TABLES})
 
 
-def project_tables(spark: SparkSession, base: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        name: spark.sql(text, **{t: df for t, df in base.items() if "{" + t + "}" in text})
-        for name, text in PROJECTIONS.items()
-    }
+def project(name: str, spark: SparkSession, base: Callable[[str], DataFrame]) -> DataFrame:
+    text = PROJECTIONS[name]
+    return spark.sql(text, **{t: base(t) for t in BASE_TABLES if "{" + t + "}" in text})
+
+
+# Footers are read once per session for the given tables, which do not change.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
 @dataclass
@@ -91,27 +95,31 @@ class SourceTables:
     folder: str
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
-    @cached_property
+    @property
     def tables(self) -> dict[str, DataFrame]:
-        return project_tables(self.spark, {t: self.raw(t) for t in BASE_TABLES})
+        return {"crm": self.crm, "services": self.services, "billing": self.billing, "cdr": self.cdr}
 
-    @property
+    @cached_property
     def crm(self) -> DataFrame:
-        return self.tables["crm"]
+        return project("crm", self.spark, self.raw)
 
-    @property
+    @cached_property
     def services(self) -> DataFrame:
-        return self.tables["services"]
+        return project("services", self.spark, self.raw)
 
-    @property
+    @cached_property
     def billing(self) -> DataFrame:
-        return self.tables["billing"]
+        return project("billing", self.spark, self.raw)
 
-    @property
+    @cached_property
     def cdr(self) -> DataFrame:
-        return self.tables["cdr"]
+        return project("cdr", self.spark, self.raw)
 
     @cached_property
     def view(self) -> DataFrame:

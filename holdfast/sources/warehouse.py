@@ -27,15 +27,18 @@ def table_write(df: DataFrame, table: str, buckets: int = 0, key: str = "custome
     With ``buckets`` the rows are stored hashed and sorted by the key: tables with the same number of buckets then join
     without a shuffle.
     """
-    writer = df.write.mode("overwrite").format("parquet")
     if buckets:
-        writer = writer.bucketBy(buckets, key).sortBy(key)
-    writer.saveAsTable(table)
+        # One task per bucket, so one file per bucket.
+        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    else:
+        writer = df.write
+    writer.mode("overwrite").format("parquet").saveAsTable(table)
 
 
 def load_sources(tables: dict[str, DataFrame], raw: str = "raw", buckets: int = 0) -> None:
     for name, df in tables.items():
-        table_write(df, f"{raw}.{name}", buckets)
+        # Keys are unique, so buckets are even; events go by their own id, not by customer.
+        table_write(df, f"{raw}.{name}", buckets, S.TABLE_KEYS[name])
 
 
 def with_event_day(cdr: DataFrame) -> DataFrame:
@@ -45,11 +48,10 @@ def with_event_day(cdr: DataFrame) -> DataFrame:
 def table_append(cdr: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
     """Append events, one folder per event day.
 
-    Rows are spread by (day, hash of the event) first: each task writes few files, and a day that holds a large part of
-    all events is still written by many tasks.
+    The rows are rebalanced by day first: adaptive execution joins small days into one task and splits a large day over
+    many, by measured size.
     """
-    dated = with_event_day(cdr).withColumn("_slice", F.pmod(F.xxhash64("event_id"), F.lit(32)))
-    spread = dated.repartition(F.col("event_day"), F.col("_slice")).drop("_slice")
+    spread = with_event_day(cdr).hint("rebalance", F.col("event_day"))
     spread.write.mode("append").option("maxRecordsPerFile", rows_per_file).partitionBy("event_day").parquet(path)
 
 

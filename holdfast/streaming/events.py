@@ -73,3 +73,12 @@ def latest_totals(spark: SparkSession, target: str) -> DataFrame:
     measures = [c for c in changes.columns if c not in ("customer_id", "batch_id")]
     newest = changes.groupBy("customer_id").agg(F.max_by(F.struct(*measures), "batch_id").alias("row"))
     return newest.select("customer_id", "row.*")
+
+
+def compact_totals(spark: SparkSession, target: str, compacted: str) -> str:
+    """Write the newest rows as one batch into a fresh folder, for readers to switch to and batches to go on in.
+
+    Run it while no batch is active. The compacted rows count as older than every batch, also than a repeated one.
+    """
+    latest_totals(spark, target).write.mode("overwrite").parquet(f"{compacted}/batch_id=-1")
+    return compacted

@@ -72,14 +72,19 @@ def correlation(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 10) -> DataFrame:
-    """Equal-width bins between the smallest and largest value; the largest value belongs to the last bin."""
+    """Equal-width bins between the smallest and largest value; the largest value belongs to the last bin.
+
+    A column with a single value gets bins of half a unit to either side of it.
+    """
     columns = columns or S.DISTRIBUTION_COLUMNS
     counts = value_counts(df, columns)
     limits = counts.groupBy("metric").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    flat = F.when(F.col("low") == F.col("high"), 0.5).otherwise(0.0)
+    limits = limits.select("metric", (F.col("low") - flat).alias("low"), (F.col("high") + flat).alias("high"))
     # One row per column of the list.
     placed = counts.join(F.broadcast(limits), "metric")
-    raw = F.floor(F.try_divide(F.col("value") - F.col("low"), F.col("high") - F.col("low")) * bins)
-    bin_index = F.coalesce(F.least(raw, F.lit(bins - 1)), F.lit(0)).cast("int")
+    place = F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * bins)
+    bin_index = F.least(place, F.lit(bins - 1)).cast("int")
     width = (F.col("high") - F.col("low")) / bins
     return (
         placed.groupBy("metric", bin_index.alias("bin"), "low", width.alias("width"))

@@ -37,6 +37,8 @@ def smote(
     if len(sizes) != 2:
         raise ValueError(f"oversampling needs two classes, found {sorted(sizes)}")
     minority = min(sizes, key=lambda c: (sizes[c], c))
+    if sizes[minority] < 2:
+        raise ValueError("oversampling needs two minority rows at least")
     missing = max(sizes.values()) - sizes[minority]
     each, extra = divmod(missing, sizes[minority])
     original = train.select(id_col, label, "features", F.lit(False).alias("synthetic"))

@@ -156,7 +156,7 @@ _Z = ", ".join(
 
 @query("standard_scale", f"select customer_id, split, {_Z} from split_rows")
 def _(src):
-    split = split_matrix(src)
+    split = trained(src).split
     scaled = features.standard_scale(split, split.filter(F.col("split") == "train"))
     return rounded(scaled.select("customer_id", "split", *S.NUMERIC_COLUMNS), *S.NUMERIC_COLUMNS)
 
@@ -165,7 +165,7 @@ def _(src):
     case when coalesce({c}, 'None') = category then 1 else 0 end as value from split_rows,
     (select distinct coalesce({c}, 'None') category from split_rows where split = 'train')""" for c in S.NOMINAL_COLUMNS))
 def _(src):
-    split = split_matrix(src)
+    split = trained(src).split
     return features.one_hot(split, split.filter(F.col("split") == "train"))
 
 
@@ -383,7 +383,7 @@ _BETA = {"tenure": -0.5, "monthly_charges": 0.25, "churn_score": 1.5, "cltv": -0
 def _(src):
     """Fixed coefficients over raw inputs, so that the result has a closed form."""
     names = list(_BETA)
-    split = split_matrix(src).select(
+    split = trained(src).split.select(
         "customer_id", "split", F.array(*[F.col(c).cast("double") for c in names]).alias("features")
     )
     train = split.filter(F.col("split") == "train")

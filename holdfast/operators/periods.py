@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions import columns as C
 from holdfast.operators.quantiles import exact_quantiles
-from holdfast.operators.skew import split_heavy_join
+from holdfast.operators.skew import heavy_keys, split_heavy_join
 from holdfast.session import store
 
 PERIOD_DAYS = 30
@@ -119,25 +119,29 @@ def call_type_mix(cdr: DataFrame) -> DataFrame:
 def event_ids(cdr: DataFrame, digits: int = 3) -> DataFrame:
     """Dense ids 1..n: customers in order of their key's hash, events of a customer in time order.
 
-    Three levels keep every sort small: hash buckets of customers (at most 16^digits), the hours of one customer, the
-    events of one customer and hour. A customer with very many events is spread over its hours.
+    Three levels keep every sort small: hash buckets of customers (at most 16^digits), the parts of one customer, the
+    events of one part. A customer with very many events has a part per hour, any other customer is one part.
     """
-    keyed = cdr.withColumns({
+    heavy = heavy_keys(cdr.select("customer_id"), "customer_id")
+    hour = F.unix_date(F.col("event_date").cast("date")) * 24 + F.hour("event_date")
+    # Fewer than 1 / HEAVY_SHARE rows.
+    keyed = cdr.join(F.broadcast(heavy), "customer_id", "left").withColumns({
         "_customer": F.coalesce("customer_id", F.lit("")),
-        "_hour": F.coalesce(F.substring(F.col("event_date").cast("string"), 1, 13), F.lit("")),
-    }).withColumn("_bucket", F.substring(F.md5("_customer"), 1, digits))
-    per_hour = keyed.groupBy("_bucket", "_customer", "_hour").agg(F.count(F.lit(1)).alias("_n"))
-    totals = per_hour.groupBy("_bucket").agg(F.sum("_n").alias("_bucket_rows"))
+        "_part": F.when(F.col("_heavy") | F.col("customer_id").isNull(), F.coalesce(hour, F.lit(-(2**31)))).otherwise(0),
+    })
+    parts = keyed.groupBy("_customer", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    parts = parts.withColumn("_bucket", F.substring(F.md5("_customer"), 1, digits))
+    totals = parts.groupBy("_bucket").agg(F.sum("_n").alias("_bucket_rows"))
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     buckets = totals.select("_bucket", F.coalesce(F.sum("_bucket_rows").over(before), F.lit(0)).alias("_start"))
-    earlier = W.partitionBy("_bucket").orderBy("_customer", "_hour").rowsBetween(W.unboundedPreceding, -1)
-    hours = per_hour.withColumn("_earlier", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    earlier = W.partitionBy("_bucket").orderBy("_customer", "_part").rowsBetween(W.unboundedPreceding, -1)
+    placed = parts.withColumn("_earlier", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     # At most 16^digits rows.
-    starts = hours.join(F.broadcast(buckets), "_bucket").select(
-        "_customer", "_hour", (F.col("_start") + F.col("_earlier")).alias("_offset")
+    starts = placed.join(F.broadcast(buckets), "_bucket").select(
+        "_customer", "_part", (F.col("_start") + F.col("_earlier")).alias("_offset")
     )
-    inside = F.row_number().over(W.partitionBy("_customer", "_hour").orderBy("event_date", "event_id"))
-    numbered = keyed.withColumn("_row", inside).join(starts, ["_customer", "_hour"])
+    inside = F.row_number().over(W.partitionBy("_customer", "_part").orderBy("event_date", "event_id"))
+    numbered = keyed.withColumn("_row", inside).join(starts, ["_customer", "_part"])
     return numbered.select(
         (F.col("_offset") + F.col("_row")).alias("event_id"),
         F.col("event_id").alias("source_event_id"),

@@ -1,4 +1,4 @@
-"""A large-to-small equi-join that stays balanced when a few keys own most rows of the large side."""
+"""Equi-joins and groupings that stay balanced when a few keys own most rows."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -6,23 +6,21 @@ from pyspark.sql import functions as F
 HEAVY_SHARE = 0.001
 
 
+def heavy_keys(df: DataFrame, key: str, heavy_share: float = HEAVY_SHARE) -> DataFrame:
+    """Keys that own more than the given share of all rows: fewer than ``1 / heavy_share`` rows, whatever the data."""
+    total = df.agg(F.count(F.lit(1)).alias("rows"))
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.filter(F.col("rows") > total.scalar() * heavy_share).select(key, F.lit(True).alias("_heavy"))
+
+
 def split_heavy_join(
     large: DataFrame, lookup: DataFrame, key: str, how: str = "inner", heavy_share: float = HEAVY_SHARE
 ) -> DataFrame:
     """Join ``large`` to ``lookup`` (unique on ``key``).
 
-    Keys that own more than ``heavy_share`` of the rows - fewer than ``1 / heavy_share`` keys, whatever the data - are
-    joined by broadcasting just their lookup rows; all other keys take the ordinary shuffled join.
+    Heavy keys are joined by broadcasting just their lookup rows; all other keys take the ordinary shuffled join.
     """
-    total = large.agg(F.count(F.lit(1)).alias("rows"))
-    heavy = (
-        large.filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > total.scalar() * heavy_share)
-        .select(key, F.lit(True).alias("_heavy"))
-    )
-    heavy_rows = F.broadcast(heavy)
+    heavy_rows = F.broadcast(heavy_keys(large, key, heavy_share))
     heavy_lookup = lookup.join(heavy_rows, key).drop("_heavy")
     tagged = large.join(heavy_rows, key, "left")
     hot = tagged.filter(F.col("_heavy").isNotNull()).drop("_heavy")

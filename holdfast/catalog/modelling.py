@@ -182,12 +182,28 @@ def _(src):
     return artifacts.names_read(src.spark, path)
 
 
-@query("preprocess_fit")
+# The feature vector of each customer as a list: scaled numbers, then 0/1 per category of the training rows.
+_VECTORS = """, vectors as (select customer_id, label, split, [{scaled}] || {hot} x from split_rows) """.format(
+    scaled=", ".join(
+        f"(cast({c} as double) - (select avg(cast({c} as double)) from split_rows where split = 'train')) / "
+        f"(select stddev_pop(cast({c} as double)) from split_rows where split = 'train')" for c in S.NUMERIC_COLUMNS),
+    hot=" || ".join(
+        f"list_transform((select list_sort(list(distinct coalesce({c}, 'None'))) from split_rows where split = 'train'), "
+        f"lambda k: case when coalesce({c}, 'None') = k then 1.0::double else 0.0::double end)" for c in S.NOMINAL_COLUMNS),
+)
+_UNNESTED = "cast(unnest(range(len(x))) as int) idx, round(unnest(x), 6) as value"
+
+
+def long_vectors(df: DataFrame, *kept: str) -> DataFrame:
+    """One row per customer and position of the feature vector."""
+    exploded = df.select(*kept, F.posexplode(vector_to_array("features")).alias("idx", "value"))
+    return rounded(exploded, "value")
+
+
+@query("preprocess_fit", _VECTORS + f"select customer_id, label, split, {_UNNESTED} from vectors")
 def _(src):
     t = trained(src)
-    return features.apply_preprocessor(t.preprocessor, t.split).select(
-        "customer_id", "label", "split", vector_to_array("features").alias("features")
-    )
+    return long_vectors(features.apply_preprocessor(t.preprocessor, t.split), "customer_id", "label", "split")
 
 
 @query("transformer_save_load")
@@ -200,7 +216,7 @@ def _(src):
     return models.score_customers(type(t.boosted).load(model_path), prepared)
 
 
-@query("features_write")
+@query("features_write", _VECTORS + "select customer_id, label, split, cast(len(x) as int) width from vectors")
 def _(src):
     t = trained(src)
     path = artifacts.features_write(
@@ -211,12 +227,9 @@ def _(src):
     )
 
 
-@query("features_read")
+@query("features_read", _VECTORS + f"select customer_id, label, {_UNNESTED} from vectors where split = 'train'")
 def _(src):
-    t = trained(src)
-    return t.prepared.filter(F.col("split") == "train").select(
-        "customer_id", "label", vector_to_array("features").alias("features")
-    )
+    return long_vectors(trained(src).prepared.filter(F.col("split") == "train"), "customer_id", "label")
 
 
 # --- balance -----------------------------------------------------------------------------------------------------
@@ -232,11 +245,25 @@ def _(src):
     return rounded(neighbours.neighbour_table(near, "vec_id", "label"), "distance")
 
 
-@query("smote")
-def _(src):
-    return trained(src).balanced.select(
-        "customer_id", "label", "synthetic", vector_to_array("features").alias("features")
-    )
+@query("smote", _VECTORS + f""", train as (select * from vectors where split = 'train'),
+    sizes as (select label, count(*) n from train group by label),
+    need as (select arg_min(label, n) small, (max(n) - min(n)) // min(n) each, (max(n) - min(n)) % min(n) extra from sizes),
+    pts as (select customer_id, x, row_number() over (order by md5(customer_id || '|42'), customer_id) pos from train
+        where label = (select small from need)),
+    near as (select a.customer_id, b.x bx, row_number() over (partition by a.customer_id
+        order by list_distance(a.x, b.x), b.customer_id) nth from pts a join pts b on a.customer_id <> b.customer_id),
+    lists as (select customer_id, list(bx order by nth) nx from near where nth <= 5 group by customer_id),
+    numbered as (select customer_id, x, nx, unnest(range(1, 1 + each + case when pos <= extra then 1 else 0 end)) number
+        from pts join lists using (customer_id), need),
+    digests as (select *, md5(customer_id || '|' || number || '|42') d from numbered),
+    draws as (select *, nx[1 + cast('0x' || d[1:8] as bigint) % len(nx)] b, cast('0x' || d[9:16] as bigint) / 4294967296.0::double u
+        from digests),
+    balanced as (select customer_id, label, false synthetic, x from train union all
+        select customer_id || '#' || number, (select small from need), true,
+            list_transform(range(1, len(x) + 1), lambda i: x[i] + u * (b[i] - x[i])) from draws)
+    select customer_id, label, synthetic, {_UNNESTED} from balanced""")
+def _(src):
+    return long_vectors(trained(src).balanced, "customer_id", "label", "synthetic")
 
 
 @query("balance_audit", """, sizes as (select label, count(*) n from split_rows where split = 'train' group by label)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from holdfast import schemas as S
 from holdfast.catalog.base import query, rounded
-from holdfast.operators import quality, quantiles, stats  # noqa: F401
+from holdfast.operators import quantiles, stats
+from holdfast.operators.view360 import VIEW_COLUMNS
 
 
 def _each(columns, template):
@@ -32,7 +33,15 @@ def _(src):
     return stats.null_profile(src.view)
 
 
-@query("schema_profile")
+# The types of the view in column order.
+_TYPES = (
+    ["string"] * 5 + ["int"] + ["string"] * 14 + ["decimal(8,2)", "decimal(10,2)", "string", "int", "int", "int", "string"]
+    + ["bigint"] * 4 + ["decimal(18,2)", "decimal(20,2)", "decimal(19,2)", "decimal(21,2)", "string", "int", "int"]
+)
+
+
+@query("schema_profile", "select cast(p as int) as position, c column_name, t data_type, (select count(*) from c360) row_count"
+       " from (values " + ", ".join(f"({i}, '{c}', '{t}')" for i, (c, t) in enumerate(zip(VIEW_COLUMNS, _TYPES))) + ") v(p, c, t)")
 def _(src):
     return stats.schema_profile(src.view)
 

@@ -19,9 +19,18 @@ LOGISTIC = {"maxIter": 1000, "C": 1.0}
 BOOSTED = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
 
 
+PARTITION_BYTES = 64 * 1024**2
+
+
+def sized(train: DataFrame) -> DataFrame:
+    """Training is many short passes over the same rows: join small partitions, so that a pass is few tasks."""
+    facts = train.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size(vector_to_array("features"))).alias("width")).first()
+    return train.coalesce(1 + facts["rows"] * (facts["width"] or 0) * 8 // PARTITION_BYTES)
+
+
 def fit_logistic(train: DataFrame, max_iter: int = LOGISTIC["maxIter"], c: float = LOGISTIC["C"]) -> LogisticRegressionModel:
     """L2-penalised, class-balanced. The penalty 1 / (C * sum of weights) is the one of a summed loss."""
-    weighted = with_class_weights(train)
+    weighted = with_class_weights(sized(train))
     total = weighted.agg(F.sum("weight")).first()[0]
     estimator = LogisticRegression(
         maxIter=max_iter, regParam=1.0 / (c * total), elasticNetParam=0.0, standardization=False, weightCol="weight",
@@ -30,7 +39,7 @@ def fit_logistic(train: DataFrame, max_iter: int = LOGISTIC["maxIter"], c: float
 
 
 def fit_boosted(train: DataFrame, trees: int = BOOSTED["maxIter"], seed: int = SEED) -> GBTClassificationModel:
-    return GBTClassifier(**{**BOOSTED, "maxIter": trees}, seed=seed).fit(train)
+    return GBTClassifier(**{**BOOSTED, "maxIter": trees}, seed=seed).fit(sized(train))
 
 
 def score_customers(model, prepared: DataFrame, threshold: float = 0.5) -> DataFrame:

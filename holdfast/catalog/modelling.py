@@ -304,11 +304,13 @@ def _(src):
     return models.score_customers(t.boosted, t.prepared)
 
 
-@query("scores_write")
+@query("scores_write", """select customer_id, churn_score / 100.0::double churn_probability,
+    case when churn_score > 50 then 1 else 0 end prediction from billing""")
 def _(src):
-    t = trained(src)
-    path = artifacts.scores_write(models.score_customers(t.boosted, t.prepared), scratch_path(src.spark, "scores"))
-    return src.spark.read.parquet(path)
+    """Round trip of a score table, with the recorded churn score as score."""
+    scored = src.billing.select("customer_id", (F.col("churn_score") / F.lit(100.0)).alias("churn_probability"))
+    scored = scored.withColumn("prediction", F.when(F.col("churn_probability") > 0.5, 1).otherwise(0))
+    return src.spark.read.parquet(artifacts.scores_write(scored, scratch_path(src.spark, "scores")))
 
 
 @query("run_log")
@@ -403,12 +405,14 @@ def _(src):
 _BETA = {"tenure": -0.5, "monthly_charges": 0.25, "churn_score": 1.5, "cltv": -0.125}
 
 
-@query("linear_attribution", " union all ".join(
-    f"""select customer_id, '{c}' feature, round({b}::double * (cast({c} as double) -
-    (select avg(cast({c} as double)) from split_rows where split = 'train')), 6) phi from split_rows where split = 'test'"""
-    for c, b in _BETA.items()))
-def _(src):
-    """Fixed coefficients over raw inputs, so that the result has a closed form."""
+_PHI = ", phis as (" + " union all ".join(
+    f"""select customer_id, '{c}' feature, {b}::double * (cast({c} as double) -
+    (select avg(cast({c} as double)) from split_rows where split = 'train')) phi from split_rows where split = 'test'"""
+    for c, b in _BETA.items()) + ") "
+
+
+def fixed_attributions(src) -> DataFrame:
+    """Attributions of fixed coefficients over raw inputs, so that the result has a closed form."""
     names = list(_BETA)
     split = trained(src).split.select(
         "customer_id", "split", F.array(*[F.col(c).cast("double") for c in names]).alias("features")
@@ -416,7 +420,12 @@ def _(src):
     train = split.filter(F.col("split") == "train")
     means = list(train.agg(*[F.avg(F.get("features", F.lit(i))) for i in range(len(names))]).first())
     test = split.filter(F.col("split") == "test")
-    return rounded(explain.linear_attribution(test, list(_BETA.values()), means, names, vector=False), "phi")
+    return explain.linear_attribution(test, list(_BETA.values()), means, names, vector=False)
+
+
+@query("linear_attribution", _PHI + "select customer_id, feature, round(phi, 6) phi from phis")
+def _(src):
+    return rounded(fixed_attributions(src), "phi")
 
 
 @query("linear_attribution_fitted")
@@ -431,10 +440,29 @@ def _(src):
     return trained(src).attributions
 
 
-@query("attributions_write")
+@query("attributions_write", _PHI + "select customer_id, feature, round(phi, 6) phi from phis")
 def _(src):
-    path = artifacts.attributions_write(trained(src).attributions, scratch_path(src.spark, "attributions-out"))
-    return src.spark.read.parquet(path)
+    path = artifacts.attributions_write(fixed_attributions(src), scratch_path(src.spark, "attributions-out"))
+    return rounded(src.spark.read.parquet(path), "phi")
+
+
+@query("linear_importance", _PHI + """select feature, round(avg(abs(phi)), 6) importance from phis group by feature
+    order by avg(abs(phi)) desc limit 3""")
+def _(src):
+    """The strongest features under the fixed coefficients."""
+    return rounded(explain.top_features(fixed_attributions(src), 3), "importance")
+
+
+@query("linear_explanation", _PHI + """, top as (select customer_id, churn_score / 100.0::double p from split_rows
+        where split = 'test' order by churn_score desc, customer_id limit 1)
+    select customer_id, feature, round(phi, 6) phi, p churn_probability, 0.5::double base_value
+    from phis join top using (customer_id)""")
+def _(src):
+    """The riskiest test customer by recorded score, under the fixed coefficients."""
+    scored = trained(src).test.join(
+        src.billing.select("customer_id", (F.col("churn_score") / F.lit(100.0)).alias("churn_probability")), "customer_id"
+    )
+    return rounded(explain.explain_customer(fixed_attributions(src), rates.riskiest_customer(scored), 0.5), "phi")
 
 
 @query("global_importance")

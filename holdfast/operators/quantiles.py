@@ -3,7 +3,8 @@
 Values are first reduced to distinct values with counts, so a value that repeats a billion times is one row. The
 distinct values are then cut into ranges at split points found by an approximate sketch. The split points only
 balance the ranges: any choice gives the same, exact answer. Counts per range (at most ``RANGES`` rows per group) say
-which range holds the wanted rank, and only that range is sorted.
+which range holds the wanted rank, and only that range is sorted. A stored table of at most ``SMALL_ROWS`` distinct values, by count,
+takes the direct way instead.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from holdfast.session import small_table, store
 
 RANGES = 64
-ONE_RANGE_ROWS = 1_000_000
+SMALL_ROWS = 1_000_000
 
 
 def value_counts(df: DataFrame, columns: list[str], groups: tuple[str, ...] = ()) -> DataFrame:
@@ -25,13 +26,18 @@ def value_counts(df: DataFrame, columns: list[str], groups: tuple[str, ...] = ()
     return long.groupBy(*groups, "metric", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def is_small(counts: DataFrame) -> bool:
+    """Row count of a stored table, which its file footers hold."""
+    return counts.count() <= SMALL_ROWS
+
+
 def with_ranges(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
     """Add an order-preserving range number per metric to a stored table.
 
-    A table of few distinct values, by count, is one range. Otherwise one row of ``ranges - 1`` numbers per metric reaches the driver; as literals they are the same in every branch and
+    A small table is one range. Otherwise one row of ``ranges - 1`` numbers per metric reaches the driver; as literals they are the same in every branch and
     every retry of the query.
     """
-    if counts.count() <= ONE_RANGE_ROWS:
+    if is_small(counts):
         return counts.withColumn("part", F.lit(0))
     fractions = [i / ranges for i in range(1, ranges)]
     rows = counts.groupBy("metric").agg(F.percentile_approx("value", fractions, 20 * ranges).alias("splits")).collect()
@@ -73,6 +79,10 @@ def exact_quantiles(
     """
     counts = store(value_counts(df, columns, groups), "value-counts") if counts is None else counts
     keys = (*groups, "metric")
+    if is_small(counts):
+        quantiles = F.percentile("value", list(probabilities.values()), F.col("n")).alias("quantiles")
+        found = counts.groupBy(*keys).agg(quantiles)
+        return found.select(*keys, *[F.get("quantiles", F.lit(i)).alias(p) for i, p in enumerate(probabilities)])
     ranged = with_ranges(counts)
     offsets = range_offsets(ranged, keys, ["n"])
 

@@ -40,9 +40,19 @@ def test_reloaded_transformers_score_alike(fitted, tmp_path):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, first.select(*again.columns).collect()))
 
 
+def test_logistic_fit_is_the_optimum_of_the_penalised_loss(fitted):
+    rows = fitted.balanced.select("label", "features").collect()
+    x, y = np.array([r["features"].toArray() for r in rows]), np.array([r["label"] for r in rows])
+    beta, n = np.array(fitted.logistic.coefficients), len(rows)
+    p = 1 / (1 + np.exp(-(x @ beta + fitted.logistic.intercept)))
+    # Classes are balanced, so all weights are one; C is one.
+    assert np.abs(x.T @ (p - y) + beta).max() / n < 1e-3
+    assert abs((p - y).sum()) / n < 1e-3
+
+
 @pytest.mark.parametrize("ranges", [1_000_000, 0])
 def test_auc_equals_the_evaluator(fitted, monkeypatch, ranges):
-    monkeypatch.setattr(quantiles, "ONE_RANGE_ROWS", ranges)
+    monkeypatch.setattr(quantiles, "SMALL_ROWS", ranges)
     scored = fitted.logistic.transform(fitted.prepared)
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="probability", numBins=0)
     assert auc(fitted.logistic, fitted.prepared) == pytest.approx(evaluator.evaluate(scored), abs=1e-12)

@@ -10,7 +10,7 @@ from holdfast.operators import stats
 
 @pytest.fixture
 def many_ranges(monkeypatch):
-    monkeypatch.setattr(Q, "ONE_RANGE_ROWS", 0)
+    monkeypatch.setattr(Q, "SMALL_ROWS", 0)
 
 
 @pytest.fixture(scope="module")
@@ -36,9 +36,11 @@ def test_grouped_quantiles(numbers, many_ranges):
 
 def test_one_range_and_many_ranges_agree(numbers, monkeypatch):
     df, _ = numbers
-    one = Q.exact_quantiles(df, ["v"], stats.QUARTILES).collect()
-    monkeypatch.setattr(Q, "ONE_RANGE_ROWS", 0)
-    assert Q.exact_quantiles(df, ["v"], stats.QUARTILES).collect() == one
+    one = Q.exact_quantiles(df, ["v"], stats.QUARTILES).first()
+    monkeypatch.setattr(Q, "SMALL_ROWS", 0)
+    many = Q.exact_quantiles(df, ["v"], stats.QUARTILES).first()
+    assert one["metric"] == many["metric"]
+    assert [one[q] for q in stats.QUARTILES] == pytest.approx([many[q] for q in stats.QUARTILES], rel=1e-12)
 
 
 def test_running_sums(spark, many_ranges):

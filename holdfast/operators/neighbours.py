@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast.operators.skew import split_heavy_join
-from holdfast.session import store
+from holdfast.session import store, wide_parallelism
 
 SALTS = 256
 MOST_PIVOTS = 256
@@ -182,13 +182,15 @@ def nearest_neighbours(
         F.pmod(cut, F.col("vcuts")).cast("int").alias("vcut"),
         F.lit(1).alias("visitor"), "rep", "vec", F.lit(None).cast(kinds["ids"]).alias("ids"),
     )
-    blocks = members.unionByName(visitors).groupBy("cls", "cell", "mcut", "vcut")
+    block = ["cls", "cell", "mcut", "vcut"]
+    blocks = members.unionByName(visitors).repartition(wide_parallelism(df.sparkSession), *block).groupBy(*block)
     partial = blocks.applyInPandas(
         _best_in_block(k), f"rep {kinds['rep']}, dist double, id {kinds['rep']}, vec array<double>"
     )
-    merged = partial.groupBy("rep").agg(F.collect_list(F.struct("dist", "id", "vec")).alias("found"))
-    # k others and one entry for the row itself.
-    shortlist = merged.select("rep", F.slice(F.array_sort("found"), 1, k + 1).alias("found"))
+    # k others and one entry for the row itself. The rank filter is applied before the shuffle as well.
+    nearest = F.row_number().over(W.partitionBy("rep").orderBy("dist", "id"))
+    best = partial.withColumn("nearest", nearest).filter(F.col("nearest") <= k + 1)
+    shortlist = best.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("dist", "id", "vec"))).alias("found"))
 
     known = distinct.join(shortlist, "rep")
     answered = known.select(F.explode("ids").alias("id"), "cls", "vec", "found")

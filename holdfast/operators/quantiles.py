@@ -2,7 +2,7 @@
 
 Values are first reduced to distinct values with counts, so a value that repeats a billion times is one row. The
 distinct values are then cut into ranges at split points found by an approximate sketch. The split points only
-balance the ranges: any choice gives the same, exact answer. Counts per range (at most ``RANGES`` rows per group) say
+balance the ranges: any choice gives the same, exact answer. Counts per range (at most ``MOST_RANGES`` rows per group) say
 which range holds the wanted rank, and only that range is sorted. A stored table of at most ``SMALL_ROWS`` distinct values, by count,
 takes the direct way instead.
 """
@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from holdfast.session import small_table, store
 
-RANGES = 64
+FEWEST_RANGES, MOST_RANGES = 64, 512
+ROWS_PER_RANGE = 2_000_000
 SMALL_ROWS = 1_000_000
 
 
@@ -26,24 +27,21 @@ def value_counts(df: DataFrame, columns: list[str], groups: tuple[str, ...] = ()
     return long.groupBy(*groups, "metric", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def is_small(counts: DataFrame) -> bool:
-    """Row count of a stored table, which its file footers hold."""
-    return counts.count() <= SMALL_ROWS
-
-
-def with_ranges(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
+def with_ranges(counts: DataFrame) -> DataFrame:
     """Add an order-preserving range number per metric to a stored table.
 
     A small table is one range. Otherwise one row of ``ranges - 1`` numbers per metric reaches the driver; as literals they are the same in every branch and
     every retry of the query.
     """
-    if is_small(counts):
+    rows = counts.count()
+    if rows <= SMALL_ROWS:
         return counts.withColumn("part", F.lit(0))
+    ranges = min(MOST_RANGES, max(FEWEST_RANGES, rows // ROWS_PER_RANGE))
     fractions = [i / ranges for i in range(1, ranges)]
-    rows = counts.groupBy("metric").agg(F.percentile_approx("value", fractions, 20 * ranges).alias("splits")).collect()
+    found = counts.groupBy("metric").agg(F.percentile_approx("value", fractions, 20 * ranges).alias("splits")).collect()
     splits = small_table(
         counts.sparkSession,
-        {"metric": [r["metric"] for r in rows], "splits": [sorted(set(r["splits"])) for r in rows]},
+        {"metric": [r["metric"] for r in found], "splits": [sorted(set(r["splits"])) for r in found]},
         "metric string, splits array<double>",
     )
     # One row per metric name: bounded by the caller's column list.
@@ -53,7 +51,7 @@ def with_ranges(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
 
 
 def range_offsets(ranged: DataFrame, groups: tuple[str, ...], sums: list[str], descending: bool = False) -> DataFrame:
-    """Totals before each range. The windows run over at most ``RANGES`` rows per group."""
+    """Totals before each range. The windows run over at most ``MOST_RANGES`` rows per group."""
     totals = ranged.groupBy(*groups, "part").agg(*[F.sum(s).alias(f"_{s}") for s in sums])
     part = F.col("part").desc() if descending else F.col("part").asc()
     running = W.partitionBy(*groups).orderBy(part).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -79,7 +77,7 @@ def exact_quantiles(
     """
     counts = store(value_counts(df, columns, groups), "value-counts") if counts is None else counts
     keys = (*groups, "metric")
-    if is_small(counts):
+    if counts.count() <= SMALL_ROWS:
         quantiles = F.percentile("value", list(probabilities.values()), F.col("n")).alias("quantiles")
         found = counts.groupBy(*keys).agg(quantiles)
         return found.select(*keys, *[F.get("quantiles", F.lit(i)).alias(p) for i, p in enumerate(probabilities)])
@@ -138,7 +136,7 @@ def running_sums(df: DataFrame, value: str, sums: list[str], descending: bool =
     counts = store(df.select(F.lit(value).alias("metric"), F.col(value).cast("double").alias("value"), *sums), "sums")
     ranged = with_ranges(counts)
     offsets = range_offsets(ranged, (), sums, descending)
-    # At most RANGES rows.
+    # At most MOST_RANGES rows.
     joined = ranged.join(F.broadcast(offsets), "part")
     order = F.col("value").desc() if descending else F.col("value").asc()
     inside = W.partitionBy("part").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.plans.features import SEED
+from holdfast.session import wide_parallelism
 
 
 def feature_means(train: DataFrame, names: list[str]) -> list[float]:
@@ -50,8 +51,7 @@ def sampled_shapley(
     width = len(names)
     # Each row grows by permutations times features, so the rows are spread over all cores first, whatever the size of
     # the files they come from. The final sum groups by customer and reuses this partitioning.
-    spark = rows.sparkSession
-    spread = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spread = wide_parallelism(rows.sparkSession)
     customers = rows.select("customer_id", vector_to_array("features").alias("x")).repartition(spread, "customer_id")
     drawn = customers.select(
         "customer_id", "x", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("draw")

@@ -45,8 +45,23 @@ def small_table(spark: SparkSession, columns: dict[str, list], schema: str) -> D
     return spark.createDataFrame(pa.table(columns), schema=schema)
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/holdfast/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/holdfast/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediates of this application; frames that read them can no longer be used."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def wide_parallelism(spark: SparkSession) -> int:
+    """Partitions for steps whose work is out of proportion to their bytes, which adaptive execution would join."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def store(df: DataFrame, name: str) -> DataFrame:

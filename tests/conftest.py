@@ -25,7 +25,10 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from holdfast.session import clear_scratch
+
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -4,8 +4,9 @@
 2. A bounded set of pivot vectors splits each class into cells. Every row knows its distance to every pivot, which gives
    an upper bound for the distance of its k-th neighbour and, by the triangle inequality, the cells that can hold a
    neighbour. A row is sent only to those cells.
-3. Cells are cut into blocks of limited size on both sides; each block is one small matrix computation that returns the
-   best ``k`` per row, and the block results are merged by row.
+3. Cells are cut into blocks of limited size on both sides; each block is a matrix computation that returns distance and id
+   of the best ``k`` per row, and the block results are merged by row. Cells are about as large as blocks, so that without
+   any pruning a row travels no more often than a blocked full comparison needs.
 
 The bounds only ever discard cells that cannot contribute, so the answer is that of the full comparison.
 """
@@ -23,8 +24,9 @@ from holdfast.session import store, wide_parallelism
 
 SALTS = 256
 MOST_PIVOTS = 256
-ROWS_PER_CELL = 512
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 32_768
+BLOCK_VALUES = 2**21
+CHUNK_VALUES = 2**22
 SLACK = 1e-9
 FEW_CELLS = 100_000
 
@@ -112,29 +114,34 @@ def _best_in_block(k: int):
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
         asking, held = pdf[pdf["visitor"] == 1], pdf[pdf["visitor"] == 0]
         if asking.empty or held.empty:
-            return pd.DataFrame({"rep": [], "dist": [], "id": [], "vec": []})
+            return pd.DataFrame({"rep": [], "dist": [], "id": []})
         q, m = np.stack(asking["vec"].to_numpy()), np.stack(held["vec"].to_numpy())
-        ids = held["ids"].to_numpy()
-        lowest = held["rep"].to_numpy()
-        # Fast squared distances pick the candidates (with room for rounding), exact ones rank them. One vector more
-        # than k, because the row itself may be among them.
-        size = (q**2).sum(axis=1)[:, None] + (m**2).sum(axis=1)[None, :]
-        rough = size - 2.0 * (q @ m.T)
+        reps, ids, lowest = asking["rep"].to_numpy(), held["ids"].to_numpy(), held["rep"].to_numpy()
+        copies = np.array([len(i) for i in ids])
+        length, largest = (m**2).sum(axis=1), (q**2).sum(axis=1).max()
+        # One vector more than k, because the row itself may be among them.
         take = min(k + 1, len(m))
-        limit = np.partition(rough, take - 1, axis=1)[:, take - 1] + 1e-9 * (1.0 + size.max())
-        rows, cols = np.nonzero(rough <= limit[:, None])
-        exact = np.sqrt(((q[rows] - m[cols]) ** 2).sum(axis=1))
-        order = np.lexsort((lowest[cols], exact, rows))
-        rows, cols, exact = rows[order], cols[order], exact[order]
-        starts = np.searchsorted(rows, np.arange(len(q)))
-        # The first ``take`` candidates of each row, then one output row per id of a candidate vector.
-        best = (starts[:, None] + np.arange(take)[None, :]).ravel()
-        copies = np.array([len(ids[c]) for c in cols[best]])
-        rows, cols, exact = (np.repeat(a[best], copies) for a in (rows, cols, exact))
-        found = np.concatenate([ids[c] for c in cols[np.r_[0, np.cumsum(copies)[:-1]]]])
-        return pd.DataFrame({
-            "rep": asking["rep"].to_numpy()[rows], "dist": exact, "id": found, "vec": list(m[cols]),
-        })
+        parts = []
+        step = max(1, CHUNK_VALUES // len(m))
+        for at in range(0, len(q), step):
+            part = q[at : at + step]
+            # Fast squared distances (less a constant per row) pick the candidates with room for rounding, exact ones
+            # rank them.
+            rough = length[None, :] - 2.0 * (part @ m.T)
+            limit = np.partition(rough, take - 1, axis=1)[:, take - 1] + 1e-9 * (1.0 + largest + length.max())
+            rows, cols = np.nonzero(rough <= limit[:, None])
+            exact = np.sqrt(((part[rows] - m[cols]) ** 2).sum(axis=1))
+            order = np.lexsort((lowest[cols], exact, rows))
+            rows, cols, exact = rows[order], cols[order], exact[order]
+            first = np.searchsorted(rows, np.arange(len(part)))
+            kept = (first[:, None] + np.arange(take)[None, :]).ravel()
+            rows, cols, exact = rows[kept], cols[kept], exact[kept]
+            parts.append(pd.DataFrame({
+                "rep": np.repeat(reps[at + rows], copies[cols]),
+                "dist": np.repeat(exact, copies[cols]),
+                "id": np.concatenate([ids[c] for c in cols]),
+            }))
+        return pd.concat(parts)
 
     return best
 
@@ -146,19 +153,22 @@ def nearest_neighbours(
     class_col: str = "label",
     vector_col: str = "features",
     pivots: int | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """(id, class, vec, neighbours): the k nearest other rows of the same class, nearest first, ties by id.
 
-    ``neighbours`` is an array of (dist, id, vec). The number of pivots follows the size of the classes unless given.
+    ``neighbours`` is an array of (dist, id). Block size follows the width of the vectors, the number of pivots the size
+    of the classes, unless given.
     """
     distinct = store(distinct_vectors(df, k, id_col, class_col, vector_col), "vectors")
     facts = distinct.agg(
         F.approx_count_distinct("cls").alias("classes"), F.max(F.size("ids")).alias("copies"),
-        F.count(F.lit(1)).alias("rows"),
+        F.count(F.lit(1)).alias("rows"), F.max(F.size("vec")).alias("width"),
     ).first()
+    if block_rows is None:
+        block_rows = max(1024, min(BLOCK_ROWS, BLOCK_VALUES // (facts["width"] or 1)))
     if pivots is None:
-        pivots = min(MOST_PIVOTS, 1 + facts["rows"] // (ROWS_PER_CELL * max(1, facts["classes"])))
+        pivots = min(MOST_PIVOTS, 1 + facts["rows"] // (block_rows * max(1, facts["classes"])))
     points = _pivots(distinct, pivots)
     few_classes = facts["classes"] * pivots <= FEW_CELLS
     kinds = dict(distinct.dtypes)
@@ -185,12 +195,12 @@ def nearest_neighbours(
     block = ["cls", "cell", "mcut", "vcut"]
     blocks = members.unionByName(visitors).repartition(wide_parallelism(df.sparkSession), *block).groupBy(*block)
     partial = blocks.applyInPandas(
-        _best_in_block(k), f"rep {kinds['rep']}, dist double, id {kinds['rep']}, vec array<double>"
+        _best_in_block(k), f"rep {kinds['rep']}, dist double, id {kinds['rep']}"
     )
     # k others and one entry for the row itself. The rank filter is applied before the shuffle as well.
     nearest = F.row_number().over(W.partitionBy("rep").orderBy("dist", "id"))
     best = partial.withColumn("nearest", nearest).filter(F.col("nearest") <= k + 1)
-    shortlist = best.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("dist", "id", "vec"))).alias("found"))
+    shortlist = best.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("dist", "id"))).alias("found"))
 
     known = distinct.join(shortlist, "rep")
     answered = known.select(F.explode("ids").alias("id"), "cls", "vec", "found")

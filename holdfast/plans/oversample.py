@@ -5,7 +5,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.operators.neighbours import nearest_neighbours
+from holdfast.operators.skew import split_heavy_join
 from holdfast.plans.features import SEED, hash_cuts, up_to_cut
+from holdfast.session import store
 
 
 def class_sizes(df: DataFrame, label: str = "label") -> DataFrame:
@@ -57,14 +59,17 @@ def smote(
     drawn = drawn.select(
         id_col, label, "vec", "neighbours", F.explode(F.sequence(F.lit(1), F.col("points"))).alias("number")
     )
+    # Neighbour and position from one digest.
     digest = F.md5(F.concat_ws("|", id_col, F.col("number").cast("string"), F.lit(str(seed))))
-    drawn = drawn.withColumns({
-        "pick": F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.size("neighbours")).cast("int"),
-        "u": F.conv(F.substring(digest, 9, 8), 16, 10).cast("double") / float(2**32),
-    })
-    other = F.get("neighbours", F.col("pick"))["vec"]
-    point = F.zip_with("vec", other, lambda a, b: a + F.col("u") * (b - a))
-    synthetic = drawn.select(
+    pick = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.size("neighbours")).cast("int")
+    drawn = store(drawn.select(
+        id_col, label, "vec", "number", F.get("neighbours", pick)["id"].alias("other"),
+        (F.conv(F.substring(digest, 9, 8), 16, 10).cast("double") / float(2**32)).alias("u"),
+    ), "draws")
+    # Some rows are the neighbour of very many others.
+    paired = split_heavy_join(drawn, small.select(F.col(id_col).alias("other"), F.col("x").alias("other_vec")), "other")
+    point = F.zip_with("vec", "other_vec", lambda a, b: a + F.col("u") * (b - a))
+    synthetic = paired.select(
         F.concat_ws("#", id_col, F.col("number").cast("string")).alias(id_col),
         label,
         array_to_vector(point).alias("features"),

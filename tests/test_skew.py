@@ -29,9 +29,9 @@ def brute_force(rows, k):
     return out
 
 
-@pytest.mark.parametrize("pivots,block", [(None, 2048), (5, 7), (12, 3)])
-@pytest.mark.parametrize("few", [True, False])
+@pytest.mark.parametrize("pivots,block,few", [(None, None, True), (6, 7, True), (3, 20, False)])
 def test_neighbours_equal_brute_force(spark, monkeypatch, pivots, block, few):
+    monkeypatch.setattr(neighbours, "CHUNK_VALUES", 40)
     if not few:
         monkeypatch.setattr(neighbours, "FEW_CELLS", -1)
     rng = np.random.default_rng(5)

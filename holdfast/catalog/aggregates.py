@@ -145,8 +145,9 @@ def _(src):
     format('{:,}', count(*) filter (where churn = 'Yes')) churned_customers,
     printf('%.1f%%', 100 * avg(case when churn = 'Yes' then 1.0::double else 0 end)) churn_rate,
     '$' || format('{:,}', cast(sum(monthly_charges) filter (where churn = 'Yes') as bigint)) revenue_at_risk,
-    '$' || format('{:,}', cast(round(avg(cltv)) as bigint)) avg_cltv from c360""")
+    '$' || format('{:,}', cast(round_even(avg(cltv), 0) as bigint)) avg_cltv from c360""")
 def _(src):
+    """Display strings; whole dollars round half to even."""
     return rates.format_kpi(rates.kpi_row(src.view))
 
 

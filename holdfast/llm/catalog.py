@@ -77,13 +77,13 @@ ORACLES = {
     "op8_exact_top_k": """
         with vectors as (
             select cast(vec_id as bigint) vec_id,
-                list_transform(embedding, x -> cast(floor(1024 * cast(x as double)) as bigint)) v
+                list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) v
             from embeddings
             where vec_id is not null and embedding is not null
-                and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
         scored as (
             select q.vec_id query_id, c.vec_id vec_id,
-                cast(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) as bigint) score
+                cast(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as bigint) score
             from vectors q join vectors c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
             where q.vec_id % 100 = 0)
         select query_id, cast(rank as int) rank, vec_id, score

@@ -37,25 +37,46 @@ _WORDS = re.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^\s{_LETTER}0-9]+|\s+(?!\S)|\s+")
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The characters that byte-level vocabularies write for bytes: printable ones stand for themselves, the others for
+    the characters from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in plain]
+    return {byte: chr(byte) for byte in plain} | {byte: chr(256 + i) for i, byte in enumerate(others)}
+
+
 class WordCoder:
     """Ids of whole texts as little-endian bytes; words met before come from a bounded table."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.alphabet = byte_alphabet()
         self.known: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         if not _PLAIN.fullmatch(text) or any(mark in text for mark in self.special):
             return self.whole([text])[0]
         words = _WORDS.findall(text)
-        new = list({word for word in words if word not in self.known})
-        if not new:
-            return b"".join(map(self.known.__getitem__, words))
-        coded = dict(zip(new, self.whole(new)))
-        if len(self.known) < CACHED_WORDS:
-            self.known |= coded
-        return b"".join([coded[word] if word in coded else self.known[word] for word in words])
+        coded = list(map(self.known.get, words))
+        if None in coded:
+            new: dict[str, bytes] = {}
+            for i, part in enumerate(coded):
+                if part is None:
+                    word = words[i]
+                    coded[i] = new[word] if word in new else new.setdefault(word, self.word(word))
+            if len(self.known) < CACHED_WORDS:
+                self.known |= new
+        return b"".join(coded)
+
+    def word(self, word: str) -> bytes:
+        """Ids of one match of the word pattern."""
+        if word.isascii() and word[-1] > " ":  # printable behind one space at most
+            mapped = self.alphabet[32] + word[1:] if word[0] == " " else word
+        else:
+            mapped = "".join(map(self.alphabet.__getitem__, word.encode()))
+        return b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(mapped)])
 
     def whole(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)

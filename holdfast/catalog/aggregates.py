@@ -244,12 +244,14 @@ def _(src):
     return quality.load_counts(src.tables)
 
 
-@query("cdr_rule_checks", """select 'non_call_with_call_type' as rule, count(*) violations from cdr
-        where event_type <> 'call' and call_type is not null union all
-    select 'non_call_with_minutes', count(*) from cdr where event_type <> 'call' and duration_mins <> 0 union all
+@query("cdr_rule_checks", """select 'missing_event_type' as rule, count(*) violations from cdr
+        where event_type is null union all
+    select 'non_call_with_call_type', count(*) from cdr
+        where event_type is distinct from 'call' and call_type is not null union all
+    select 'non_call_with_minutes', count(*) from cdr where event_type is distinct from 'call' and duration_mins <> 0 union all
     select 'call_without_call_type', count(*) from cdr where event_type = 'call' and call_type is null union all
     select 'call_below_half_minute', count(*) from cdr where event_type = 'call' and duration_mins < 0.5 union all
-    select 'non_data_with_megabytes', count(*) from cdr where event_type <> 'data' and data_mb <> 0 union all
+    select 'non_data_with_megabytes', count(*) from cdr where event_type is distinct from 'data' and data_mb <> 0 union all
     select 'call_outside_hours', count(*) from cdr where event_type = 'call' and hour(event_date) not between 7 and 22""")
 def _(src):
     return quality.cdr_rule_checks(src.cdr)

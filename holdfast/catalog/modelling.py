@@ -4,6 +4,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,11 +12,11 @@ from pyspark.sql import functions as F
 from holdfast import schemas as S
 from holdfast.catalog.base import query, rounded
 from holdfast.operators import neighbours, quantiles, rates
+from holdfast.operators.selection import segment_filter
 from holdfast.plans import explain, features, metrics, models, oversample
 from holdfast.session import scratch_path
 from holdfast.sources import artifacts
 
-TREES = 20
 DRAWS = 4
 
 
@@ -81,23 +82,52 @@ class Trained:
 
     @cached_property
     def boosted(self):
-        return models.fit_boosted(self.balanced, TREES)
+        return models.fit_boosted(self.balanced)
 
     @cached_property
     def test(self) -> DataFrame:
         return self.prepared.filter(F.col("split") == "test")
 
+    @cached_property
+    def runs(self) -> DataFrame:
+        """Both models, logged with their settings, area under the curve on the test rows, and where they are saved."""
+        path = scratch_path(self.src.spark, "runs")
+        for name, model, params in (
+            ("logistic_regression", self.logistic, models.LOGISTIC), ("boosted_trees", self.boosted, models.BOOSTED),
+        ):
+            scored = models.score_customers(model, self.test)
+            auc = metrics.roc_auc(scored, "label", "churn_probability").first()[0]
+            saved = models.save_model(model, scratch_path(self.src.spark, name))
+            models.log_run(self.src.spark, path, name, params, auc, saved)
+        return models.read_runs(self.src.spark, path)
+
+    @cached_property
+    def winner(self):
+        """The model of the better run, loaded from where the log says it is."""
+        best = metrics.model_compare(self.runs).filter("best").select("run_name")
+        run = self.runs.join(best, "run_name").first()
+        kind = type(self.logistic if run["run_name"] == "logistic_regression" else self.boosted)
+        return kind.load(run["model_path"])
+
     @cached_property
     def attributions(self) -> DataFrame:
-        background = explain.background_rows(self.prepared.filter(F.col("split") == "train"), DRAWS)
-        phi = explain.sampled_shapley(self.boosted, self.test, background, self.names, DRAWS)
+        """Of the winner: closed form if it is linear, else sampled."""
+        if isinstance(self.winner, LogisticRegressionModel):
+            means = explain.feature_means(self.balanced, self.names)
+            phi = explain.linear_attribution(self.test, list(self.winner.coefficients), means, self.names)
+        else:
+            background = explain.background_rows(self.prepared.filter(F.col("split") == "train"), DRAWS)
+            phi = explain.sampled_shapley(self.winner, self.test, background, self.names, DRAWS)
         path = artifacts.attributions_write(phi, scratch_path(self.src.spark, "attributions"))
         return self.src.spark.read.parquet(path)
 
     @cached_property
     def base_value(self) -> float:
+        if isinstance(self.winner, LogisticRegressionModel):
+            means = explain.feature_means(self.balanced, self.names)
+            return float(self.winner.intercept + sum(b * m for b, m in zip(self.winner.coefficients, means)))
         background = explain.background_rows(self.prepared.filter(F.col("split") == "train"), DRAWS)
-        return explain.base_value(self.boosted, self.src.spark, background, DRAWS)
+        return explain.base_value(self.winner, self.src.spark, background, DRAWS)
 
 
 _TRAINED: dict[tuple[str, str], Trained] = {}
@@ -211,9 +241,9 @@ def _(src):
     """Save the fitted preprocessor and the better model, load both, transform with the loaded ones."""
     t = trained(src)
     path = models.save_model(t.preprocessor, scratch_path(src.spark, "preprocessor"))
-    model_path = models.save_model(t.boosted, scratch_path(src.spark, "model"))
+    model_path = models.save_model(t.winner, scratch_path(src.spark, "model"))
     prepared = features.apply_preprocessor(models.load_preprocessor(path), t.split)
-    return models.score_customers(type(t.boosted).load(model_path), prepared)
+    return models.score_customers(type(t.winner).load(model_path), prepared)
 
 
 @query("features_write", _VECTORS + "select customer_id, label, split, cast(len(x) as int) width from vectors")
@@ -301,7 +331,7 @@ def _(src):
 @query("score_customers")
 def _(src):
     t = trained(src)
-    return models.score_customers(t.boosted, t.prepared)
+    return models.score_customers(t.winner, t.prepared)
 
 
 @query("scores_write", """select customer_id, churn_score / 100.0::double churn_probability,
@@ -313,18 +343,18 @@ def _(src):
     return src.spark.read.parquet(artifacts.scores_write(scored, scratch_path(src.spark, "scores")))
 
 
-@query("run_log")
+@query("high_risk_scored")
 def _(src):
+    """The stored scores of the better model, joined to the view and filtered as on the page."""
     t = trained(src)
-    path = scratch_path(src.spark, "runs")
-    for name, model, params in (
-        ("logistic_regression", t.logistic, models.LOGISTIC),
-        ("boosted_trees", t.boosted, {**models.BOOSTED, "maxIter": TREES}),
-    ):
-        scored = models.score_customers(model, t.test)
-        auc = metrics.roc_auc(scored, "label", "churn_probability").first()[0]
-        models.log_run(src.spark, path, name, params, auc)
-    return models.read_runs(src.spark, path).select("run_name", "params", "roc_auc", "model_path")
+    path = artifacts.scores_write(models.score_customers(t.winner, t.prepared), scratch_path(src.spark, "model-scores"))
+    joined = rates.join_scores(src.view, src.spark.read.parquet(path))
+    return rates.high_risk_customers(segment_filter(joined, contracts=["Month-to-month", "One year"]))
+
+
+@query("run_log")
+def _(src):
+    return trained(src).runs.select("run_name", "params", "roc_auc", "model_path", "ts")
 
 
 # --- evaluation --------------------------------------------------------------------------------------------------
@@ -478,5 +508,5 @@ def _(src):
 @query("explain_customer")
 def _(src):
     t = trained(src)
-    riskiest = rates.riskiest_customer(models.score_customers(t.boosted, t.test))
+    riskiest = rates.riskiest_customer(models.score_customers(t.winner, t.test))
     return explain.explain_customer(t.attributions, riskiest, t.base_value)

@@ -12,6 +12,7 @@ from holdfast.operators.quality import load_counts
 from holdfast.session import scratch_path
 from holdfast.sources import csv, warehouse
 
+# Buckets of the customer tables, a choice of the caller; events are not bucketed.
 BUCKETS = 8
 
 
@@ -54,7 +55,7 @@ def _(src):
     cast(data_mb as double) data_mb, call_type, cast(event_date as date) event_day from cdr""")
 def _(src):
     path = scratch_path(src.spark, "events")
-    calls = F.col("event_type") == "call"
+    calls = F.col("event_type").eqNullSafe("call")
     warehouse.table_append(src.cdr.filter(calls), path)
     warehouse.table_append(src.cdr.filter(~calls), path)
     return src.spark.read.parquet(path)

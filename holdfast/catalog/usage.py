@@ -114,6 +114,6 @@ def _(src):
     call_cents::double / 100 total_call_mins, data_cents::double / 100 total_data_mb from usage""")
 def _(src):
     feed, target = scratch_path(src.spark, "feed"), scratch_path(src.spark, "totals")
-    src.cdr.repartition(4, F.col("event_id")).write.parquet(feed)
-    events.stream_usage_totals(src.spark, feed, target, scratch_path(src.spark, "totals-state"), files_per_trigger=2)
+    src.cdr.write.parquet(feed)
+    events.stream_usage_totals(src.spark, feed, target, scratch_path(src.spark, "totals-state"))
     return events.latest_totals(src.spark, target)

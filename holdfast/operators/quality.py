@@ -55,13 +55,14 @@ def load_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def cdr_rules() -> dict[str, Column]:
     kind, minutes, megabytes = F.col("event_type"), F.col("duration_mins"), F.col("data_mb")
-    is_call = kind == "call"
+    is_call = kind.eqNullSafe("call")
     return {
+        "missing_event_type": kind.isNull(),
         "non_call_with_call_type": ~is_call & F.col("call_type").isNotNull(),
         "non_call_with_minutes": ~is_call & (minutes != 0),
         "call_without_call_type": is_call & F.col("call_type").isNull(),
         "call_below_half_minute": is_call & (minutes < 0.5),
-        "non_data_with_megabytes": (kind != "data") & (megabytes != 0),
+        "non_data_with_megabytes": ~kind.eqNullSafe("data") & (megabytes != 0),
         "call_outside_hours": is_call & ~F.hour("event_date").between(7, 22),
     }
 

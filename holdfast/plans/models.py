@@ -19,18 +19,21 @@ LOGISTIC = {"maxIter": 1000, "C": 1.0}
 BOOSTED = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
 
 
-PARTITION_BYTES = 64 * 1024**2
+#: Partitions of the training rows, for the caller to set by the size of the data. The rows that a tree draws depend on
+#: it, so it is a setting like the seed and never derived from the input.
+TRAIN_PARTITIONS = 8
 
 
-def sized(train: DataFrame) -> DataFrame:
-    """Training is many short passes over the same rows: join small partitions, so that a pass is few tasks."""
-    facts = train.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size(vector_to_array("features"))).alias("width")).first()
-    return train.coalesce(1 + facts["rows"] * (facts["width"] or 0) * 8 // PARTITION_BYTES)
+def laid_out(train: DataFrame, partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+    """The same rows in the same places and order, however the input is split."""
+    return train.repartition(partitions, "customer_id").sortWithinPartitions("customer_id")
 
 
-def fit_logistic(train: DataFrame, max_iter: int = LOGISTIC["maxIter"], c: float = LOGISTIC["C"]) -> LogisticRegressionModel:
+def fit_logistic(
+    train: DataFrame, max_iter: int = LOGISTIC["maxIter"], c: float = LOGISTIC["C"], partitions: int = TRAIN_PARTITIONS,
+) -> LogisticRegressionModel:
     """L2-penalised, class-balanced. The penalty 1 / (C * sum of weights) is the one of a summed loss."""
-    weighted = with_class_weights(sized(train))
+    weighted = with_class_weights(laid_out(train, partitions))
     total = weighted.agg(F.sum("weight")).first()[0]
     estimator = LogisticRegression(
         maxIter=max_iter, regParam=1.0 / (c * total), elasticNetParam=0.0, standardization=False, weightCol="weight",
@@ -38,8 +41,11 @@ def fit_logistic(train: DataFrame, max_iter: int = LOGISTIC["maxIter"], c: float
     return estimator.fit(weighted)
 
 
-def fit_boosted(train: DataFrame, trees: int = BOOSTED["maxIter"], seed: int = SEED) -> GBTClassificationModel:
-    return GBTClassifier(**{**BOOSTED, "maxIter": trees}, seed=seed).fit(sized(train))
+def fit_boosted(
+    train: DataFrame, trees: int = BOOSTED["maxIter"], seed: int = SEED, partitions: int = TRAIN_PARTITIONS,
+) -> GBTClassificationModel:
+    estimator = GBTClassifier(**{**BOOSTED, "maxIter": trees}, seed=seed, cacheNodeIds=True, checkpointInterval=10)
+    return estimator.fit(laid_out(train, partitions))
 
 
 def score_customers(model, prepared: DataFrame, threshold: float = 0.5) -> DataFrame:

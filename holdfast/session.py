@@ -30,10 +30,12 @@ def build_session(app_name: str = "holdfast", **overrides: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Root of the folder all executors see; a local one is made only where the session names none."""
+    """Root of the folder all executors see; on one machine a local one is made where none is named."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="holdfast-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

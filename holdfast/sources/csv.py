@@ -13,10 +13,17 @@ WHOLE_NUMBERS = ("tenure", "churn_value", "churn_score", "cltv")
 
 
 def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, picked by header; headers that are not needed never leave the reader."""
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    wanted = [c for c in header.columns if c in S.CSV_HEADERS]
-    return rename_columns(header.select(*[F.col(f"`{c}`") for c in wanted]))
+    """All columns as text, picked by header; headers that are not needed never leave the reader.
+
+    Every file has to have the same columns in the same order: the reader checks each file's header and fails on another
+    one, since Spark would take the values by position. A missing column is an error as well.
+    """
+    columns = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+    if missing := [c for c in S.CSV_HEADERS if c not in columns]:
+        raise ValueError(f"columns missing from {path}: {missing}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    rows = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    return rename_columns(rows.select(*[F.col(f"`{c}`") for c in columns if c in S.CSV_HEADERS]))
 
 
 def clean(wide: DataFrame, fill: bool = True) -> DataFrame:

@@ -17,9 +17,17 @@ def read_event_stream(spark: SparkSession, path: str, files_per_trigger: int | N
 
 
 def _dropped(query) -> int:
-    return sum(
-        op.numRowsDroppedByWatermark for progress in query.recentProgress for op in progress.stateOperators
-    )
+    """Waits for the end of the query; rows it dropped for being late, over all its batches.
+
+    A query remembers its last batches only, so they are gathered while it runs.
+    """
+    dropped: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(1)
+        for progress in query.recentProgress:
+            dropped[progress.batchId] = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+    return sum(dropped.values())
 
 
 def stream_ingest(
@@ -30,7 +38,7 @@ def stream_ingest(
     lateness: str = LATENESS,
     files_per_trigger: int | None = None,
 ) -> int:
-    """Append new events once per event id; returns how many rows came too late.
+    """Append new events once per event id, and all events without one; returns how many rows came too late.
 
     Ids are remembered for ``lateness`` behind the newest event, which bounds the state. Choose it longer than the
     disorder of the feed: rows older than that are dropped and counted. Run with a UTC session so that
@@ -38,13 +46,14 @@ def stream_ingest(
     """
     events = read_event_stream(spark, source, files_per_trigger)
     timed = events.withColumn("event_date", F.col("event_date").cast("timestamp"))
-    unique = timed.withWatermark("event_date", lateness).dropDuplicatesWithinWatermark(["event_id"])
+    # An event without an id is no copy of another one.
+    keyed = timed.withColumn("_key", F.coalesce(F.col("event_id").cast("string"), F.concat(F.lit("none:"), F.uuid())))
+    unique = keyed.withWatermark("event_date", lateness).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
     stored = unique.withColumn("event_date", F.col("event_date").cast("timestamp_ntz"))
     query = (
         stored.writeStream.format("parquet").outputMode("append").option("path", target)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
-    query.awaitTermination()
     return _dropped(query)
 
 

@@ -84,6 +84,26 @@ def test_challenger_wins_ties(spark, tmp_path):
     assert {r["run_name"] for r in best.collect() if r["best"]} == {"logistic_regression"}
 
 
+@pytest.mark.parametrize("best", ["logistic_regression", "boosted_trees"])
+def test_what_the_log_finds_best_is_saved_and_scored(spark, fitted, src, tmp_path, best):
+    from holdfast.catalog.modelling import Trained
+
+    path = str(tmp_path / "runs")
+    for name, model in (("logistic_regression", fitted.logistic), ("boosted_trees", fitted.boosted)):
+        models.log_run(spark, path, name, {}, 0.9 if name == best else 0.8, models.save_model(model, str(tmp_path / name)))
+    chosen = Trained(src)
+    chosen.__dict__.update(fitted.__dict__ | {"runs": models.read_runs(spark, path)})
+    chosen.__dict__.pop("winner", None)
+    assert type(chosen.winner) is type(fitted.logistic if best == "logistic_regression" else fitted.boosted)
+    assert chosen.winner.uid == (fitted.logistic if best == "logistic_regression" else fitted.boosted).uid
+
+
+def test_the_fit_does_not_depend_on_the_files(fitted):
+    rows = fitted.balanced
+    fits = [models.fit_boosted(rows.repartition(n), trees=3).featureImportances.toArray() for n in (1, 4, 16)]
+    assert (fits[0] == fits[1]).all() and (fits[0] == fits[2]).all()
+
+
 def test_linear_attributions_add_up(fitted):
     means = explain.feature_means(fitted.balanced, fitted.names)
     beta = np.array(fitted.logistic.coefficients)
@@ -98,7 +118,7 @@ def test_sampled_attributions_add_up(fitted):
     phi = fitted.attributions
     assert phi.count() == fitted.test.count() * len(fitted.names)
     got = {r["customer_id"]: r["s"] for r in phi.groupBy("customer_id").agg(F.sum("phi").alias("s")).collect()}
-    scored = fitted.boosted.transform(fitted.test).withColumn("margin", explain.margin(fitted.boosted))
+    scored = fitted.winner.transform(fitted.test).withColumn("margin", explain.margin(fitted.winner))
     for r in scored.select("customer_id", "margin", "probability").collect():
         assert got[r["customer_id"]] + fitted.base_value == pytest.approx(r["margin"], abs=1e-8)
         assert 1 / (1 + np.exp(-r["margin"])) == pytest.approx(r["probability"][1], abs=1e-9)
@@ -115,7 +135,7 @@ def test_sampled_attributions_of_a_linear_model_are_exact(fitted):
 
 
 def test_riskiest_customer_is_explained(fitted):
-    riskiest = rates.riskiest_customer(models.score_customers(fitted.boosted, fitted.test))
+    riskiest = rates.riskiest_customer(models.score_customers(fitted.winner, fitted.test))
     rows = explain.explain_customer(fitted.attributions, riskiest, fitted.base_value).collect()
     assert len(rows) == len(fitted.names) and len({r["customer_id"] for r in rows}) == 1
     sizes = [abs(r["phi"]) for r in rows]

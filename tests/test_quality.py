@@ -26,11 +26,12 @@ def test_rules(spark):
         ("call", night, Decimal("0.4"), Decimal("3"), None),
         ("sms", night, Decimal("2"), Decimal("0"), "local"),
         ("data", at, Decimal("0"), Decimal("9"), None),
+        (None, at, Decimal("0"), Decimal("0"), "local"),
     ]
     cdr = spark.createDataFrame(
         rows, "event_type string, event_date timestamp, duration_mins decimal(8,2), data_mb decimal(10,2), call_type string")
     assert {r["rule"]: r["violations"] for r in quality.cdr_rule_checks(cdr).collect()} == {
-        "non_call_with_call_type": 1, "non_call_with_minutes": 1, "call_without_call_type": 1,
+        "missing_event_type": 1, "non_call_with_call_type": 2, "non_call_with_minutes": 1, "call_without_call_type": 1,
         "call_below_half_minute": 1, "non_data_with_megabytes": 1, "call_outside_hours": 1}
 
 

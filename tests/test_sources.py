@@ -110,3 +110,21 @@ def test_queries_on_the_data_path_use_no_python(spark):
         plan = plan_of(entry.queries()[name](spark, SMALL))
         assert "Python" not in plan and "Pandas" not in plan, name
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+
+
+def test_files_with_another_column_order_or_without_a_column_are_refused(spark, tmp_path):
+    from holdfast import schemas as S
+    from holdfast.sources.csv import read_wide_csv
+
+    names = list(S.CSV_HEADERS)
+    for folder, second in (("same", names), ("swapped", [names[1], names[0], *names[2:]])):
+        (tmp_path / folder).mkdir()
+        for i, header in enumerate((names, second)):
+            (tmp_path / folder / f"{i}.csv").write_text(",".join(header) + "\n" + ",".join(header) + "\n")
+    row = read_wide_csv(spark, str(tmp_path / "same")).collect()[1]
+    assert row["gender"] == next(k for k, v in S.CSV_HEADERS.items() if v == "gender")
+    with pytest.raises(Exception, match="header"):
+        read_wide_csv(spark, str(tmp_path / "swapped")).collect()
+    (tmp_path / "short.csv").write_text(",".join(names[1:]) + "\n")
+    with pytest.raises(ValueError, match="missing"):
+        read_wide_csv(spark, str(tmp_path / "short.csv"))

@@ -71,3 +71,15 @@ def test_running_totals_follow_the_batch_result(spark, feed, tmp_path):
     feed("c", [4])
     events.stream_usage_totals(spark, path, compacted, state)
     check(compacted)
+
+
+def test_events_without_an_id_are_all_kept(spark, tmp_path):
+    from holdfast import schemas as S
+
+    feed = str(tmp_path / "feed")
+    rows = spark.range(20).selectExpr(
+        "if(id < 10, id, null) event_id", "'c' customer_id", "timestamp_ntz'2024-01-01 10:00:00' event_date", "'sms' event_type",
+        "null duration_mins", "null data_mb", "null call_type")
+    rows.select(*[rows[f.name].cast(f.dataType) for f in S.CDR]).write.parquet(feed)
+    assert events.stream_ingest(spark, feed, str(tmp_path / "out"), str(tmp_path / "state")) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 20

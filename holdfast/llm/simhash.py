@@ -14,7 +14,7 @@ are linked is decided by the similarity that all bits of the wide fingerprints g
 import hashlib
 import math
 from collections.abc import Iterator
-from itertools import combinations, repeat
+from itertools import combinations, product, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -142,7 +142,11 @@ def fingerprint_groups(docs: DataFrame, size: int = 3, key: str = "doc_id", text
 #: 64-bit words of a wide fingerprint.
 WORDS = 8
 #: Segments of 23 bits whose codewords make keys, and the codewords taken of each.
-KEY_SEGMENTS, KEY_CODEWORDS = 5, 3
+KEY_SEGMENTS, KEY_CODEWORDS = 4, 3
+#: Segments that make one key together.
+KEY_WIDTH = 2
+#: Differing bits of 64 up to which two texts are compared on all bits; similar ones differ in 10, with a deviation of 3.
+WORD_ERRORS = 22
 
 _SIGNS = (golay.CODEWORDS[:, None] >> np.arange(golay.LENGTH, dtype=np.uint32) & np.uint32(1)).astype(np.float32) * 2 - 1
 
@@ -158,16 +162,19 @@ def wide_sums(hashes: np.ndarray, words: int = WORDS) -> np.ndarray:
     return np.concatenate([bit_sums(_rehashed(hashes, i) if i else hashes) for i in range(words)])
 
 
-def soft_keys(sums: np.ndarray, segments: int, codewords: int) -> np.ndarray:
-    """Keys of each row of signed bit sums: for each pair of segments, each pair of their best codewords."""
+def soft_keys(sums: np.ndarray, segments: int, codewords: int, width: int) -> np.ndarray:
+    """Keys of each row of signed bit sums: for each choice of `width` segments, each choice of their best codewords."""
     best = []
     for s in range(segments):
         match = sums[:, s * golay.LENGTH:(s + 1) * golay.LENGTH].astype(np.float32) @ _SIGNS.T
         best.append(np.argpartition(-match, codewords, axis=1)[:, :codewords].astype(np.int64))
-    keys = [
-        pair << 24 | best[a][:, i] << 12 | best[b][:, j]
-        for pair, (a, b) in enumerate(combinations(range(segments), 2)) for i in range(codewords) for j in range(codewords)
-    ]
+    keys = []
+    for number, chosen in enumerate(combinations(range(segments), width)):
+        for columns in product(range(codewords), repeat=width):
+            key = np.full(len(sums), number, dtype=np.int64)
+            for s, column in zip(chosen, columns):
+                key = key << 12 | best[s][:, column]
+            keys.append(key)
     return np.stack(keys, axis=1)
 
 
@@ -180,18 +187,18 @@ def with_digest(docs: DataFrame) -> DataFrame:
                      lambda texts: [[word_digest(t) for t in texts]], "_text")
 
 
-def wide_fingerprints(docs: DataFrame, size: int, segments: int, codewords: int) -> DataFrame:
+def wide_fingerprints(docs: DataFrame, size: int, segments: int, codewords: int, width: int) -> DataFrame:
     """doc_id, word_digest, n (different shingles), wide (the fingerprint's words) and keys of each row's text."""
 
     def work(texts: list[bytes]) -> list[list]:
         sets = [np.unique(shingle_hashes(t, size)) for t in texts]
         sums = np.stack([2 * wide_sums(s) - len(s) for s in sets])
         wide = packed((sums > 0).reshape(len(sets), WORDS, 64)).view(np.int64)
-        keys = soft_keys(sums, segments, codewords).astype(np.int32)
-        return [[word_digest(t) for t in texts], np.array([len(s) for s in sets]), wide.tolist(),
-                pa.array(list(keys), pa.list_(pa.int32()))]
+        keys = soft_keys(sums, segments, codewords, width).astype(np.int32 if width < 3 else np.int64)
+        return [[word_digest(t) for t in texts], np.array([len(s) for s in sets]), wide.tolist(), pa.array(list(keys))]
 
-    return map_texts(docs, ["doc_id"], "word_digest binary, n long, wide array<long>, keys array<int>", work)
+    kind = "int" if width < 3 else "long"
+    return map_texts(docs, ["doc_id"], f"word_digest binary, n long, wide array<long>, keys array<{kind}>", work)
 
 
 def shingle_similarity() -> str:
@@ -203,30 +210,37 @@ def shingle_similarity() -> str:
 
 def near_duplicates(
     docs: DataFrame, size: int = 5, similarity: float = 0.8, margin: float = 0.02, segments: int = KEY_SEGMENTS,
-    codewords: int = KEY_CODEWORDS,
+    codewords: int = KEY_CODEWORDS, width: int = KEY_WIDTH,
 ) -> DataFrame:
     """doc_id, word_digest and group of each row: rows of one group are copies or near copies of each other.
 
-    Texts with equal words (A-Z lower-cased) are one text from the start. Different texts are linked if the similarity
+    Texts with equal words (A-Z lower-cased) have equal fingerprints. Different texts are linked if the similarity
     that their wide fingerprints give is at least similarity - margin; its standard error is about 0.04 there, so pairs
-    close to the limit may fall on either side. All texts without words are equal. Repeated rows and null keys come back
-    as they are. An empty table gives no rows.
+    close to the limit may fall on either side. All texts without words are one group, null. Repeated rows and null keys come
+    back as they are. An empty table gives no rows. Keys have 12 bits for each of `width` segments; with two, strangers
+    seldom meet up to some 1e7 documents, beyond that width=3 with six segments keeps them apart.
     """
-    rows = store(wide_fingerprints(docs.select("doc_id", "text"), size, segments, codewords), "wide-rows")
-    texts = rows.groupBy("word_digest").agg(*[F.first(c).alias(c) for c in ("n", "wide", "keys")])
-    prints = store(texts.withColumn("id", F.monotonically_increasing_id()), "wide-prints")
-    keyed = prints.where("n > 0").select("id", F.explode("keys").alias("key"))
-    leaders = keyed.groupBy("key").agg(
-        F.min_by("id", F.xxhash64("key", "id")).alias("leader"), F.count("*").alias("rows")).where("rows > 1")
-    tries = keyed.join(leaders, "key").where("id <> leader").select("id", "leader").distinct()
+    rows = store(wide_fingerprints(docs.select("doc_id", "text"), size, segments, codewords, width), "wide-rows")
+    # A text is known by the last word of its fingerprint, which no key is made of; texts that agree in it are one.
+    texts = rows.where("n > 0").groupBy(F.expr(f"wide[{WORDS - 1}]").alias("id")).agg(
+        *[F.first(c).alias(c) for c in ("n", "wide", "keys")])
+    prints = store(texts, "wide-prints")
+    keyed = prints.select("id", F.explode("keys").alias("key"))
+    # Each row of a key is tried with the key's first and last one: linear in the rows, whatever their number per key.
+    ends = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    near = "(id <> {0} and bit_count(id ^ {0}) <= %d)" % WORD_ERRORS
+    met = keyed.join(ends.withColumnRenamed("key", "of"), F.expr(
+        f"key = of and ({near.format('first')} or {near.format('last')})"))
+    tries = met.select("id", F.explode(F.filter(F.array("first", "last"), lambda x: x != F.col("id"))).alias("leader")).select(
+        F.greatest("id", "leader").alias("id"), F.least("id", "leader").alias("leader")).distinct()
     one = prints.select("id", "n", "wide")
     other = prints.select(F.col("id").alias("leader"), F.col("n").alias("m"), F.col("wide").alias("other"))
     links = tries.join(one, "id").join(other, "leader").where(f"{shingle_similarity()} >= {similarity - margin}").select(
         F.col("id").alias("a"), F.col("leader").alias("b"))
     roots = components(links).withColumnRenamed("node", "id")
-    classes = prints.select("word_digest", "id").join(roots, "id", "left").select(
-        "word_digest", F.coalesce("root", "id").alias("group"))
-    return rows.select("doc_id", "word_digest").join(classes, "word_digest")
+    own = F.when(F.col("n") > 0, F.expr(f"wide[{WORDS - 1}]"))
+    return rows.select("doc_id", "word_digest", own.alias("id")).join(roots, "id", "left").select(
+        "doc_id", "word_digest", F.coalesce("root", "id").alias("group"))
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
@@ -237,13 +251,16 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     found = store(near_duplicates(docs, **options), "near-duplicates")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "word_digest")
     chosen = store(found.groupBy("group").agg(F.min(rank).alias("first")).select("first.doc_id", "first.word_digest"), "kept")
-    several = found.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id")
+    several = store(found.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id"), "repeated")
     plain = chosen.where("doc_id is not null").select("doc_id").join(several, "doc_id", "left_anti")
-    unique = docs.join(plain, "doc_id", "left_semi")
+    # The texts are shuffled once, at every size alike.
+    unique = docs.join(plain.hint("shuffle_hash"), "doc_id", "left_semi").select(docs.columns)
+    if several.isEmpty():
+        return unique
     # Rows that share their doc_id with others are told apart by their words.
     shared = with_digest(docs.join(several, docs["doc_id"].eqNullSafe(several["doc_id"]), "left_semi"))
     kept = F.struct("doc_id", "word_digest")
     held = shared.join(
         chosen.select(kept.alias("kept")), shared["word_digest"].eqNullSafe(F.col("kept.word_digest"))
         & shared["doc_id"].eqNullSafe(F.col("kept.doc_id")), "left_semi")
-    return unique.select(docs.columns).union(held.dropDuplicates(["doc_id", "word_digest"]).select(docs.columns))
+    return unique.union(held.dropDuplicates(["doc_id", "word_digest"]).select(docs.columns))

@@ -41,19 +41,30 @@ def slices(batch: pa.RecordBatch, name: str = TEXT) -> Iterator[tuple[pa.RecordB
         yield batch.slice(start), bytes_of(column.slice(start))
 
 
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
+          "binary": pa.binary()}
+
+
+def arrow_array(values: list | pa.Array, kind: str) -> pa.Array:
+    """Values of a Spark type; the type is given, since a run of nulls or empty lists does not show it."""
+    if isinstance(values, pa.Array):
+        return values
+    return pa.array(values, pa.list_(_ARROW[kind[6:-1]]) if kind.startswith("array<") else _ARROW[kind])
+
+
 def map_texts(
     df: DataFrame, keep: list[str], added: str, work: Callable[[list[bytes]], list[list]], text: str = "text",
 ) -> DataFrame:
     """Columns `keep` of each row, and those that `work` makes of the texts: a list of values for each added column."""
     fields = df.select(*keep).schema
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [added])
-    names = [part.split()[0] for part in added.split(",")]
+    names, kinds = zip(*(part.split() for part in added.split(",")))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch):
                 made = work(texts)
-                columns = [part.column(i) for i in range(len(keep))] + [pa.array(values) for values in made]
+                columns = [part.column(i) for i in range(len(keep))] + [arrow_array(values, kind) for values, kind in zip(made, kinds)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
 
     return df.select(*keep, F.col(text).alias(TEXT)).mapInArrow(mapped, schema)

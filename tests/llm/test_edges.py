@@ -212,6 +212,12 @@ def test_templates():
         license_scan.Scanner({}, {"x": '<<var;match=".+";words=2>> license'})
 
 
+def test_texts_without_any_statement(spark):
+    data = spark.createDataFrame([(i, "no statement here") for i in range(5)], "doc_id long, text string").coalesce(1)
+    found = license_scan.license_scan(data, spans=True).collect()
+    assert all(r["first_word"] is None and r["spans"] == [] and r["n_words"] == 3 for r in found) and len(found) == 5
+
+
 def test_top_k_with_ties_copies_and_bad_vectors(spark):
     made = np.random.default_rng(10)
     data = [(i, [float(x) for x in made.integers(-3, 4, 6) / 1024]) for i in range(300)]

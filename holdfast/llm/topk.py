@@ -17,6 +17,8 @@ from holdfast.session import store
 
 #: Candidates and queries that meet in one call.
 BLOCK_ROWS, QUERY_ROWS = 8192, 512
+#: Blocks, and blocks of queries, that meet in one group: some 50 MB at 64 dimensions.
+GROUP_BLOCKS, GROUP_QUERIES = 8, 64
 #: Dimensions that are added between two prunings.
 STEP = 16
 
@@ -52,6 +54,23 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(mapped, "dims int, ids array<long>, columns binary")
 
 
+def meetings(blocks: DataFrame, queries: DataFrame, group_blocks: int, group_queries: int) -> DataFrame:
+    """Every block beside every query block of as many dimensions.
+
+    They meet in a grid: a block goes to one row of cells, a query block to one column, and a cell holds about
+    group_blocks of the ones and group_queries of the others, so no task grows with the data.
+    """
+    rows = -(-blocks.count() // group_blocks) or 1
+    columns = -(-queries.count() // group_queries) or 1
+    place = F.xxhash64("ids")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = blocks.select("*", F.pmod(place, F.lit(rows)).cast("int").alias("row"), every(columns).alias("column"))
+    right = queries.select(
+        "query_block", "dims", F.col("ids").alias("query_ids"), F.col("columns").alias("queries"),
+        F.pmod(place, F.lit(columns)).cast("int").alias("column"), every(rows).alias("row"))
+    return left.join(right, ["dims", "row", "column"])
+
+
 def rest_masses(columns: np.ndarray, step: int) -> np.ndarray:
     """For each pruning point, the norm of each vector's dimensions from there on."""
     squares = columns.astype(np.float64) ** 2
@@ -109,6 +128,7 @@ def search(joined: DataFrame, k: int, step: int) -> DataFrame:
 def top_k(
     vectors: DataFrame, k: int = 10, every: int = 100, scale: float = 1024.0, block_rows: int = BLOCK_ROWS,
     query_rows: int = QUERY_ROWS, step: int = STEP, key: str = "vec_id", vector: str = "embedding",
+    group_blocks: int = GROUP_BLOCKS, group_queries: int = GROUP_QUERIES,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest inner products of floor(scale * x) for each vector whose id is
     divisible by `every`, among all rows of as many dimensions but its own; ties to smaller ids.
@@ -122,10 +142,7 @@ def top_k(
     queries = store(
         packed(rows.where(F.col("vec_id") % every == 0).coalesce(1 + _queries(rows, every) // query_rows), query_rows)
         .withColumn("query_block", F.monotonically_increasing_id()), "query-blocks")
-    # Every block meets every block of the stated queries of its number of dimensions.
-    met = blocks.join(queries.select(
-        "query_block", "dims", F.col("ids").alias("query_ids"), F.col("columns").alias("queries")), "dims")
-    found = search(met, k, step)
+    found = search(meetings(blocks, queries, group_blocks, group_queries), k, step)
     # The query's own row is one of those equal to it; the first of them is left out.
     per_query = Window.partitionBy("query_block", "query_row")
     ordered = per_query.orderBy(F.desc("score"), "vec_id", F.desc("same"))

@@ -187,8 +187,22 @@ def test_near_duplicates_at_a_similarity_of_four_fifths(spark):
     group = {r["doc_id"]: r["group"] for r in simhash.near_duplicates(data).collect()}
     linked = [group[2 * i] == group[2 * i + 1] for i in range(len(pairs))]
     similar = [x for x, p in zip(linked, pairs) if p >= 0.82]
-    assert len(similar) > 80 and np.mean(similar) > 0.93
-    assert not any(x for x, p in zip(linked, pairs) if p < 0.6)
+    assert len(similar) > 80 and np.mean(similar) > 0.95
+    assert not any(x for x, p in zip(linked, pairs) if p < 0.68)
+
+
+def test_wide_sums_are_those_of_each_hash():
+    hashes = np.random.default_rng(4).integers(0, 1 << 64, 700, dtype=np.uint64)
+    sums = simhash.wide_sums(hashes, 3)
+    assert (sums[:64] == simhash.bit_sums(hashes)).all()
+    assert all(abs(sums[64 * i:64 * i + 64] - 350).max() < 80 for i in range(3))
+    assert (sums == sum(simhash.wide_sums(hashes[i:i + 1], 3) for i in range(700))).all()
+
+
+def test_one_of_each_keeps_one_row_of_each_group(spark):
+    texts = [" ".join(f"w{(7 * i + j) % 900}" for j in range(120)) for i in range(0, 90, 30)] * 2
+    data = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    group = {r["doc_id"]: r["group"] for r in simhash.near_duplicates(data).collect()}
     kept = {r["doc_id"] for r in simhash.one_of_each(data).collect()}
     assert len(kept) == len(set(group.values()))
 
@@ -218,13 +232,14 @@ def test_texts_without_any_statement(spark):
     assert all(r["first_word"] is None and r["spans"] == [] and r["n_words"] == 3 for r in found) and len(found) == 5
 
 
-def test_top_k_with_ties_copies_and_bad_vectors(spark):
+@pytest.mark.parametrize("groups", [(8, 64), (1, 1), (3, 2)])
+def test_top_k_with_ties_copies_and_bad_vectors(spark, groups):
     made = np.random.default_rng(10)
     data = [(i, [float(x) for x in made.integers(-3, 4, 6) / 1024]) for i in range(300)]
     data += [(7, data[7][1]), (200, data[200][1]), (None, data[1][1]), (900, None), (901, [1.0, None] + [0.0] * 4),
              (902, [float("nan")] * 6), (903, [float("inf")] * 6), (904, [1.0, 2.0]), (300, [0.5, 0.5])]
     vectors = spark.createDataFrame(data, "vec_id long, embedding array<double>").withColumn("score", F.lit("x"))
-    found = topk.top_k(vectors, k=5, block_rows=32, query_rows=2, step=2).collect()
+    found = topk.top_k(vectors, k=5, block_rows=32, query_rows=2, step=2, group_blocks=groups[0], group_queries=groups[1]).collect()
     usable = [(i, np.floor(1024 * np.array(v)).astype(int)) for i, v in data
               if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     expected = []

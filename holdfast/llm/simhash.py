@@ -140,7 +140,7 @@ def fingerprint_groups(docs: DataFrame, size: int = 3, key: str = "doc_id", text
 # Wide fingerprints for a similarity of shingle sets
 
 #: 64-bit words of a wide fingerprint.
-WORDS = 24
+WORDS = 16
 #: Segments of 23 bits whose codewords make keys, and the codewords taken of each.
 KEY_SEGMENTS, KEY_CODEWORDS = 4, 3
 #: Segments that make one key together.
@@ -220,7 +220,7 @@ def near_duplicates(
     """doc_id, word_digest and group of each row: rows of one group are copies or near copies of each other.
 
     Texts with equal words (A-Z lower-cased) have equal fingerprints. Different texts are linked if the similarity
-    that their wide fingerprints give is at least similarity - margin; its standard error is about 0.02 there, so pairs
+    that their wide fingerprints give is at least similarity - margin; its standard error is about 0.03 there, so pairs
     close to the limit may fall on either side. All texts without words are one group, null. Repeated rows and null keys come
     back as they are. An empty table gives no rows. Keys have 12 bits for each of `width` segments; with two, strangers
     seldom meet up to some 1e7 documents, beyond that width=3 with six segments keeps them apart.

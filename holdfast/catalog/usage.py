@@ -107,7 +107,7 @@ def _sent_twice(src) -> str:
 def _(src):
     target = scratch_path(src.spark, "stream")
     events.stream_ingest(src.spark, _sent_twice(src), target, scratch_path(src.spark, "stream-state"))
-    return src.spark.read.parquet(target)
+    return events.ingested(src.spark, target)
 
 
 @query("stream_usage_totals", """select customer_id, total_calls, total_sms, total_data_sessions, complaint_count,

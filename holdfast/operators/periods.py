@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from holdfast.functions import columns as C
 from holdfast.operators.quantiles import exact_quantiles
-from holdfast.operators.skew import heavy_keys, split_heavy_join
+from holdfast.operators.skew import split_heavy_join
 from holdfast.session import store
 
 PERIOD_DAYS = 30
+ROWS_PER_PART = 2_000_000
 KINDS = {"calls": "call", "sms": "sms", "data_sessions": "data", "complaints": "complaint"}
 EVENTS = "calls + sms + data_sessions + complaints"
 
@@ -116,34 +117,28 @@ def call_type_mix(cdr: DataFrame) -> DataFrame:
     return counts.withColumn("share", F.col("calls") / everything.cast("double"))
 
 
-def event_ids(cdr: DataFrame, digits: int = 3) -> DataFrame:
+def event_ids(cdr: DataFrame, digits: int = 3, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Dense ids 1..n: customers in order of their key's hash, events of a customer in time order.
 
-    Three levels keep every sort small: hash buckets of customers (at most 16^digits), the parts of one customer, the
-    events of one part. A customer with very many events has a part per hour, any other customer is one part.
+    One range sort of the rows, written once. The order runs on through event time, event id and the row's place in the
+    input, so a customer with a third of all rows, or many events of one instant, is cut into as many ranges as any others.
     """
-    heavy = heavy_keys(cdr.select("customer_id"), "customer_id")
-    hour = F.unix_date(F.col("event_date").cast("date")) * 24 + F.hour("event_date")
-    # Fewer than 1 / HEAVY_SHARE rows.
-    keyed = cdr.join(F.broadcast(heavy), "customer_id", "left").withColumns({
-        "_customer": F.coalesce("customer_id", F.lit("")),
-        "_part": F.when(F.col("_heavy") | F.col("customer_id").isNull(), F.coalesce(hour, F.lit(-(2**31)))).otherwise(0),
+    parts = -(-cdr.count() // rows_per_part) or 1
+    customer = F.coalesce("customer_id", F.lit(""))
+    keyed = cdr.withColumns({
+        "_bucket": F.substring(F.md5(customer), 1, digits), "_customer": customer, "_place": F.monotonically_increasing_id(),
     })
-    parts = keyed.groupBy("_customer", "_part").agg(F.count(F.lit(1)).alias("_n"))
-    parts = parts.withColumn("_bucket", F.substring(F.md5("_customer"), 1, digits))
-    totals = parts.groupBy("_bucket").agg(F.sum("_n").alias("_bucket_rows"))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    buckets = totals.select("_bucket", F.coalesce(F.sum("_bucket_rows").over(before), F.lit(0)).alias("_start"))
-    earlier = W.partitionBy("_bucket").orderBy("_customer", "_part").rowsBetween(W.unboundedPreceding, -1)
-    placed = parts.withColumn("_earlier", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    # At most 16^digits rows.
-    starts = placed.join(F.broadcast(buckets), "_bucket").select(
-        "_customer", "_part", (F.col("_start") + F.col("_earlier")).alias("_offset")
-    )
-    inside = F.row_number().over(W.partitionBy("_customer", "_part").orderBy("event_date", "event_id"))
-    numbered = keyed.withColumn("_row", inside).join(starts, ["_customer", "_part"])
-    return numbered.select(
-        (F.col("_offset") + F.col("_row")).alias("event_id"),
+    order = ["_bucket", "_customer", "event_date", "event_id", "_place"]
+    # The id's upper bits are the number of the range, the lower 33 bits the place inside it.
+    sorted_rows = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("_bucket", "_customer", "_place")
+    placed = store(sorted_rows.withColumn("_at", F.monotonically_increasing_id()), "event-order").withColumn(
+        "_part", F.shiftright("_at", 33))
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    # One row per range.
+    starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return placed.join(F.broadcast(starts), "_part").select(
+        (F.col("_start") + F.col("_at").bitwiseAND(F.lit(2**33 - 1)) + 1).alias("event_id"),
         F.col("event_id").alias("source_event_id"),
         *[c for c in cdr.columns if c != "event_id"],
     )

@@ -1,21 +1,19 @@
 """Exact order statistics and running sums that no single task has to hold.
 
 Values are first reduced to distinct values with counts, so a value that repeats a billion times is one row. The
-distinct values are then cut into ranges at split points found by an approximate sketch. The split points only
-balance the ranges: any choice gives the same, exact answer. Counts per range (at most ``MOST_RANGES`` rows per group) say
-which range holds the wanted rank, and only that range is sorted. A stored table of at most ``SMALL_ROWS`` distinct values, by count,
-takes the direct way instead.
+distinct values are then cut into ranges of about ``ROWS_PER_RANGE`` at split points found by an approximate sketch, in as
+many levels of at most ``FAN`` ranges as that takes. The split points only balance the ranges: any choice gives the same,
+exact answer. Counts per range say which range holds the wanted rank, and only that range is sorted.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from holdfast.session import small_table, store
+from holdfast.session import store
 
-FEWEST_RANGES, MOST_RANGES = 64, 512
-ROWS_PER_RANGE = 2_000_000
-SMALL_ROWS = 1_000_000
+FAN = 512
+ROWS_PER_RANGE = 1_000_000
 
 
 def value_counts(df: DataFrame, columns: list[str], groups: tuple[str, ...] = ()) -> DataFrame:
@@ -28,30 +26,27 @@ def value_counts(df: DataFrame, columns: list[str], groups: tuple[str, ...] = ()
 
 
 def with_ranges(counts: DataFrame) -> DataFrame:
-    """Add an order-preserving range number per metric to a stored table.
+    """Add an order-preserving range number per metric to a stored table, whose rows are counted.
 
-    A small table is one range. Otherwise one row of ``ranges - 1`` numbers per metric reaches the driver; as literals they are the same in every branch and
-    every retry of the query.
+    The splits are written, so that they are the same in every branch and every retry of the query.
     """
-    rows = counts.count()
-    if rows <= SMALL_ROWS:
-        return counts.withColumn("part", F.lit(0))
-    ranges = min(MOST_RANGES, max(FEWEST_RANGES, rows // ROWS_PER_RANGE))
-    fractions = [i / ranges for i in range(1, ranges)]
-    found = counts.groupBy("metric").agg(F.percentile_approx("value", fractions, 20 * ranges).alias("splits")).collect()
-    splits = small_table(
-        counts.sparkSession,
-        {"metric": [r["metric"] for r in found], "splits": [sorted(set(r["splits"])) for r in found]},
-        "metric string, splits array<double>",
-    )
-    # One row per metric name: bounded by the caller's column list.
-    tagged = counts.join(F.broadcast(splits), "metric")
-    part = F.size(F.filter("splits", lambda s: s < F.col("value"))).alias("part")
-    return tagged.select(*counts.columns, part)
+    wanted = max(1, -(-counts.count() // ROWS_PER_RANGE))
+    ranged = counts.withColumn("part", F.lit(0).cast("bigint"))
+    while wanted > 1:
+        ranges = min(FAN, wanted)
+        fractions = [i / ranges for i in range(1, ranges)]
+        sketch = F.percentile_approx("value", fractions, 20 * ranges).alias("splits")
+        splits = store(ranged.groupBy("metric", "part").agg(sketch), "splits")
+        # One row per metric and range so far. Spark knows the size of the written table and broadcasts it if it is small.
+        inside = F.size(F.filter("splits", lambda s: s < F.col("value")))
+        part = (F.col("part") * ranges + inside).alias("part")
+        ranged = ranged.join(splits, ["metric", "part"]).select(*counts.columns, part)
+        wanted = -(-wanted // ranges)
+    return ranged
 
 
 def range_offsets(ranged: DataFrame, groups: tuple[str, ...], sums: list[str], descending: bool = False) -> DataFrame:
-    """Totals before each range. The windows run over at most ``MOST_RANGES`` rows per group."""
+    """Totals before each range. The windows run over one row per range."""
     totals = ranged.groupBy(*groups, "part").agg(*[F.sum(s).alias(f"_{s}") for s in sums])
     part = F.col("part").desc() if descending else F.col("part").asc()
     running = W.partitionBy(*groups).orderBy(part).rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -77,10 +72,6 @@ def exact_quantiles(
     """
     counts = store(value_counts(df, columns, groups), "value-counts") if counts is None else counts
     keys = (*groups, "metric")
-    if counts.count() <= SMALL_ROWS:
-        quantiles = F.percentile("value", list(probabilities.values()), F.col("n")).alias("quantiles")
-        found = counts.groupBy(*keys).agg(quantiles)
-        return found.select(*keys, *[F.get("quantiles", F.lit(i)).alias(p) for i, p in enumerate(probabilities)])
     ranged = with_ranges(counts)
     offsets = range_offsets(ranged, keys, ["n"])
 
@@ -92,7 +83,8 @@ def exact_quantiles(
 
     ranks = [f(position(p)) for p in probabilities.values() for f in (F.floor, F.ceil)]
     wanted = offsets.filter(_any(*[holds(r) for r in ranks]))
-    inside = ranged.join(wanted, [*keys, "part"])
+    # Without groups there are at most two ranges per probability and column of the list.
+    inside = ranged.join(wanted if groups else F.broadcast(wanted), [*keys, "part"])
     running = W.partitionBy(*keys, "part").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = inside.withColumn("last", F.col("n_before") + F.sum("n").over(running))
 
@@ -136,8 +128,7 @@ def running_sums(df: DataFrame, value: str, sums: list[str], descending: bool =
     counts = store(df.select(F.lit(value).alias("metric"), F.col(value).cast("double").alias("value"), *sums), "sums")
     ranged = with_ranges(counts)
     offsets = range_offsets(ranged, (), sums, descending)
-    # At most MOST_RANGES rows.
-    joined = ranged.join(F.broadcast(offsets), "part")
+    joined = ranged.join(offsets, "part")
     order = F.col("value").desc() if descending else F.col("value").asc()
     inside = W.partitionBy("part").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     return joined.select(

@@ -77,25 +77,32 @@ def histogram(df: DataFrame, columns: list[str] | None = None, bins: int = 10) -
     A column with a single value gets bins of half a unit to either side of it.
     """
     columns = columns or S.DISTRIBUTION_COLUMNS
-    counts = value_counts(df, columns)
-    limits = counts.groupBy("metric").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    flat = F.when(F.col("low") == F.col("high"), 0.5).otherwise(0.0)
-    limits = limits.select("metric", (F.col("low") - flat).alias("low"), (F.col("high") + flat).alias("high"))
+    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    ends = numeric.agg(*[f(c).alias(f"{c}_{f.__name__}") for c in columns for f in (F.min, F.max)]).first()
+    limits = {}
+    for c in columns:
+        low, high = ends[f"{c}_min"], ends[f"{c}_max"]
+        if low is not None:
+            limits[c] = (low - 0.5, high + 0.5) if low == high else (low, high)
+    if not limits:
+        return df.sparkSession.createDataFrame([], "metric string, bin int, bin_start double, bin_end double, rows bigint")
+    # The bins are found where the rows are read: only counts per bin are shuffled.
+    placed = numeric.select(*[
+        F.when(F.col(c) >= high, bins - 1).otherwise(F.floor((F.col(c) - low) / F.lit(high - low) * bins)).cast("int").alias(c)
+        for c, (low, high) in limits.items()
+    ]).unpivot([], list(limits), "metric", "bin").filter(F.col("bin").isNotNull())
+    counted = placed.groupBy("metric", "bin").agg(F.count(F.lit(1)).alias("rows"))
+    edges = small_table(
+        df.sparkSession,
+        {"metric": list(limits), "low": [l for l, _ in limits.values()], "width": [(h - l) / bins for l, h in limits.values()]},
+        "metric string, low double, width double",
+    )
     # One row per column of the list.
-    placed = counts.join(F.broadcast(limits), "metric")
-    place = F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * bins)
-    bin_index = F.least(place, F.lit(bins - 1)).cast("int")
-    width = (F.col("high") - F.col("low")) / bins
-    return (
-        placed.groupBy("metric", bin_index.alias("bin"), "low", width.alias("width"))
-        .agg(F.sum("n").alias("rows"))
-        .select(
-            "metric",
-            "bin",
-            (F.col("low") + F.col("bin") * F.col("width")).alias("bin_start"),
-            (F.col("low") + (F.col("bin") + 1) * F.col("width")).alias("bin_end"),
-            "rows",
-        )
+    return counted.join(F.broadcast(edges), "metric").select(
+        "metric", "bin",
+        (F.col("low") + F.col("bin") * F.col("width")).alias("bin_start"),
+        (F.col("low") + (F.col("bin") + 1) * F.col("width")).alias("bin_end"),
+        "rows",
     )
 
 

@@ -41,13 +41,18 @@ def background_rows(train: DataFrame, rows: int = 4, seed: int = SEED) -> list[l
 def sampled_shapley(
     model, rows: DataFrame, background: list[list[float]], names: list[str], permutations: int = 4, seed: int = SEED
 ) -> DataFrame:
-    """(customer_id, feature, phi) in log-odds, for every row given.
+    """(customer_id, feature, phi, error) in log-odds, for every row given.
 
     For each customer and permutation the features are switched one after the other from a background row to the
     customer's own values; each change of the margin belongs to the feature switched. All hybrid points are scored by
     one ``transform``, and differences between consecutive steps telescope, so that the attributions of a customer sum
     to its margin minus the mean margin of the background rows used. Partial sums stay with the customer.
+
+    Permutations come in pairs, one and its reverse, whose errors partly cancel. ``error`` is the standard error of phi
+    from the spread of the pairs; null for a single pair.
     """
+    if permutations % 2:
+        raise ValueError("permutations come in pairs")
     width = len(names)
     # Each row grows by permutations times features, so the rows are spread over all cores first, whatever the size of
     # the files they come from. The final sum groups by customer and reuses this partitioning.
@@ -56,12 +61,14 @@ def sampled_shapley(
     drawn = customers.select(
         "customer_id", "x", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("draw")
     ).withColumn("base", F.get(F.lit(background), F.col("draw") % len(background)))
-    # Rank of each feature in this draw: by hash of (customer, draw, feature).
+    # Rank of each feature in this draw: by hash of (customer, pair, feature), every second time backwards.
+    pair = F.floor(F.col("draw") / 2)
     ticket = F.transform(
         F.sequence(F.lit(0), F.lit(width - 1)),
-        lambda i: F.struct(F.xxhash64("customer_id", "draw", i, F.lit(seed)).alias("h"), i.alias("i")),
+        lambda i: F.struct(F.xxhash64("customer_id", pair, i, F.lit(seed)).alias("h"), i.alias("i")),
     )
-    order = F.transform(F.array_sort(ticket), lambda t: t["i"])
+    forward = F.transform(F.array_sort(ticket), lambda t: t["i"])
+    order = F.when(F.col("draw") % 2 == 0, forward).otherwise(F.reverse(forward))
     ranked = drawn.withColumn("order", order).withColumn("rank", F.transform(
         F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.array_position("order", i).cast("int")))
     steps = ranked.select("*", F.explode(F.sequence(F.lit(0), F.lit(width))).alias("step"))
@@ -75,13 +82,15 @@ def sampled_shapley(
     )
     scored = model.transform(hybrids).withColumn("margin", margin(model))
     # Step s adds its margin to the feature that entered at s and takes it from the feature that enters at s + 1.
-    signed = scored.select("customer_id", F.explode(F.array(
+    signed = scored.select("customer_id", pair.alias("pair"), F.explode(F.array(
         F.struct(F.col("entered").alias("idx"), F.col("margin").alias("part")),
         F.struct(F.col("entering").alias("idx"), (-F.col("margin")).alias("part")),
-    )).alias("s")).select("customer_id", "s.idx", "s.part").filter(F.col("idx").isNotNull())
+    )).alias("s")).select("customer_id", "pair", "s.idx", "s.part").filter(F.col("idx").isNotNull())
     labels = F.array(*[F.lit(n) for n in names])
-    summed = signed.groupBy("customer_id", "idx").agg((F.sum("part") / permutations).alias("phi"))
-    return summed.select("customer_id", F.get(labels, F.col("idx")).alias("feature"), "phi")
+    pairs = signed.groupBy("customer_id", "idx", "pair").agg((F.sum("part") / 2).alias("phi"))
+    summed = pairs.groupBy("customer_id", "idx").agg(
+        F.avg("phi").alias("phi"), (F.try_divide(F.stddev_samp("phi"), F.sqrt(F.count("phi")))).alias("error"))
+    return summed.select("customer_id", F.get(labels, F.col("idx")).alias("feature"), "phi", "error")
 
 
 def margin(model) -> Column:

@@ -1,10 +1,12 @@
 """Incremental intake of usage events."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast import schemas as S
 from holdfast.operators.view360 import usage_totals
+from holdfast.session import store
 
 LATENESS = "60 days"
 
@@ -40,9 +42,10 @@ def stream_ingest(
 ) -> int:
     """Append new events once per event id, and all events without one; returns how many rows came too late.
 
-    Ids are remembered for ``lateness`` behind the newest event, which bounds the state. Choose it longer than the
-    disorder of the feed: rows older than that are dropped and counted. Run with a UTC session so that
-    both casts of the event time are exact.
+    Ids are remembered for ``lateness`` behind the newest event, which bounds the state. Rows older than that pass the
+    stream by; where there were any, ``add_late`` puts them beside the target. ``ingested`` reads both. Choose the delay
+    longer than the usual disorder, so that this is rare. Run with a UTC session so that both casts of the event time are
+    exact.
     """
     events = read_event_stream(spark, source, files_per_trigger)
     timed = events.withColumn("event_date", F.col("event_date").cast("timestamp"))
@@ -54,7 +57,40 @@ def stream_ingest(
         stored.writeStream.format("parquet").outputMode("append").option("path", target)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
-    return _dropped(query)
+    late = _dropped(query)
+    if late:
+        add_late(spark, source, target)
+    return late
+
+
+def _late(target: str) -> str:
+    return f"{target.rstrip('/')}-late"
+
+
+def ingested(spark: SparkSession, target: str) -> DataFrame:
+    """All events taken in: those of the stream and those that came too late for it."""
+    # The stream's folder lists its files in a log of its own, so late rows have a folder beside it.
+    stored = spark.read.schema(S.CDR).parquet(target)
+    try:
+        return stored.union(spark.read.schema(S.CDR).parquet(_late(target)))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return stored
+
+
+def add_late(spark: SparkSession, source: str, target: str) -> None:
+    """Add the feed's events that the target lacks: by id, once each; those without an id as often as they lack.
+
+    One join of the feed with the target. Run it while no intake is active; a second run adds nothing.
+    """
+    feed = spark.read.option("recursiveFileLookup", True).schema(S.CDR).parquet(source)
+    held = ingested(spark, target)
+    known, nameless = F.col("event_id").isNotNull(), F.col("event_id").isNull()
+    missing = feed.where(known).join(held.where(known).select("event_id"), "event_id", "left_anti").dropDuplicates(["event_id"])
+    # Written aside first: the late rows are not read while they grow.
+    added = store(missing.select(feed.columns).union(feed.where(nameless).exceptAll(held.where(nameless))), "late-events")
+    added.write.mode("append").parquet(_late(target))
 
 
 def stream_usage_totals(
@@ -66,11 +102,11 @@ def stream_usage_totals(
     """
     totals = usage_totals(read_event_stream(spark, source, files_per_trigger))
 
-    def store(batch: DataFrame, batch_id: int) -> None:
+    def keep(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     query = (
-        totals.writeStream.outputMode("update").foreachBatch(store)
+        totals.writeStream.outputMode("update").foreachBatch(keep)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()

@@ -50,9 +50,9 @@ def test_logistic_fit_is_the_optimum_of_the_penalised_loss(fitted):
     assert abs((p - y).sum()) / n < 1e-3
 
 
-@pytest.mark.parametrize("ranges", [1_000_000, 0])
-def test_auc_equals_the_evaluator(fitted, monkeypatch, ranges):
-    monkeypatch.setattr(quantiles, "SMALL_ROWS", ranges)
+@pytest.mark.parametrize("rows", [1_000_000, 5])
+def test_auc_equals_the_evaluator(fitted, monkeypatch, rows):
+    monkeypatch.setattr(quantiles, "ROWS_PER_RANGE", rows)
     scored = fitted.logistic.transform(fitted.prepared)
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="probability", numBins=0)
     assert auc(fitted.logistic, fitted.prepared) == pytest.approx(evaluator.evaluate(scored), abs=1e-12)

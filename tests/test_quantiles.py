@@ -10,7 +10,9 @@ from holdfast.operators import stats
 
 @pytest.fixture
 def many_ranges(monkeypatch):
-    monkeypatch.setattr(Q, "SMALL_ROWS", 0)
+    """Several levels of few ranges."""
+    monkeypatch.setattr(Q, "ROWS_PER_RANGE", 20)
+    monkeypatch.setattr(Q, "FAN", 4)
 
 
 @pytest.fixture(scope="module")
@@ -34,13 +36,22 @@ def test_grouped_quantiles(numbers, many_ranges):
             assert got[g][name] == pytest.approx(np.quantile(own, p), rel=1e-12), (g, name)
 
 
-def test_one_range_and_many_ranges_agree(numbers, monkeypatch):
+def test_the_number_of_ranges_does_not_show(numbers, monkeypatch):
     df, _ = numbers
-    one = Q.exact_quantiles(df, ["v"], stats.QUARTILES).first()
-    monkeypatch.setattr(Q, "SMALL_ROWS", 0)
-    many = Q.exact_quantiles(df, ["v"], stats.QUARTILES).first()
-    assert one["metric"] == many["metric"]
-    assert [one[q] for q in stats.QUARTILES] == pytest.approx([many[q] for q in stats.QUARTILES], rel=1e-12)
+    found = []
+    for rows, fan in ((10_000, 512), (300, 512), (10, 512), (40, 3)):
+        monkeypatch.setattr(Q, "ROWS_PER_RANGE", rows)
+        monkeypatch.setattr(Q, "FAN", fan)
+        found.append(sorted(map(tuple, Q.exact_quantiles(df, ["v"], stats.QUARTILES, ("g",)).collect())))
+    assert all(f == found[0] for f in found)
+
+
+def test_ranges_stay_small_and_in_order(spark, many_ranges):
+    counts = Q.store(spark.range(2000).selectExpr("'m' metric", "double(id * id) value", "1 n"), "counts")
+    ranges = Q.with_ranges(counts).groupBy("part").agg(
+        F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")).orderBy("part").collect()
+    assert max(r["rows"] for r in ranges) <= 4 * 20 and sum(r["rows"] for r in ranges) == 2000
+    assert all(x["high"] < y["low"] for x, y in zip(ranges, ranges[1:]))
 
 
 def test_running_sums(spark, many_ranges):
@@ -80,6 +91,21 @@ def test_histogram_puts_the_maximum_into_the_last_bin(spark):
     assert [(r["bin"], r["rows"]) for r in stats.histogram(flat, ["v"]).collect()] == [(5, 4)]
 
 
+def test_histogram_shuffles_counts_only(spark):
+    df = spark.range(20_000).selectExpr("double(id) v", "double(id % 7) w").repartition(3)
+    found = stats.histogram(df, ["v", "w"])
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # The scan appears once, and what is dealt by a key is summed before.
+    assert plan.split("== Initial Plan ==")[0].count("hashpartitioning(metric") == 1 and "value" not in plan
+
+
+def test_histogram_without_values(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, None)], "v double, w double")
+    assert [(r["metric"], r["rows"]) for r in stats.histogram(df, ["v", "w"]).collect()] == [("w", 1)]
+    assert stats.histogram(df, ["v"]).collect() == []
+
+
 def test_box_outliers(spark):
     values = [1.0, 2.0, 3.0, 4.0, 5.0, 100.0]
     df = spark.createDataFrame([("x", v) for v in values], "g string, v double")

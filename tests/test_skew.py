@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from holdfast.operators import neighbours, periods
 from holdfast.operators.skew import split_heavy_join
+from holdfast.session import store
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -60,3 +61,19 @@ def test_event_ids_are_dense_and_ordered_within_hot_customers(spark):
     assert [r["event_date"] for r in hot] == sorted(r["event_date"] for r in hot)
     ids = [r["event_id"] for r in hot]
     assert ids == list(range(ids[0], ids[0] + len(ids)))
+
+
+def test_event_ids_split_one_customer_of_one_instant(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(periods, "store", lambda df, name: written.append(store(df, name)) or written[-1])
+    cdr = spark.range(1000).selectExpr(
+        "if(id % 10 = 0, null, id % 300) event_id", "if(id < 900, 'hot', null) customer_id",
+        "if(id % 2 = 0, timestamp_ntz'2024-01-01 00:00:00', null) event_date")
+    rows = periods.event_ids(cdr, rows_per_part=100)
+    got = sorted(tuple(r) for r in rows.select("event_id", "customer_id", "event_date", "source_event_id").collect())
+    assert [g[0] for g in got] == list(range(1, 1001))
+    order = [(g[2] is not None, g[3] is not None, g[3] or 0) for g in got if g[1] == "hot"]
+    assert order == sorted(order) and len(order) == 900
+    sizes = [r["count"] for r in written[0].groupBy(F.shiftright("_at", 33)).count().collect()]
+    # Ten ranges, none with more than a few times its share, whatever the customer and time.
+    assert max(sizes) <= 300

@@ -39,11 +39,28 @@ def test_repeated_events_are_kept_once(spark, feed, tmp_path):
     assert dict(stored.dtypes)["event_date"] == "timestamp_ntz"
 
 
-def test_old_events_are_kept_within_the_delay_and_counted_beyond_it(spark, feed, tmp_path):
+def test_events_beyond_the_delay_are_counted_and_merged(spark, feed, tmp_path):
     path = feed("new", [20])
     assert run(spark, path, tmp_path, "1 hour") == 0
     assert run(spark, feed("old", [1]), tmp_path, "1 hour") == 10
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 10
+    # Copies of events that were merged are late as well, and stay out.
+    assert run(spark, feed("again", [1, 20]), tmp_path, "1 hour") >= 10
+    stored = events.ingested(spark, str(tmp_path / "out"))
+    assert stored.count() == stored.select("event_id").distinct().count() == 20
+    assert dict(stored.dtypes)["event_date"] == "timestamp_ntz"
+
+
+def test_late_events_without_an_id_are_merged_as_often_as_they_come(spark, tmp_path):
+    def deliver(folder, day, copies):
+        rows = spark.range(copies).selectExpr("null event_id", "'c' customer_id", f"timestamp_ntz'2024-01-{day} 10:00:00' event_date",
+                                              "'sms' event_type", "null duration_mins", "null data_mb", "null call_type")
+        rows.select(*[rows[f.name].cast(f.dataType) for f in S.CDR]).write.parquet(str(tmp_path / "feed" / folder))
+        return run(spark, str(tmp_path / "feed"), tmp_path, "1 hour")
+
+    assert deliver("new", 20, 3) == 0
+    assert deliver("old", 10, 4) == 4
+    assert deliver("older", 10, 2) == 2
+    assert events.ingested(spark, str(tmp_path / "out")).count() == 9
 
 
 def test_old_events_within_a_long_delay(spark, feed, tmp_path):

@@ -76,6 +76,6 @@ def _(src):
 
 @query("create_view", "select * from c360")
 def _(src):
-    raw, _ = _databases(src)
+    raw, analytics = _databases(src)
     warehouse.load_sources(src.tables, raw, BUCKETS)
-    return warehouse.create_view(src.spark, f"customer_360_{uuid.uuid4().hex[:8]}", raw)
+    return warehouse.create_view(src.spark, f"{analytics}.customer_360", raw)

@@ -162,7 +162,7 @@ def nearest_neighbours(
     """
     distinct = store(distinct_vectors(df, k, id_col, class_col, vector_col), "vectors")
     facts = distinct.agg(
-        F.approx_count_distinct("cls").alias("classes"), F.max(F.size("ids")).alias("copies"),
+        F.count_distinct("cls").alias("classes"), F.max(F.size("ids")).alias("copies"),
         F.count(F.lit(1)).alias("rows"), F.max(F.size("vec")).alias("width"),
     ).first()
     if block_rows is None:

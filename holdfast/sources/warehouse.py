@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast import schemas as S
-from holdfast.operators.view360 import customer_360
+from holdfast.operators import view360 as V
 
 
 def query(spark: SparkSession, sql: str, **params: object) -> DataFrame:
@@ -55,8 +55,28 @@ def table_append(cdr: DataFrame, path: str, rows_per_file: int = 5_000_000) -> N
     spread.write.mode("append").option("maxRecordsPerFile", rows_per_file).partitionBy("event_day").parquet(path)
 
 
-def create_view(spark: SparkSession, name: str, raw: str = "raw") -> DataFrame:
-    """(Re)place the wide view over the source tables and return it; it lasts as long as the session."""
-    view = customer_360(*[spark.table(f"{raw}.{t}") for t in ("crm", "services", "billing", "cdr")])
-    view.createOrReplaceTempView(name)
+def _view_text(raw: str) -> str:
+    """The wide view as SQL, which a catalog can keep; column for column as ``view360.customer_360``."""
+    counts = [f"count_if(event_type = '{kind}') as {name}" for name, kind in V.COUNTS.items()]
+    sums = [f"coalesce(sum(case when event_type = '{kind}' then {measure} end), 0) as {name}"
+            for name, (kind, measure) in V.SUMS.items()]
+    zeros = ", ".join(f"coalesce({c}, 0) as {c}" for c in (*V.COUNTS, *V.SUMS))
+    own = ", ".join([*[c for c in S.CRM_COLUMNS if c != "zip_code"], *S.SERVICE_COLUMNS[1:], *S.BILLING_COLUMNS[1:]])
+    segment = " ".join(f"when tenure <= {limit} then '{name}'" for name, limit in S.SEGMENT_LIMITS)
+    addons = " + ".join(f"if({c} = 'Yes', 1, 0)" for c in S.ADDON_COLUMNS)
+    return f"""
+        with totals as (select customer_id, {', '.join([*counts, *sums])} from {raw}.cdr group by customer_id),
+        wide as (select {own}, {zeros}
+            from {raw}.crm join {raw}.services using (customer_id) join {raw}.billing using (customer_id)
+            left join totals using (customer_id))
+        select *, round(total_call_mins / nullif(tenure, 0), 2) as avg_monthly_call_mins,
+            round(total_data_mb / nullif(tenure, 0), 2) as avg_monthly_data_mb,
+            case {segment} else '{S.LAST_SEGMENT}' end as tenure_segment, {addons} as num_services,
+            if(contract = '{S.MONTH_TO_MONTH}' and monthly_charges > {S.RISK_CHARGE}, 1, 0) as revenue_at_risk
+        from wide"""
+
+
+def create_view(spark: SparkSession, name: str = "analytics.customer_360", raw: str = "raw") -> DataFrame:
+    """(Re)place the wide view over the source tables in the catalog, which keeps it as long as its tables, and return it."""
+    spark.sql(f"create or replace view {name} as {_view_text(raw)}")
     return spark.table(name)

@@ -76,6 +76,15 @@ def test_view_and_parameters(spark, raw):
     assert warehouse.query(spark, "select 1 as one").first()["one"] == 1
 
 
+def test_view_is_kept_by_the_catalog(spark, raw):
+    view = warehouse.create_view(spark, f"{raw}.wide", raw)
+    plain = view360.customer_360(*[spark.table(f"{raw}.{t}") for t in ("crm", "services", "billing", "cdr")])
+    assert view.dtypes == plain.dtypes
+    assert view.exceptAll(plain).count() == plain.exceptAll(view).count() == 0
+    # A temporary view would be unknown to another session.
+    assert spark.newSession().table(f"{raw}.wide").count() == 150
+
+
 def test_events_are_partitioned_by_day(spark, src, tmp_path):
     path = str(tmp_path / "events")
     warehouse.table_append(src.cdr, path)

@@ -7,14 +7,15 @@ them: a fingerprint within the distance is found under one of these keys, and ev
 
 `near_duplicates` is for a similarity of shingle sets instead of a few bits. Its fingerprints are wide, and the code is
 decoded softly: a segment's keys are the codewords with the largest correlation with the bit sums, which doubt just the
-bits that edits flip. Documents that share the keys of two segments are compared with the leader of that key; whether they
-are linked is decided by the similarity that all bits of the wide fingerprints give.
+bits that edits flip. All documents that share the keys of two segments are compared with each other, in cells of a stated
+number of rows where a key has many; whether they are linked is decided by the similarity that all bits of the wide
+fingerprints give.
 """
 
 import hashlib
 import math
-from collections.abc import Iterator
-from itertools import combinations, product, repeat
+from collections.abc import Callable, Iterator
+from itertools import chain, combinations, product, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -147,6 +148,8 @@ KEY_SEGMENTS, KEY_CODEWORDS = 4, 3
 KEY_WIDTH = 2
 #: Differing bits of 64 up to which two texts are compared on all bits; similar ones differ in 10, with a deviation of 3.
 WORD_ERRORS = 22
+#: Rows of a key up to which its pairs are listed, and rows on each side of the cells that larger keys are compared in.
+FEW_ROWS, BLOCK_ROWS = 16, 2048
 
 _SIGNS = (golay.CODEWORDS[:, None] >> np.arange(golay.LENGTH, dtype=np.uint32) & np.uint32(1)).astype(np.float32) * 2 - 1
 
@@ -213,6 +216,124 @@ def shingle_similarity() -> str:
     return f"({shared}) / (n + m - {shared})"
 
 
+def key_mates(keyed: DataFrame, few: int = FEW_ROWS) -> DataFrame:
+    """Pairs id < other of each key (key null), or the rows of keys with more than `few` different ids (other null).
+
+    keyed: key and id. Pairs that differ in more than WORD_ERRORS bits are left out.
+    """
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(key, one, other) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.nulls(len(one), pa.int64()) if x is None else pa.array(x) for x in (key, one, other)],
+                names=["key", "id", "other"])
+
+        # Rows come sorted. Those of the last key wait for the next batch, of a large one only the last row.
+        keys, ids, large = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), None
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                keys, ids = (np.concatenate([x, batch.column(i).to_numpy()]) for i, x in enumerate((keys, ids)))
+            if not len(keys):
+                continue
+            new = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))
+            keys, ids = keys[new], ids[new]
+            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            sizes = np.diff(np.append(starts, len(keys)))
+            many = np.repeat(sizes > few, sizes)
+            if large is not None:
+                many |= keys == large
+            end = len(keys) if batch is None else len(keys) - 1 if many[-1] else starts[-1]
+            own = np.flatnonzero(many[:end])
+            if len(own):
+                yield made(keys[own], ids[own], None)
+            for step in range(1, few):
+                at = np.flatnonzero((keys[step:end] == keys[:max(end - step, 0)]) & ~many[step:end])
+                at = at[np.bitwise_count((ids[at] ^ ids[at + step]).view(np.uint64)) <= WORD_ERRORS]
+                if len(at):
+                    yield made(None, ids[at], ids[at + step])
+            large = keys[-1] if many[-1] else None
+            keys, ids = keys[end:], ids[end:]
+
+    dealt = keyed.select(F.col("key").cast("long"), "id").repartition("key").sortWithinPartitions("key", "id")
+    return dealt.mapInArrow(mapped, "key long, id long, other long")
+
+
+def spanning_links(side: np.ndarray | None, rows: int, similar: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """Of the links between similar rows so many that they join the same rows: fewer than there are rows.
+
+    side: which rows are compared with those that it is not true of; None compares all. similar: for a row and some
+    others, which are similar to it.
+    """
+    label, links = np.arange(rows), []
+    for i in range(rows) if side is None else np.flatnonzero(side):
+        others = np.flatnonzero(label != label[i])
+        others = others[others > i] if side is None else others[~side[others]]
+        if not len(others):
+            continue
+        found = others[similar(i, others)]
+        for j in found[np.unique(label[found], return_index=True)[1]].tolist():
+            links.append((int(i), j))
+            label[label == label[j]] = label[i]
+    return links
+
+
+def links_in_cells(
+    rows: DataFrame, parts: DataFrame, group: str, similar: Callable[[pa.Table], Callable[[int, np.ndarray], np.ndarray]],
+) -> DataFrame:
+    """Links a, b that join what all similar pairs of each group join.
+
+    parts: group and the number of parts its rows are dealt to. Each pair of parts is a cell, so every pair of rows is
+    compared in some cell, and a cell's rows are bounded whatever the group's size.
+    """
+    placed = rows.join(parts, group).withColumn("part", F.expr("pmod(xxhash64(id, 'part'), parts)"))
+    cells = placed.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
+        group, F.least("part", "_with").alias("low"), F.greatest("part", "_with").alias("high"), "part",
+        *[c for c in rows.columns if c != group])
+
+    def compared(cell: pa.Table) -> pa.Table:
+        low, high = cell["low"][0].as_py(), cell["high"][0].as_py()
+        side = None if low == high else cell["part"].to_numpy() == low
+        ids = cell["id"].to_numpy()
+        links = np.array(spanning_links(side, len(ids), similar(cell)), dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(ids[links[:, 0]]), "b": pa.array(ids[links[:, 1]])})
+
+    return cells.groupBy(group, "low", "high").applyInArrow(compared, "a long, b long")
+
+
+def _similar_prints(least: float) -> Callable[[pa.Table], Callable[[int, np.ndarray], np.ndarray]]:
+    def of(cell: pa.Table) -> Callable[[int, np.ndarray], np.ndarray]:
+        n = cell["n"].to_numpy().astype(float)
+        wide = cell["wide"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)
+
+        def similar(i: int, others: np.ndarray) -> np.ndarray:
+            near = np.bitwise_count(wide[others, -1] ^ wide[i, -1]) <= WORD_ERRORS
+            own = others[near]
+            differing = np.bitwise_count(wide[own] ^ wide[i]).sum(1, dtype=np.int64)
+            shared = np.cos(np.pi * differing / (64 * WORDS)) * np.sqrt(n[own] * n[i])
+            near[near] = shared >= least * (n[own] + n[i] - shared)
+            return near
+
+        return similar
+
+    return of
+
+
+def print_links(prints: DataFrame, keyed: DataFrame, least: float, few: int = FEW_ROWS, block: int = BLOCK_ROWS) -> DataFrame:
+    """Links a, b that join what all pairs join that share a key and whose fingerprints give a similarity of `least`.
+
+    prints: id, n and wide, each id once; keyed: key and id.
+    """
+    found = store(key_mates(keyed, few), "mates")
+    one = prints.select("id", "n", "wide")
+    other = prints.select(F.col("id").alias("other_id"), F.col("n").alias("m"), F.col("wide").alias("other"))
+    pairs = found.where("key is null").select("id", F.col("other").alias("other_id")).distinct()
+    listed = pairs.join(one, "id").join(other, "other_id").where(f"{shingle_similarity()} >= {least}").select(
+        F.col("id").alias("a"), F.col("other_id").alias("b"))
+    many = found.where("key is not null").select("key", "id")
+    parts = many.groupBy("key").agg(F.expr(f"cast(ceil(count(*) / {block}) as long)").alias("parts"))
+    return listed.union(links_in_cells(many.join(one, "id"), parts, "key", _similar_prints(least)))
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, similarity: float = 0.8, margin: float = 0.02, segments: int = KEY_SEGMENTS,
     codewords: int = KEY_CODEWORDS, width: int = KEY_WIDTH,
@@ -227,21 +348,10 @@ def near_duplicates(
     """
     rows = store(wide_fingerprints(docs.select("doc_id", "text"), size, segments, codewords, width), "wide-rows")
     # A text is known by the last word of its fingerprint, which no key is made of; texts that agree in it are one.
-    texts = rows.where("n > 0").groupBy(F.expr(f"wide[{WORDS - 1}]").alias("id")).agg(
-        *[F.first(c).alias(c) for c in ("n", "wide", "keys")])
-    prints = store(texts, "wide-prints")
-    keyed = prints.select("id", F.explode("keys").alias("key"))
-    # Each row of a key is tried with the key's first and last one: linear in the rows, whatever their number per key.
-    ends = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    near = "(id <> {0} and bit_count(id ^ {0}) <= %d)" % WORD_ERRORS
-    met = keyed.join(ends.withColumnRenamed("key", "of"), F.expr(
-        f"key = of and ({near.format('first')} or {near.format('last')})"))
-    tries = met.select("id", F.explode(F.filter(F.array("first", "last"), lambda x: x != F.col("id"))).alias("leader")).select(
-        F.greatest("id", "leader").alias("id"), F.least("id", "leader").alias("leader")).distinct()
-    one = prints.select("id", "n", "wide")
-    other = prints.select(F.col("id").alias("leader"), F.col("n").alias("m"), F.col("wide").alias("other"))
-    links = tries.join(one, "id").join(other, "leader").where(f"{shingle_similarity()} >= {similarity - margin}").select(
-        F.col("id").alias("a"), F.col("leader").alias("b"))
+    last = F.expr(f"wide[{WORDS - 1}]").alias("id")
+    texts = rows.where("n > 0")
+    prints = store(texts.groupBy(last).agg(*[F.first(c).alias(c) for c in ("n", "wide")]), "wide-prints")
+    links = print_links(prints, texts.select(last, F.explode("keys").alias("key")), similarity - margin)
     roots = components(links).withColumnRenamed("node", "id")
     own = F.when(F.col("n") > 0, F.expr(f"wide[{WORDS - 1}]"))
     return rows.select("doc_id", "word_digest", own.alias("id")).join(roots, "id", "left").select(

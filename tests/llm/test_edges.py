@@ -191,6 +191,32 @@ def test_near_duplicates_at_a_similarity_of_four_fifths(spark):
     assert not any(x for x, p in zip(linked, pairs) if p < 0.65)
 
 
+def test_near_copies_among_texts_that_share_a_long_passage(spark):
+    """Two copies are compared wherever they stand in a key of many loosely similar texts."""
+    made, texts, pairs = random.Random(11), [], 2000
+    passage = [f"p{i}" for i in range(105)]
+    for _ in range(pairs):
+        own = [f"w{made.randrange(10 ** 6)}" for _ in range(45)]
+        changed = [f"n{made.random()}" if i in (15, 30) else w for i, w in enumerate(own)]
+        texts += [" ".join(passage + own), " ".join(passage + changed)]
+    data = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    group = {r["doc_id"]: r["group"] for r in simhash.near_duplicates(data).collect()}
+    linked = sum(group[2 * i] == group[2 * i + 1] for i in range(pairs))
+    assert linked > 0.97 * pairs and len(set(group.values())) >= pairs, linked
+
+
+@pytest.mark.parametrize(("few", "block"), [(16, 2048), (2, 7), (1, 3)])
+def test_all_rows_of_a_key_are_compared(spark, few, block):
+    made = np.random.default_rng(12)
+    wide = made.integers(-1 << 63, 1 << 63, (120, simhash.WORDS), dtype=np.int64)
+    wide[60:] = wide[:60] ^ made.integers(0, 1 << 6, (60, simhash.WORDS), dtype=np.int64)
+    ids = wide[:, -1].tolist()
+    prints = spark.createDataFrame([(i, 100, w) for i, w in zip(ids, wide.tolist())], "id long, n long, wide array<long>")
+    keyed = spark.createDataFrame([(k, i) for i in ids for k in (3, 4, 4)] + [(9, ids[0]), (10, ids[0]), (10, ids[60])], "key int, id long")
+    found = simhash.print_links(prints, keyed, 0.7, few, block).collect()
+    assert {frozenset(r) for r in found} == {frozenset((ids[i], ids[60 + i])) for i in range(60)}
+
+
 def test_wide_sums_are_those_of_each_hash():
     hashes = np.random.default_rng(4).integers(0, 1 << 64, 700, dtype=np.uint64)
     sums = simhash.wide_sums(hashes, 3)

@@ -21,8 +21,9 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier accepts, fitted on those of the labelled ones that are still there."""
-    return quality_classifier(docs, table(spark, sf_dir, "labels")).where("accepted").select(docs.columns)
+    """Documents that the co-trained classifier accepts; it is fitted on the whole table, since the rules leave few bad ones."""
+    labels, whole = table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents")
+    return quality_classifier(docs, labels, fit_on=whole).where("accepted").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

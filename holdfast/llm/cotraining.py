@@ -6,6 +6,7 @@ were kept back, and their evidence is added. What is fitted on is bounded by two
 scored where they lie.
 """
 
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -140,6 +141,17 @@ def cotrain(
     return pair
 
 
+def held_back(ids: list, quality: np.ndarray) -> np.ndarray:
+    """The rows to calibrate on: every fourth by hash, and of each class with two rows or more some on either side."""
+    held = np.array([zlib.crc32(str(key).encode()) % 4 == 0 for key in ids])
+    for label in (0, 1):
+        own = np.flatnonzero(quality == label)
+        if len(own) > 1 and len(np.unique(held[own])) == 1:
+            moved = min(own, key=lambda i: (zlib.crc32(str(ids[i]).encode()), str(ids[i])))
+            held[moved] = not held[moved]
+    return held
+
+
 def _view_columns(docs: DataFrame, extra: list[str]) -> DataFrame:
     return docs.select(*extra, F.col("text").alias(TEXT), F.col("lang").cast("string").alias("_lang"),
                        F.col("source").cast("string").alias("_source"), F.col("n_chars").cast("long").alias("_chars"))
@@ -182,22 +194,26 @@ def fitted_views(
         return None
     ids = table["doc_id"].to_pylist()
     order = sorted(range(len(ids)), key=lambda i: str(ids[i]))
-    held = np.array([zlib.crc32(str(key).encode()) % 4 == 0 for key in ids])
     content, meta = (np.stack(table[c].to_numpy(zero_copy_only=False)) for c in ("content", "meta"))
     quality = table["quality"].to_numpy()
+    held = held_back(ids, quality)
     return cotrain(content[order], meta[order], quality[order], held[order], rounds, kept_good)
 
 
-def quality_classifier(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, **options) -> DataFrame:
+def quality_classifier(
+    docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, fit_on: DataFrame | None = None, **options,
+) -> DataFrame:
     """The rows (columns `keep`, else all) with p_content, p_metadata, quality_score and accepted.
 
     labels: doc_id and quality (0 or 1; the smaller counts where they differ). All documents are scored, null and empty
     texts by the features of an empty one. A document is accepted from the score on that keeps KEPT_GOOD of the good
-    documents kept back, 0.5 at most. Without labels of both classes the scores are null and all are accepted.
+    documents kept back, 0.5 at most. The views are fitted on documents of fit_on (docs if none are given). Without two
+    labelled ones of each class the scores are null and all are accepted, with a warning.
     """
     keep = docs.columns if keep is None else keep
-    pair = fitted_views(docs, labels, **options)
+    pair = fitted_views(docs if fit_on is None else fit_on, labels, **options)
     if pair is None:
+        warnings.warn("too few labelled documents of a class to fit on: all documents are accepted", stacklevel=2)
         empty = F.lit(None).cast("double")
         return docs.select(*keep, empty.alias("p_content"), empty.alias("p_metadata"), empty.alias("quality_score"),
                            F.lit(True).alias("accepted"))

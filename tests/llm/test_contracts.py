@@ -211,3 +211,35 @@ def test_pipeline_stages(spark, documents):
     assert max(sequences.values()) <= 2048
     texts = [documents[k]["text"] for k in {r["doc_id"] for r in rows}]
     assert len({" ".join(words(lowered(t))) for t in texts}) == len(texts)
+
+
+def test_classifier_stage_rejects_bad_documents_that_pass_the_rules(spark, tmp_path):
+    """The rules remove every labelled bad document, and the stage still knows what one looks like."""
+    import corpus_pipeline
+
+    def text(i, mark, rare=""):
+        words = [f"{chr(97 + (i * 31 + j * j) % 26)}{(i * 31 + j * j) % 997:03d}{mark}" for j in range(80)]
+        return " ".join(w + rare * (j % 8 == 0) for j, w in enumerate(words))
+
+    good = [(i, text(i, "x")) for i in range(200)]
+    labelled_bad = [(1000 + i, text(i, "!?", "#")) for i in range(60)]
+    bad = [(2000 + i, text(i, "!?")) for i in range(20)]
+    data = spark.createDataFrame(good + labelled_bad + bad, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "'en' lang", "'web' source", "480 n_chars")
+    labels = [(i, 1) for i, _ in good[:150]] + [(i, 0) for i, _ in labelled_bad]
+    data.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    passed = corpus_pipeline.rules(spark, data, str(tmp_path))
+    ids = {r["doc_id"] for r in passed.select("doc_id").collect()}
+    assert not ids & {i for i, _ in labelled_bad} and ids >= {i for i, _ in bad}
+    kept = {r["doc_id"] for r in corpus_pipeline.classifier(spark, passed, str(tmp_path)).select("doc_id").collect()}
+    assert not kept & {i for i, _ in bad} and len(kept & {i for i, _ in good}) > 190
+
+
+def test_labels_of_each_class_on_both_sides():
+    from holdfast.llm.cotraining import held_back
+
+    for first in range(40):
+        quality = np.array([1] * 12 + [0, 0])
+        held = held_back(list(range(first, first + 14)), quality)
+        assert all(set(held[quality == q]) == {True, False} for q in (0, 1))

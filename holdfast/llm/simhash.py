@@ -8,8 +8,8 @@ them: a fingerprint within the distance is found under one of these keys, and ev
 `near_duplicates` is for a similarity of shingle sets instead of a few bits. Its fingerprints are wide, and the code is
 decoded softly: a segment's keys are the codewords with the largest correlation with the bit sums, which doubt just the
 bits that edits flip. All documents that share the keys of two segments are compared with each other, in cells of a stated
-number of rows where a key has many; whether they are linked is decided by the similarity that all bits of the wide
-fingerprints give.
+number of rows where a key has many. Those that all bits of the wide fingerprints call similar or nearly so make rough groups,
+whose members are compared on their sets of shingle hashes.
 """
 
 import hashlib
@@ -143,13 +143,15 @@ def fingerprint_groups(docs: DataFrame, size: int = 3, key: str = "doc_id", text
 #: 64-bit words of a wide fingerprint.
 WORDS = 16
 #: Segments of 23 bits whose codewords make keys, and the codewords taken of each.
-KEY_SEGMENTS, KEY_CODEWORDS = 4, 3
+KEY_SEGMENTS, KEY_CODEWORDS = 5, 3
 #: Segments that make one key together.
 KEY_WIDTH = 2
 #: Differing bits of 64 up to which two texts are compared on all bits; similar ones differ in 10, with a deviation of 3.
 WORD_ERRORS = 22
 #: Rows of a key up to which its pairs are listed, and rows on each side of the cells that larger keys are compared in.
 FEW_ROWS, BLOCK_ROWS = 16, 2048
+#: Shingles on each side of the cells that sets are compared in (8 MB), and buckets of doc_id by which texts are read again.
+BLOCK_SHINGLES, DOC_BUCKETS = 1 << 20, 1 << 22
 
 _SIGNS = (golay.CODEWORDS[:, None] >> np.arange(golay.LENGTH, dtype=np.uint32) & np.uint32(1)).astype(np.float32) * 2 - 1
 
@@ -334,15 +336,61 @@ def print_links(prints: DataFrame, keyed: DataFrame, least: float, few: int = FE
     return listed.union(links_in_cells(many.join(one, "id"), parts, "key", _similar_prints(least)))
 
 
+def _similar_sets(least: float) -> Callable[[pa.Table], Callable[[int, np.ndarray], np.ndarray]]:
+    def of(cell: pa.Table) -> Callable[[int, np.ndarray], np.ndarray]:
+        sets = cell["shingles"].combine_chunks()
+        n = sets.value_lengths().to_numpy().astype(np.int64)
+        hashes, code = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        starts = np.cumsum(n) - n
+        own = np.zeros(len(hashes), dtype=bool)
+
+        def similar(i: int, others: np.ndarray) -> np.ndarray:
+            near = np.minimum(n[others], n[i]) >= least * np.maximum(n[others], n[i]) - 1e-9
+            if near.any():
+                mine = code[starts[i]:starts[i] + n[i]]
+                own[mine] = True
+                shared = np.add.reduceat(own[code], starts, dtype=np.int64)[others]
+                own[mine] = False
+                near &= shared >= least * (n[others] + n[i] - shared) - 1e-9
+            return near
+
+        return similar
+
+    return of
+
+
+def exact_links(docs: DataFrame, rows: DataFrame, rough: DataFrame, size: int, similarity: float, block: int = BLOCK_SHINGLES) -> DataFrame:
+    """Links a, b that join what all pairs of one rough group join whose sets of shingle hashes have the similarity.
+
+    rows: doc_id and id (the text's) of each row of docs; rough: id and root, the rough groups. Only texts that are in one
+    are read again: those of the documents whose bucket is that of some member, which are DOC_BUCKETS buckets at most.
+    """
+
+    def work(texts: list[bytes]) -> list[list]:
+        sets = [np.unique(shingle_hashes(t, size)) for t in texts]
+        last = [int(packed(2 * wide_sums(s).reshape(WORDS, 64) > len(s))[-1]) for s in sets]
+        return [np.array(last, dtype=np.uint64).view(np.int64), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
+
+    bucket = F.expr(f"cast(pmod(xxhash64(doc_id), {DOC_BUCKETS}) as int)").alias("bucket")
+    members = rows.select("id", bucket).join(rough, "id").groupBy("id").agg(F.min("bucket").alias("bucket"))
+    wanted = members.select("bucket").distinct()
+    texts = docs.select("doc_id", "text", bucket).join(wanted, "bucket", "left_semi")
+    sets = map_texts(texts, ["doc_id"], "id long, shingles array<long>", work)
+    sets = sets.where("size(shingles) > 0").groupBy("id").agg(F.first("shingles").alias("shingles"))
+    grouped = store(sets.join(rough, "id").select("root", "id", "shingles"), "near-sets")
+    parts = grouped.groupBy("root").agg(F.expr(f"cast(ceil(sum(size(shingles)) / {block}) as long)").alias("parts"))
+    return links_in_cells(grouped, parts, "root", _similar_sets(similarity))
+
+
 def near_duplicates(
-    docs: DataFrame, size: int = 5, similarity: float = 0.8, margin: float = 0.02, segments: int = KEY_SEGMENTS,
+    docs: DataFrame, size: int = 5, similarity: float = 0.8, doubt: float = 0.12, segments: int = KEY_SEGMENTS,
     codewords: int = KEY_CODEWORDS, width: int = KEY_WIDTH,
 ) -> DataFrame:
     """doc_id, word_digest and group of each row: rows of one group are copies or near copies of each other.
 
-    Texts with equal words (A-Z lower-cased) have equal fingerprints. Different texts are linked if the similarity
-    that their wide fingerprints give is at least similarity - margin; its standard error is about 0.03 there, so pairs
-    close to the limit may fall on either side. All texts without words are one group, null. Repeated rows and null keys come
+    Texts with equal words (A-Z lower-cased) have equal fingerprints. Different texts are linked if their sets of shingles
+    have the similarity. Compared are those that share a key and whose wide fingerprints give at least similarity - doubt,
+    four standard errors less, and all that such pairs join. All texts without words are one group, null. Repeated rows and null keys come
     back as they are. An empty table gives no rows. Keys have 12 bits for each of `width` segments; with two, strangers
     seldom meet up to some 1e7 documents, beyond that width=3 with six segments keeps them apart.
     """
@@ -351,7 +399,9 @@ def near_duplicates(
     last = F.expr(f"wide[{WORDS - 1}]").alias("id")
     texts = rows.where("n > 0")
     prints = store(texts.groupBy(last).agg(*[F.first(c).alias(c) for c in ("n", "wide")]), "wide-prints")
-    links = print_links(prints, texts.select(last, F.explode("keys").alias("key")), similarity - margin)
+    close = print_links(prints, texts.select(last, F.explode("keys").alias("key")), similarity - doubt)
+    rough = store(components(close).withColumnRenamed("node", "id"), "rough-groups")
+    links = exact_links(docs, texts.select("doc_id", last), rough, size, similarity)
     roots = components(links).withColumnRenamed("node", "id")
     own = F.when(F.col("n") > 0, F.expr(f"wide[{WORDS - 1}]"))
     return rows.select("doc_id", "word_digest", own.alias("id")).join(roots, "id", "left").select(

@@ -205,6 +205,28 @@ def test_near_copies_among_texts_that_share_a_long_passage(spark):
     assert linked > 0.97 * pairs and len(set(group.values())) >= pairs, linked
 
 
+def test_near_duplicates_are_decided_on_the_sets(spark):
+    """Close to the limit, linked are those pairs whose exact similarity is 0.8, but for few that share no key."""
+    made, texts = random.Random(13), []
+    for n in range(600):
+        words = [f"w{made.randrange(10 ** 6)}" for _ in range(304)]
+        at = made.sample(range(0, 300, 10), 4 + n % 6)
+        texts += [" ".join(words), " ".join(f"n{made.random()}" if i in at else w for i, w in enumerate(words))]
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+    sets = [shingles(t) for t in texts]
+    exact = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    data = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    group = {r["doc_id"]: r["group"] for r in simhash.near_duplicates(data).collect()}
+    linked = [group[2 * i] == group[2 * i + 1] for i in range(len(exact))]
+    assert not any(x for x, e in zip(linked, exact) if e < 0.8)
+    similar = [x for x, e in zip(linked, exact) if e >= 0.8]
+    assert len(similar) > 300 and np.mean(similar) > 0.97, (sum(similar), len(similar))
+
+
 @pytest.mark.parametrize(("few", "block"), [(16, 2048), (2, 7), (1, 3)])
 def test_all_rows_of_a_key_are_compared(spark, few, block):
     made = np.random.default_rng(12)

@@ -121,16 +121,18 @@ def cotrain(
     for _ in range(rounds):
         models = fitted(0), fitted(1)
         for view, model in enumerate(models):
-            p = sigmoid(model.margin(views[view][pool])) if len(pool) else np.zeros(0)
+            # What the view has handed over is out of its ranking, so each round hands over its whole share.
+            left = pool[~np.isin(pool, list(taught[1 - view]))]
+            p = sigmoid(model.margin(views[view][left])) if len(left) else np.zeros(0)
             order = np.argsort(p, kind="stable")
             most = int(len(pool) * TAUGHT_SHARE)
             bad, good = int(most * (1 - rate)), int(most * rate)
             for at in order[:bad]:
                 if p[at] <= 1 - CONFIDENCE:
-                    taught[1 - view].setdefault(int(pool[at]), 0)
+                    taught[1 - view].setdefault(int(left[at]), 0)
             for at in order[::-1][:good]:
                 if p[at] >= CONFIDENCE:
-                    taught[1 - view].setdefault(int(pool[at]), 1)
+                    taught[1 - view].setdefault(int(left[at]), 1)
     models = fitted(0), fitted(1)
     own = held & (quality >= 0)
     y = quality[own].astype(float)

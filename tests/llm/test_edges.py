@@ -330,3 +330,13 @@ def test_language_model_in_small_blocks(spark):
 def test_classifier_without_both_classes_accepts_all(spark, odd):
     labels = spark.createDataFrame([(1, 1)], LABELS)
     assert all(r["accepted"] for r in cotraining.quality_classifier(odd, labels).collect())
+
+
+def test_each_round_hands_over_new_documents(monkeypatch):
+    made, fitted, fit = np.random.default_rng(14), [], cotraining.fit
+    quality = np.array([0, 1] * 50 + [-1] * 400)
+    side = np.where(quality < 0, made.integers(0, 2, 500), quality)
+    x = (side * 8.0 - 4)[:, None] + made.normal(size=(500, 1))
+    monkeypatch.setattr(cotraining, "fit", lambda a, b, **o: fitted.append(len(a)) or fit(a, b, **o))
+    cotraining.cotrain(x, x, quality, np.arange(500) % 4 < 2, rounds=4)
+    assert fitted[0:10:2] == [50, 70, 90, 110, 130]

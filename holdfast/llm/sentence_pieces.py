@@ -121,15 +121,16 @@ class Normaliser:
                 return new, n
         return None, 1
 
-    def mapped(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bytes after the map, the original place of each, and the place among them where its replacement begins."""
+    def mapped(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """Bytes after the map, the original place of each, and the place among them where its replacement begins; and the
+        original place of the first replacement by nothing, or the end."""
         data = np.frombuffer(text.encode(), np.uint8)
         own = np.arange(len(data), dtype=np.int32)
         first = np.maximum.accumulate(np.where(data & 0xC0 != 0x80, own, 0)) if len(data) else own
         if self.candidates is None:
-            return data, first, first
+            return data, first, first, len(data)
         starts = np.append(np.flatnonzero(data & 0xC0 != 0x80), len(data)).astype(np.int32)
-        parts, places, heads, done, size = [], [], [], 0, 0
+        parts, places, heads, done, size, gap = [], [], [], 0, 0, len(data)
 
         def copy(until: int) -> None:
             nonlocal size
@@ -143,7 +144,9 @@ class Normaliser:
             at = hit.start()
             new, taken = self.longest_prefix(text, at)
             copy(at + (new is None))
-            if new is not None:
+            if new == "":
+                gap = min(gap, int(starts[at]))
+            elif new is not None:
                 new = np.frombuffer(new.encode(), np.uint8)
                 parts.append(new)
                 places.append(np.full(len(new), starts[at], np.int32))
@@ -151,27 +154,27 @@ class Normaliser:
                 size += len(new)
             done = at + taken
         copy(len(starts) - 1)
-        return np.concatenate(parts), np.concatenate(places), np.concatenate(heads).astype(np.int32)
+        return np.concatenate(parts), np.concatenate(places), np.concatenate(heads).astype(np.int32), gap
 
     def __call__(self, text: str) -> tuple[bytes, np.ndarray]:
         """The normalised text and for each of its bytes, and its end, the original byte it stands for."""
         if not text:
             return b"", np.zeros(1, np.int32)
-        data, places, heads = self.mapped(text)
+        data, places, heads, gap = self.mapped(text)
         total = len(text.encode())
         begin = 0
         if self.squeeze:
-            # A replacement loses the spaces it begins with where a space or nothing stands before it.
-            space = data == 32
-            solid = np.flatnonzero(~space)
-            after_space = (heads == 0) | space[heads - 1] if len(data) else space
-            # Place of the last byte that is no space, up to each byte: a space leads if that is before its replacement.
-            last = np.maximum.accumulate(np.where(space, -1, np.arange(len(data)))) if len(data) else heads
-            dropped = space & after_space & (last < heads)
-            if not len(solid) and not (~dropped).any():
-                return b"", np.full(1, 0 if not len(data) else total, np.int32)
-            lead = int(np.flatnonzero(~dropped)[0]) if (~dropped).any() else 0
-            begin = int(places[heads[lead]])
+            space, own = data == 32, np.arange(len(data))
+            # Where the text begins: the first replacement that is not just a space.
+            alone = (heads == own) & (np.append(heads[1:], len(data)) == own + 1)
+            solid = np.flatnonzero(~(space & alone))
+            if not len(solid) and gap == total:
+                return b"", np.full(1, total, np.int32)
+            begin = min(int(places[solid[0]]) if len(solid) else total, gap)
+            # A replacement loses the spaces it begins with where a space or nothing stands before it. A space is among
+            # these if the last other byte stands before its replacement.
+            other = np.maximum.accumulate(np.where(space, -1, own)) if len(data) else own
+            dropped = space & ((heads == 0) | space[heads - 1]) & (other < heads)
             data, places = data[~dropped], places[~dropped]
         if self.escape:
             places = np.repeat(places, np.where(data == 32, 3, 1))

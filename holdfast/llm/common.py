@@ -17,6 +17,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Columns of the table documents.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def neutral(docs: DataFrame) -> DataFrame:
+    """The rows with all columns but those of DOCUMENT renamed by place, so that none is called like a result."""
+    return docs.toDF(*[c if c in DOCUMENT else f"_extra_{i}" for i, c in enumerate(docs.columns)])
+
+
+def restored(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs, by their names, of rows made of neutral(docs)."""
+    return rows.select(neutral(docs).columns).toDF(*docs.columns)
+
+
 def bytes_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     return [v or b"" for v in column.cast(pa.binary()).to_pylist()]

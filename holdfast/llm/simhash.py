@@ -5,17 +5,11 @@ segments. Three errors leave two segments with at most one error each (pigeonhol
 fingerprint is filed under the codewords next to both segments and looked up under all pairs of codewords that are near
 them: a fingerprint within the distance is found under one of these keys, and every find is verified on all bits.
 
-`near_duplicates` is for a similarity of shingle sets instead of a few bits. Its fingerprints are wide, and the code is
-decoded softly: a segment's keys are the codewords with the largest correlation with the bit sums, which doubt just the
-bits that edits flip. All documents that share the keys of two segments are compared with each other, in cells of a stated
-number of rows where a key has many. Those that all bits of the wide fingerprints call similar or nearly so make rough groups,
-whose members are compared on their sets of shingle hashes.
+`one_of_each` keeps one row of each group of linked rows.
 """
 
-import hashlib
-import math
-from collections.abc import Callable, Iterator
-from itertools import chain, combinations, product, repeat
+from collections.abc import Iterator
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -138,294 +132,24 @@ def fingerprint_groups(docs: DataFrame, size: int = 3, key: str = "doc_id", text
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# Wide fingerprints for a similarity of shingle sets
-
-#: 64-bit words of a wide fingerprint.
-WORDS = 16
-#: Segments of 23 bits whose codewords make keys, and the codewords taken of each.
-KEY_SEGMENTS, KEY_CODEWORDS = 5, 3
-#: Segments that make one key together.
-KEY_WIDTH = 2
-#: Differing bits of 64 up to which two texts are compared on all bits; similar ones differ in 10, with a deviation of 3.
-WORD_ERRORS = 22
-#: Rows of a key up to which its pairs are listed, and rows on each side of the cells that larger keys are compared in.
-FEW_ROWS, BLOCK_ROWS = 16, 2048
-#: Shingles on each side of the cells that sets are compared in (8 MB), and buckets of doc_id by which texts are read again.
-BLOCK_SHINGLES, DOC_BUCKETS = 1 << 20, 1 << 22
-
-_SIGNS = (golay.CODEWORDS[:, None] >> np.arange(golay.LENGTH, dtype=np.uint32) & np.uint32(1)).astype(np.float32) * 2 - 1
-
-
-def wide_sums(hashes: np.ndarray, words: int = WORDS) -> np.ndarray:
-    """bit_sums of the hashes and, behind them, of words - 1 further hashes made of each."""
-    steps = np.array([i * 0x9E3779B97F4A7C15 % (1 << 64) for i in range(words)], dtype=np.uint64)
-    total = np.zeros(64 * words, dtype=np.int64)
-    for start in range(0, len(hashes), _RUN):
-        own = hashes[start:start + _RUN]
-        x = own[:, None] + steps
-        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-        x[:, 0] = own
-        bits = np.unpackbits(x.astype("<u8", copy=False).view(np.uint8), axis=1, bitorder="little")
-        total += np.add.reduce(bits, axis=0, dtype=np.uint8)
-    return total
-
-
-def soft_keys(sums: np.ndarray, segments: int, codewords: int, width: int) -> np.ndarray:
-    """Keys of each row of signed bit sums: for each choice of `width` segments, each choice of their best codewords."""
-    best = []
-    for s in range(segments):
-        match = sums[:, s * golay.LENGTH:(s + 1) * golay.LENGTH].astype(np.float32) @ _SIGNS.T
-        best.append(np.argpartition(-match, codewords, axis=1)[:, :codewords].astype(np.int64))
-    keys = []
-    for number, chosen in enumerate(combinations(range(segments), width)):
-        for columns in product(range(codewords), repeat=width):
-            key = np.full(len(sums), number, dtype=np.int64)
-            for s, column in zip(chosen, columns):
-                key = key << 12 | best[s][:, column]
-            keys.append(key)
-    return np.stack(keys, axis=1)
-
-
-def word_digest(text: bytes) -> bytes:
-    return hashlib.md5(b" ".join(text.lower().split())).digest()
-
-
-def with_digest(docs: DataFrame) -> DataFrame:
-    return map_texts(docs.withColumn("_text", F.col("text")), docs.columns, "word_digest binary",
-                     lambda texts: [[word_digest(t) for t in texts]], "_text")
-
-
-def wide_fingerprints(docs: DataFrame, size: int, segments: int, codewords: int, width: int) -> DataFrame:
-    """doc_id, word_digest, n (different shingles), wide (the fingerprint's words) and keys of each row's text."""
-
-    def work(texts: list[bytes]) -> list[list]:
-        sets = [np.unique(shingle_hashes(t, size)) for t in texts]
-        sums = np.stack([2 * wide_sums(s) - len(s) for s in sets])
-        wide = packed((sums > 0).reshape(len(sets), WORDS, 64)).view(np.int64)
-        keys = soft_keys(sums, segments, codewords, width).astype(np.int32 if width < 3 else np.int64)
-        return [[word_digest(t) for t in texts], np.array([len(s) for s in sets]), wide.tolist(), pa.array(list(keys))]
-
-    kind = "int" if width < 3 else "long"
-    return map_texts(docs, ["doc_id"], f"word_digest binary, n long, wide array<long>, keys array<{kind}>", work)
-
-
-def shingle_similarity() -> str:
-    """SQL for the Jaccard similarity of two shingle sets of sizes n and m whose fingerprints are `wide` and `other`."""
-    differing = " + ".join(f"bit_count(wide[{i}] ^ other[{i}])" for i in range(WORDS))
-    shared = f"cos({math.pi} * ({differing}) / {64 * WORDS}) * sqrt(double(n) * m)"
-    return f"({shared}) / (n + m - {shared})"
-
-
-def key_mates(keyed: DataFrame, few: int = FEW_ROWS) -> DataFrame:
-    """Pairs id < other of each key (key null), or the rows of keys with more than `few` different ids (other null).
-
-    keyed: key and id. Pairs that differ in more than WORD_ERRORS bits are left out.
-    """
+def one_of_each(docs: DataFrame, size: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs (all columns) that `fingerprint_groups` calls the first of their component.
 
-    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(key, one, other) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.nulls(len(one), pa.int64()) if x is None else pa.array(x) for x in (key, one, other)],
-                names=["key", "id", "other"])
-
-        # Rows come sorted. Those of the last key wait for the next batch, of a large one only the last row.
-        keys, ids, large = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), None
-        for batch in chain(batches, [None]):
-            if batch is not None:
-                keys, ids = (np.concatenate([x, batch.column(i).to_numpy()]) for i, x in enumerate((keys, ids)))
-            if not len(keys):
-                continue
-            new = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))
-            keys, ids = keys[new], ids[new]
-            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-            sizes = np.diff(np.append(starts, len(keys)))
-            many = np.repeat(sizes > few, sizes)
-            if large is not None:
-                many |= keys == large
-            end = len(keys) if batch is None else len(keys) - 1 if many[-1] else starts[-1]
-            own = np.flatnonzero(many[:end])
-            if len(own):
-                yield made(keys[own], ids[own], None)
-            for step in range(1, few):
-                at = np.flatnonzero((keys[step:end] == keys[:max(end - step, 0)]) & ~many[step:end])
-                at = at[np.bitwise_count((ids[at] ^ ids[at + step]).view(np.uint64)) <= WORD_ERRORS]
-                if len(at):
-                    yield made(None, ids[at], ids[at + step])
-            large = keys[-1] if many[-1] else None
-            keys, ids = keys[end:], ids[end:]
-
-    dealt = keyed.select(F.col("key").cast("long"), "id").repartition("key").sortWithinPartitions("key", "id")
-    return dealt.mapInArrow(mapped, "key long, id long, other long")
-
-
-def spanning_links(side: np.ndarray | None, rows: int, similar: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
-    """Of the links between similar rows so many that they join the same rows: fewer than there are rows.
-
-    side: which rows are compared with those that it is not true of; None compares all. similar: for a row and some
-    others, which are similar to it.
-    """
-    label, links = np.arange(rows), []
-    for i in range(rows) if side is None else np.flatnonzero(side):
-        others = np.flatnonzero(label != label[i])
-        others = others[others > i] if side is None else others[~side[others]]
-        if not len(others):
-            continue
-        found = others[similar(i, others)]
-        for j in found[np.unique(label[found], return_index=True)[1]].tolist():
-            links.append((int(i), j))
-            label[label == label[j]] = label[i]
-    return links
-
-
-def links_in_cells(
-    rows: DataFrame, parts: DataFrame, group: str, similar: Callable[[pa.Table], Callable[[int, np.ndarray], np.ndarray]],
-) -> DataFrame:
-    """Links a, b that join what all similar pairs of each group join.
-
-    parts: group and the number of parts its rows are dealt to. Each pair of parts is a cell, so every pair of rows is
-    compared in some cell, and a cell's rows are bounded whatever the group's size.
-    """
-    placed = rows.join(parts, group).withColumn("part", F.expr("pmod(xxhash64(id, 'part'), parts)"))
-    cells = placed.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
-        group, F.least("part", "_with").alias("low"), F.greatest("part", "_with").alias("high"), "part",
-        *[c for c in rows.columns if c != group])
-
-    def compared(cell: pa.Table) -> pa.Table:
-        low, high = cell["low"][0].as_py(), cell["high"][0].as_py()
-        side = None if low == high else cell["part"].to_numpy() == low
-        ids = cell["id"].to_numpy()
-        links = np.array(spanning_links(side, len(ids), similar(cell)), dtype=np.int64).reshape(-1, 2)
-        return pa.table({"a": pa.array(ids[links[:, 0]]), "b": pa.array(ids[links[:, 1]])})
-
-    return cells.groupBy(group, "low", "high").applyInArrow(compared, "a long, b long")
-
-
-def _similar_prints(least: float) -> Callable[[pa.Table], Callable[[int, np.ndarray], np.ndarray]]:
-    def of(cell: pa.Table) -> Callable[[int, np.ndarray], np.ndarray]:
-        n = cell["n"].to_numpy().astype(float)
-        wide = cell["wide"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)
-
-        def similar(i: int, others: np.ndarray) -> np.ndarray:
-            near = np.bitwise_count(wide[others, -1] ^ wide[i, -1]) <= WORD_ERRORS
-            own = others[near]
-            differing = np.bitwise_count(wide[own] ^ wide[i]).sum(1, dtype=np.int64)
-            shared = np.cos(np.pi * differing / (64 * WORDS)) * np.sqrt(n[own] * n[i])
-            near[near] = shared >= least * (n[own] + n[i] - shared)
-            return near
-
-        return similar
-
-    return of
-
-
-def print_links(prints: DataFrame, keyed: DataFrame, least: float, few: int = FEW_ROWS, block: int = BLOCK_ROWS) -> DataFrame:
-    """Links a, b that join what all pairs join that share a key and whose fingerprints give a similarity of `least`.
-
-    prints: id, n and wide, each id once; keyed: key and id.
-    """
-    found = store(key_mates(keyed, few), "mates")
-    one = prints.select("id", "n", "wide")
-    other = prints.select(F.col("id").alias("other_id"), F.col("n").alias("m"), F.col("wide").alias("other"))
-    pairs = found.where("key is null").select("id", F.col("other").alias("other_id")).distinct()
-    listed = pairs.join(one, "id").join(other, "other_id").where(f"{shingle_similarity()} >= {least}").select(
-        F.col("id").alias("a"), F.col("other_id").alias("b"))
-    many = found.where("key is not null").select("key", "id")
-    parts = many.groupBy("key").agg(F.expr(f"cast(ceil(count(*) / {block}) as long)").alias("parts"))
-    return listed.union(links_in_cells(many.join(one, "id"), parts, "key", _similar_prints(least)))
-
-
-def _similar_sets(least: float) -> Callable[[pa.Table], Callable[[int, np.ndarray], np.ndarray]]:
-    def of(cell: pa.Table) -> Callable[[int, np.ndarray], np.ndarray]:
-        sets = cell["shingles"].combine_chunks()
-        n = sets.value_lengths().to_numpy().astype(np.int64)
-        hashes, code = np.unique(sets.flatten().to_numpy(), return_inverse=True)
-        starts = np.cumsum(n) - n
-        own = np.zeros(len(hashes), dtype=bool)
-
-        def similar(i: int, others: np.ndarray) -> np.ndarray:
-            near = np.minimum(n[others], n[i]) >= least * np.maximum(n[others], n[i]) - 1e-9
-            if near.any():
-                mine = code[starts[i]:starts[i] + n[i]]
-                own[mine] = True
-                shared = np.add.reduceat(own[code], starts, dtype=np.int64)[others]
-                own[mine] = False
-                near &= shared >= least * (n[others] + n[i] - shared) - 1e-9
-            return near
-
-        return similar
-
-    return of
-
-
-def exact_links(docs: DataFrame, rows: DataFrame, rough: DataFrame, size: int, similarity: float, block: int = BLOCK_SHINGLES) -> DataFrame:
-    """Links a, b that join what all pairs of one rough group join whose sets of shingle hashes have the similarity.
-
-    rows: doc_id and id (the text's) of each row of docs; rough: id and root, the rough groups. Only texts that are in one
-    are read again: those of the documents whose bucket is that of some member, which are DOC_BUCKETS buckets at most.
-    """
-
-    def work(texts: list[bytes]) -> list[list]:
-        sets = [np.unique(shingle_hashes(t, size)) for t in texts]
-        last = [int(packed(2 * wide_sums(s).reshape(WORDS, 64) > len(s))[-1]) for s in sets]
-        return [np.array(last, dtype=np.uint64).view(np.int64), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
-
-    bucket = F.expr(f"cast(pmod(xxhash64(doc_id), {DOC_BUCKETS}) as int)").alias("bucket")
-    members = rows.select("id", bucket).join(rough, "id").groupBy("id").agg(F.min("bucket").alias("bucket"))
-    wanted = members.select("bucket").distinct()
-    texts = docs.select("doc_id", "text", bucket).join(wanted, "bucket", "left_semi")
-    sets = map_texts(texts, ["doc_id"], "id long, shingles array<long>", work)
-    sets = sets.where("size(shingles) > 0").groupBy("id").agg(F.first("shingles").alias("shingles"))
-    grouped = store(sets.join(rough, "id").select("root", "id", "shingles"), "near-sets")
-    parts = grouped.groupBy("root").agg(F.expr(f"cast(ceil(sum(size(shingles)) / {block}) as long)").alias("parts"))
-    return links_in_cells(grouped, parts, "root", _similar_sets(similarity))
-
-
-def near_duplicates(
-    docs: DataFrame, size: int = 5, similarity: float = 0.8, doubt: float = 0.12, segments: int = KEY_SEGMENTS,
-    codewords: int = KEY_CODEWORDS, width: int = KEY_WIDTH,
-) -> DataFrame:
-    """doc_id, word_digest and group of each row: rows of one group are copies or near copies of each other.
-
-    Texts with equal words (A-Z lower-cased) have equal fingerprints. Different texts are linked if their sets of shingles
-    have the similarity. Compared are those that share a key and whose wide fingerprints give at least similarity - doubt,
-    four standard errors less, and all that such pairs join. All texts without words are one group, null. Repeated rows and null keys come
-    back as they are. An empty table gives no rows. Keys have 12 bits for each of `width` segments; with two, strangers
-    seldom meet up to some 1e7 documents, beyond that width=3 with six segments keeps them apart.
-    """
-    rows = store(wide_fingerprints(docs.select("doc_id", "text"), size, segments, codewords, width), "wide-rows")
-    # A text is known by the last word of its fingerprint, which no key is made of; texts that agree in it are one.
-    last = F.expr(f"wide[{WORDS - 1}]").alias("id")
-    texts = rows.where("n > 0")
-    prints = store(texts.groupBy(last).agg(*[F.first(c).alias(c) for c in ("n", "wide")]), "wide-prints")
-    close = print_links(prints, texts.select(last, F.explode("keys").alias("key")), similarity - doubt)
-    rough = store(components(close).withColumnRenamed("node", "id"), "rough-groups")
-    links = exact_links(docs, texts.select("doc_id", last), rough, size, similarity)
-    roots = components(links).withColumnRenamed("node", "id")
-    own = F.when(F.col("n") > 0, F.expr(f"wide[{WORDS - 1}]"))
-    return rows.select("doc_id", "word_digest", own.alias("id")).join(roots, "id", "left").select(
-        "doc_id", "word_digest", F.coalesce("root", "id").alias("group"))
-
-
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs (all columns) without those that have a copy or near copy with a smaller doc_id.
-
-    Of rows that agree in doc_id and words one stays; a null doc_id yields to any other.
+    Of linked rows the one with the smallest key stays; null keys come last, and of rows that agree in their key the one with
+    the smallest digest of key and text stays. Rows that agree in key and text are one. All texts without words are one
+    component. An empty table gives no rows. Columns of any name come back as they are.
     """
-    found = store(near_duplicates(docs, **options), "near-duplicates")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "word_digest")
-    chosen = store(found.groupBy("group").agg(F.min(rank).alias("first")).select("first.doc_id", "first.word_digest"), "kept")
-    several = store(found.groupBy("doc_id").count().where("count > 1 or doc_id is null").select("doc_id"), "repeated")
-    plain = chosen.where("doc_id is not null").select("doc_id").join(several, "doc_id", "left_anti")
+    name = F.col(key).cast("string")
+    told = F.coalesce(F.concat(F.length(name), F.lit(":"), name), F.lit("null"))
+    digest = F.md5(F.concat(told, F.coalesce(F.concat(F.lit("="), F.col(text)), F.lit(""))).cast("binary"))
+    rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), digest.alias("digest"))
+    grouped = fingerprint_groups(docs.select(rank.alias("doc_id"), F.col(text).alias("text")), size)
+    chosen = store(grouped.where("doc_id.digest = component_id.digest").groupBy("doc_id.digest").agg(
+        F.count("*").alias("rows")), "first-of-each")
     # The texts are shuffled once, at every size alike.
-    unique = docs.join(plain.hint("shuffle_hash"), "doc_id", "left_semi").select(docs.columns)
-    if several.isEmpty():
-        return unique
-    # Rows that share their doc_id with others are told apart by their words.
-    shared = with_digest(docs.join(several, docs["doc_id"].eqNullSafe(several["doc_id"]), "left_semi"))
-    kept = F.struct("doc_id", "word_digest")
-    held = shared.join(
-        chosen.select(kept.alias("kept")), shared["word_digest"].eqNullSafe(F.col("kept.word_digest"))
-        & shared["doc_id"].eqNullSafe(F.col("kept.doc_id")), "left_semi")
-    return unique.union(held.dropDuplicates(["doc_id", "word_digest"]).select(docs.columns))
+    rows = docs.select(F.struct("*").alias("row"), digest.alias("digest"))
+    kept = rows.join(chosen.where("rows = 1").hint("shuffle_hash"), "digest", "left_semi")
+    if not chosen.where("rows > 1").isEmpty():
+        again = rows.join(chosen.where("rows > 1"), "digest", "left_semi")
+        kept = kept.unionAll(again.groupBy("digest").agg(F.first("row").alias("row")).select("digest", "row"))
+    return kept.select("row.*")

@@ -49,7 +49,6 @@ OPERATORS = {
     "language_model": lambda s, d: language_model_scores(d.withColumn("held_out", d["doc_id"] % 2 == 1), order=3),
     "license_scan": lambda s, d: license_scan.license_scan(d, spans=True),
     "simhash": lambda s, d: simhash.fingerprint_groups(d),
-    "near_duplicates": lambda s, d: simhash.near_duplicates(d),
     "one_of_each": lambda s, d: simhash.one_of_each(d),
     "rules": lambda s, d: quality_rules(d),
     "classifier": lambda s, d: cotraining.quality_classifier(d, s.createDataFrame([(1, 1), (2, 0)], LABELS)),
@@ -163,102 +162,77 @@ def test_components_of_chains_stars_and_cycles(spark):
                      **{2000 + i: 2000 for i in range(30)}}
 
 
-def edited(words, share, made):
-    return " ".join(f"new{made.random()}" if made.random() < share else w for w in words)
-
-
-def test_near_duplicates_at_a_similarity_of_four_fifths(spark):
-    made, texts, pairs = random.Random(9), [], []
-    for _ in range(150):
-        words = [f"w{made.randrange(5000)}" for _ in range(300)]
-        texts += [" ".join(words), edited(words, 0.012, made)]
-    for _ in range(60):
-        words = [f"w{made.randrange(5000)}" for _ in range(300)]
-        texts += [" ".join(words), edited(words, 0.12, made)]
-
-    def shingles(text):
-        w = text.split()
-        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
-
-    for i in range(0, len(texts), 2):
-        a, b = shingles(texts[i]), shingles(texts[i + 1])
-        pairs.append(len(a & b) / len(a | b))
-    data = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    group = {r["doc_id"]: r["group"] for r in simhash.near_duplicates(data).collect()}
-    linked = [group[2 * i] == group[2 * i + 1] for i in range(len(pairs))]
-    similar = [x for x, p in zip(linked, pairs) if p >= 0.82]
-    assert len(similar) > 80 and np.mean(similar) > 0.93
-    assert not any(x for x, p in zip(linked, pairs) if p < 0.65)
-
-
-def test_near_copies_among_texts_that_share_a_long_passage(spark):
-    """Two copies are compared wherever they stand in a key of many loosely similar texts."""
-    made, texts, pairs = random.Random(11), [], 2000
-    passage = [f"p{i}" for i in range(105)]
-    for _ in range(pairs):
-        own = [f"w{made.randrange(10 ** 6)}" for _ in range(45)]
-        changed = [f"n{made.random()}" if i in (15, 30) else w for i, w in enumerate(own)]
-        texts += [" ".join(passage + own), " ".join(passage + changed)]
-    data = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    group = {r["doc_id"]: r["group"] for r in simhash.near_duplicates(data).collect()}
-    linked = sum(group[2 * i] == group[2 * i + 1] for i in range(pairs))
-    assert linked > 0.97 * pairs and len(set(group.values())) >= pairs, linked
-
-
-def test_near_duplicates_are_decided_on_the_sets(spark):
-    """Close to the limit, linked are those pairs whose exact similarity is 0.8, but for few that share no key."""
-    made, texts = random.Random(13), []
-    for n in range(600):
-        words = [f"w{made.randrange(10 ** 6)}" for _ in range(304)]
-        at = made.sample(range(0, 300, 10), 4 + n % 6)
-        texts += [" ".join(words), " ".join(f"n{made.random()}" if i in at else w for i, w in enumerate(words))]
-
-    def shingles(text):
-        w = text.split()
-        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
-
-    sets = [shingles(t) for t in texts]
-    exact = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
-    data = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    group = {r["doc_id"]: r["group"] for r in simhash.near_duplicates(data).collect()}
-    linked = [group[2 * i] == group[2 * i + 1] for i in range(len(exact))]
-    assert not any(x for x, e in zip(linked, exact) if e < 0.8)
-    similar = [x for x, e in zip(linked, exact) if e >= 0.8]
-    assert len(similar) > 300 and np.mean(similar) > 0.97, (sum(similar), len(similar))
-
-
-@pytest.mark.parametrize(("few", "block"), [(16, 2048), (2, 7), (1, 3)])
-def test_all_rows_of_a_key_are_compared(spark, few, block):
-    made = np.random.default_rng(12)
-    wide = made.integers(-1 << 63, 1 << 63, (120, simhash.WORDS), dtype=np.int64)
-    wide[60:] = wide[:60] ^ made.integers(0, 1 << 6, (60, simhash.WORDS), dtype=np.int64)
-    ids = wide[:, -1].tolist()
-    prints = spark.createDataFrame([(i, 100, w) for i, w in zip(ids, wide.tolist())], "id long, n long, wide array<long>")
-    keyed = spark.createDataFrame([(k, i) for i in ids for k in (3, 4, 4)] + [(9, ids[0]), (10, ids[0]), (10, ids[60])], "key int, id long")
-    found = simhash.print_links(prints, keyed, 0.7, few, block).collect()
-    assert {frozenset(r) for r in found} == {frozenset((ids[i], ids[60 + i])) for i in range(60)}
-
-
-def test_wide_sums_are_those_of_each_hash():
-    hashes = np.random.default_rng(4).integers(0, 1 << 64, 700, dtype=np.uint64)
-    sums = simhash.wide_sums(hashes, 3)
-    assert (sums[:64] == simhash.bit_sums(hashes)).all()
-    assert all(abs(sums[64 * i:64 * i + 64] - 350).max() < 80 for i in range(3))
-    assert (sums == sum(simhash.wide_sums(hashes[i:i + 1], 3) for i in range(700))).all()
-
-
-def test_one_of_each_keeps_one_row_of_each_group(spark):
-    texts = [" ".join(f"w{(7 * i + j) % 900}" for j in range(120)) for i in range(0, 90, 30)] * 2
-    data = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    group = {r["doc_id"]: r["group"] for r in simhash.near_duplicates(data).collect()}
-    kept = {r["doc_id"] for r in simhash.one_of_each(data).collect()}
-    assert len(kept) == len(set(group.values()))
+def plain_first_of_each(rows):
+    """Indexes of the rows (key, text) that stay: by all pairs of fingerprints and a search for components."""
+    prints = [simhash.fingerprint((t or "").encode(), 3) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3 and find(i) != find(j):
+                root[find(i)] = find(j)
+    groups = {}
+    for i in range(len(rows)):
+        groups.setdefault(find(i), []).append(i)
+    return [min(g, key=lambda i: (rows[i][0] is None, rows[i][0] or 0)) for g in groups.values()]
+
+
+def test_one_of_each_keeps_the_first_of_each_component(spark):
+    made, rows = random.Random(9), []
+    for i in range(120):
+        words = [f"w{made.randrange(4000)}" for _ in range(400)]
+        rows.append((3 * i, " ".join(words)))
+        for n in range(made.randint(0, 3)):
+            words[made.randrange(400)] = f"n{made.random()}"
+            rows.append((3 * i + 1000 * (n % 2), " ".join(words)))
+    passage = " ".join(f"p{i}" for i in range(105))
+    rows += [(10_000 + i, f"{passage} " + " ".join(f"w{made.randrange(10 ** 6)}" for _ in range(45))) for i in range(300)]
+    made.shuffle(rows)
+    expected = plain_first_of_each(rows)
+    data = spark.createDataFrame([(k, t, "d", 1, True) for k, t in rows], "doc_id long, text string, digest string, rows int, kept boolean")
+    kept = simhash.one_of_each(data).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(rows[i][0] for i in expected)
+    assert 300 < len(kept) < len(rows) and {(r["doc_id"], r["text"]) for r in kept} <= set(rows)
 
 
 def test_one_of_repeated_rows_stays(spark, odd):
-    kept = simhash.one_of_each(odd).collect()
-    assert sum(r["doc_id"] == 4 for r in kept) == 1 and not any(r["doc_id"] == 5 for r in kept)
-    assert sum(not (r["text"] or "").split() for r in kept) == 1
+    kept = simhash.one_of_each(odd)
+    assert kept.columns == odd.columns
+    kept = kept.collect()
+    assert [(r["doc_id"], r["source"]) for r in kept if r["text"] == TEXTS[4]] == [(4, None)]
+    assert [r["doc_id"] for r in kept if not (r["text"] or "").split()] == [0]
+    nameless = spark.createDataFrame([(None, "one"), (None, "one"), (None, "two"), (1, "two")], "doc_id string, text string")
+    assert sorted(map(tuple, simhash.one_of_each(nameless).collect()), key=str) == [("1", "two"), (None, "one")]
+
+
+#: Names of results and inner columns of the stages.
+CLASHING = ["kept", "n_words", "base_failed", "_lang", "_source", "_words", "symbols_per_char", "accepted", "p_content", "p_metadata",
+            "quality_score", "_chars", "_whole_text", "print", "digest", "row", "rows", "component_id", "fingerprint", "_extra_1",
+            "quality", "one", "a", "b", "key", "n_lines", "symbols_per_char_low"]
+
+
+@pytest.mark.parametrize("stage", ["rules", "classifier", "near_duplicates", "packed"])
+def test_stages_keep_columns_of_any_name(spark, stage):
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    run = getattr(corpus_pipeline, stage)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("text", F.when(F.col("doc_id") % 50 != 7, F.col("text")))
+    docs = docs.unionAll(docs.where("doc_id in (3, 4)"))
+    wide = docs.select(*[F.lit(i).alias(c) for i, c in enumerate(CLASHING)], *docs.columns)
+    plain, clashing = run(spark, docs, folder), run(spark, wide, folder)
+    if stage != "packed":
+        assert clashing.columns == wide.columns and plain.columns == docs.columns
+        values = {tuple(r)[:len(CLASHING)] for r in clashing.collect()}
+        assert values == {tuple(range(len(CLASHING)))}
+    order = lambda frame: sorted((tuple(r) for r in frame.select(plain.columns).collect()), key=str)
+    assert order(plain) == order(clashing)
+    assert run(spark, wide.limit(0), folder).collect() == []
 
 
 def test_templates():

@@ -7,7 +7,7 @@ stages but the last return the columns of documents.
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from holdfast.llm.common import table
+from holdfast.llm.common import neutral, restored, table
 from holdfast.llm.cotraining import quality_classifier
 from holdfast.llm.packing import pack
 from holdfast.llm.quality_rules import quality_rules
@@ -17,17 +17,18 @@ from holdfast.session import scratch_path
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules; those with null, empty or very short texts go."""
-    return quality_rules(docs).where("kept").select(docs.columns)
+    return restored(quality_rules(neutral(docs)).where("kept"), docs)
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier accepts; it is fitted on the whole table, since the rules leave few bad ones."""
     labels, whole = table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents")
-    return quality_classifier(docs, labels, fit_on=whole).where("accepted").select(docs.columns)
+    return restored(quality_classifier(neutral(docs), labels, fit_on=neutral(whole)).where("accepted"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies: the one with the smallest doc_id."""
+    """One document, the one with the smallest doc_id, of each group whose fingerprints (three-word shingles) are linked by
+    differences of three bits or fewer."""
     return one_of_each(docs)
 
 

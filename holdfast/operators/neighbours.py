@@ -1,21 +1,21 @@
 """Exact k nearest neighbours within a class, without forming all pairs.
 
 1. Equal vectors are reduced to one row that keeps its ``k + 1`` smallest ids - enough to answer for every copy.
-2. A bounded set of pivot vectors splits each class into cells. Every row knows its distance to every pivot, which gives
-   an upper bound for the distance of its k-th neighbour and, by the triangle inequality, the cells that can hold a
-   neighbour. A row is sent only to those cells.
-3. Cells are cut into blocks of limited size on both sides; each block is a matrix computation that returns distance and id
-   of the best ``k`` per row, and the block results are merged by row. Cells are about as large as blocks, so that without
-   any pruning a row travels no more often than a blocked full comparison needs.
+2. Each class is the root of a tree of cells. A cell with more rows than a block is split around a few of its own vectors
+   (pivots): each row goes to the nearest one. Cells are split until each fits a block, whatever the size of the data. A row
+   carries one distance only, that to the pivot of its cell, and the best bound its path gave for its k-th neighbour.
+3. Each leaf is searched on its own first, which makes the bound of its rows a real distance. Then rows descend from the
+   root: by the triangle inequality a cell can hold a nearer vector only if the distance to its pivot, less its radius, is
+   within the bound. A row is handed on to those children only, and at the end to the leaves it has to look into.
+4. Rows of a cell are dealt to parts of limited size, each with a copy of the cell's pivots or members, so no task depends on
+   the size of a cell or on how many rows look into it. Only the best ``k + 1`` of a part come back.
 
 The bounds only ever discard cells that cannot contribute, so the answer is that of the full comparison.
 """
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -23,12 +23,15 @@ from holdfast.operators.skew import split_heavy_join
 from holdfast.session import store, wide_parallelism
 
 SALTS = 256
-MOST_PIVOTS = 256
+#: Rows of a leaf, values of a leaf, and distances that are computed at once.
 BLOCK_ROWS = 32_768
 BLOCK_VALUES = 2**21
 CHUNK_VALUES = 2**22
+#: Children of a cell at most, rows drawn for each of its pivots, and rows that descend together.
+FAN = 32
+DRAWN = 8
+PART_ROWS = 4096
 SLACK = 1e-9
-FEW_CELLS = 100_000
 
 
 def _rows(df: DataFrame, id_col: str, class_col: str, vector_col: str) -> DataFrame:
@@ -50,100 +53,199 @@ def distinct_vectors(df: DataFrame, k: int, id_col: str, class_col: str, vector_
     return groups.select("cls", "vec", "ids", F.get("ids", F.lit(0)).alias("rep"))
 
 
-def _pivots(distinct: DataFrame, pivots: int) -> np.ndarray:
-    """A fixed number of vectors chosen by hash; they steer the pruning and do not affect the result."""
-    chosen = distinct.select("vec", F.xxhash64("vec").alias("h")).orderBy("h").limit(pivots)
-    return np.array([r["vec"] for r in chosen.collect()], dtype="float64")
+def _wider(bound: Column) -> Column:
+    return bound * (1 + SLACK) + SLACK
+
+
+def _root() -> Column:
+    """Node of a class. Children put their number and a point before the name of their parent."""
+    return F.concat(F.lit("|"), F.col("cls").cast("string"))
+
+
+def _parts(size: str, rows: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(F.col(size) / rows)).cast("int")
+
+
+def _own_part(cuts: str) -> Column:
+    return F.pmod(F.xxhash64("vec", F.lit("part")), F.col(cuts)).cast("int").alias("part")
+
+
+def _every_part(cuts: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.col(cuts) - 1)).alias("part")
 
 
-def _assign(distinct: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Add the nearest pivot and the distances to all pivots."""
+def _pivots(inner: DataFrame, fan: int, block_rows: int, level: int) -> DataFrame:
+    """(node, place, pivot, cuts): a few vectors of each cell, chosen by hash; they steer the search, not its result.
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            x = np.stack(pdf["vec"].to_numpy())
-            gaps = np.empty((len(x), len(pivots)))
-            for j, p in enumerate(pivots):
-                gaps[:, j] = np.sqrt(((x - p) ** 2).sum(axis=1))
-            yield pdf.assign(cell=gaps.argmin(axis=1).astype("int32"), gaps=list(gaps))
+    Only some DRAWN rows per pivot are ranked, whatever the size of the cell.
+    """
+    draw = F.pmod(F.xxhash64("vec", F.lit(level)), F.lit(1 << 30))
+    wanted = F.least(F.lit(fan), F.greatest(F.lit(2), 2 * F.ceil(F.col("rows") / block_rows)))
+    drawn = inner.withColumn("draw", draw).filter(F.col("draw").cast("double") * F.col("rows") <= float(DRAWN * fan << 30))
+    place = F.row_number().over(W.partitionBy("node").orderBy("draw", "rep"))
+    return drawn.withColumn("place", place).filter(F.col("place") <= wanted).select(
+        "node", "place", F.col("vec").alias("pivot"), _parts("rows", block_rows).alias("cuts"))
+
+
+def _distances(x: np.ndarray, points: np.ndarray) -> np.ndarray:
+    out = np.empty((len(x), len(points)))
+    for j, p in enumerate(points):
+        out[:, j] = np.sqrt(((x - p) ** 2).sum(axis=1))
+    return out
+
+
+def _to_nearest(rows: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+    """Rows of a cell with the child they go to and their distance to its pivot."""
+    if rows.empty:
+        return rows[["cls", "node", "vec", "ids", "rep", "gap", "bound"]]
+    gaps = _distances(np.stack(rows["vec"].to_numpy()), np.stack(pivots["pivot"].to_numpy()))
+    nearest = gaps.argmin(axis=1)
+    places = pivots["place"].to_numpy()[nearest]
+    return rows.assign(
+        node=[f"{place}.{node}" for place, node in zip(places, rows["node"])], gap=gaps[np.arange(len(rows)), nearest],
+    )[["cls", "node", "vec", "ids", "rep", "gap", "bound"]]
 
+
+def cell_tree(distinct: DataFrame, k: int, block_rows: int, fan: int = FAN) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows with their leaf (``node``) and bound, and for each level the children (parent, child, pivot, radius, leaf).
+
+    ``distinct`` holds each vector of a class once, so every split makes smaller cells.
+    """
     kinds = dict(distinct.dtypes)
-    schema = f"cls {kinds['cls']}, vec array<double>, ids {kinds['ids']}, rep {kinds['rep']}, cell int, gaps array<double>"
-    return distinct.mapInPandas(assign, schema)
+    schema = (f"cls {kinds['cls']}, node string, vec array<double>, ids {kinds['ids']}, rep {kinds['rep']}, gap double, "
+              "bound double")
+    far = F.lit(float("inf"))
+    rows = distinct.filter(F.col("cls").isNotNull()).select(
+        "cls", _root().alias("node"), "vec", "ids", "rep", far.alias("gap"), far.alias("bound"))
+    leaves, levels, pivots = None, [], None
+    while True:
+        cells = store(rows.groupBy("node").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(F.size("ids")).alias("members"), F.max("gap").alias("radius")), "cells")
+        if pivots is not None:
+            named = pivots.select(
+                F.col("node").alias("parent"), F.concat(F.col("place").cast("string"), F.lit("."), "node").alias("child"), "pivot")
+            levels.append(store(named.join(cells, named["child"] == cells["node"]).select(
+                "parent", "child", "pivot", "radius", (F.col("rows") <= block_rows).alias("leaf")), "children"))
+        # A row per cell; Spark broadcasts the stored table where it is small.
+        reach = F.when(F.col("members") > k, F.least("bound", _wider(F.col("gap") + F.col("radius")))).otherwise(F.col("bound"))
+        known = rows.join(cells, "node").withColumn("bound", reach)
+        done = known.filter(F.col("rows") <= block_rows).select(*distinct.columns, "node", "bound")
+        leaves = done if leaves is None else leaves.unionByName(done)
+        if cells.filter(F.col("rows") > block_rows).isEmpty():
+            return leaves, levels
+        inner = known.filter(F.col("rows") > block_rows)
+        pivots = store(_pivots(inner, fan, block_rows, len(levels)), "pivots")
+        dealt = inner.withColumn("cuts", _parts("rows", block_rows)).select(*rows.columns, _own_part("cuts"))
+        copies = pivots.select("node", "place", "pivot", _every_part("cuts"))
+        rows = store(dealt.groupBy("node", "part").cogroup(copies.groupBy("node", "part")).applyInPandas(
+            _to_nearest, schema), "cell-rows")
 
 
-def _attach(df: DataFrame, lookup: DataFrame, keys: list[str], few_classes: bool) -> DataFrame:
-    """Join per-class or per-cell facts: broadcast while the classes are counted and few, else split off heavy keys."""
-    if few_classes:
-        return df.join(F.broadcast(lookup), keys)
-    packed = lookup.withColumn("_key", F.struct(*keys)).drop(*keys)
-    return split_heavy_join(df.withColumn("_key", F.struct(*keys)), packed, "_key").drop("_key")
+def _best(asking: pd.DataFrame, held: pd.DataFrame, k: int) -> pd.DataFrame:
+    """(row, dist, id): for each asking row the k + 1 nearest of the held vectors' ids, nearest first."""
+    q, m = np.stack(asking["vec"].to_numpy()), np.stack(held["vec"].to_numpy())
+    ids, lowest = held["ids"].to_numpy(), held["rep"].to_numpy()
+    copies = np.array([len(i) for i in ids])
+    length, largest = (m**2).sum(axis=1), (q**2).sum(axis=1).max()
+    # One vector more than k, because the row itself may be among them.
+    take = min(k + 1, len(m))
+    parts = []
+    step = max(1, CHUNK_VALUES // len(m))
+    for at in range(0, len(q), step):
+        part = q[at : at + step]
+        # Fast squared distances (less a constant per row) pick the candidates with room for rounding, exact ones
+        # rank them.
+        rough = length[None, :] - 2.0 * (part @ m.T)
+        limit = np.partition(rough, take - 1, axis=1)[:, take - 1] + 1e-9 * (1.0 + largest + length.max())
+        rows, cols = np.nonzero(rough <= limit[:, None])
+        exact = np.sqrt(((part[rows] - m[cols]) ** 2).sum(axis=1))
+        order = np.lexsort((lowest[cols], exact, rows))
+        rows, cols, exact = rows[order], cols[order], exact[order]
+        first = np.searchsorted(rows, np.arange(len(part)))
+        kept = (first[:, None] + np.arange(take)[None, :]).ravel()
+        rows, cols, exact = rows[kept], cols[kept], exact[kept]
+        frame = pd.DataFrame({
+            "row": np.repeat(at + rows, copies[cols]), "dist": np.repeat(exact, copies[cols]),
+            "id": np.concatenate([ids[c] for c in cols]),
+        })
+        if copies[cols].max() > 1:
+            frame = frame.sort_values(["row", "dist", "id"]).groupby("row").head(k + 1)
+        parts.append(frame)
+    return pd.concat(parts)
 
 
-def _visits(assigned: DataFrame, k: int, few_classes: bool) -> DataFrame:
-    """The cells each row has to look into."""
-    near = assigned.select("cls", "cell", F.get("gaps", F.col("cell")).alias("gap"), F.size("ids").alias("copies"))
-    cells = near.groupBy("cls", "cell").agg(
-        F.max("gap").alias("radius"), F.sum("copies").alias("members"), F.count(F.lit(1)).alias("rows")
-    )
-    # One row per class, one entry per pivot.
-    listed = cells.groupBy("cls").agg(F.collect_list(F.struct("cell", "radius", "members", "rows")).alias("cells"))
-    joined = _attach(assigned, listed, ["cls"], few_classes)
-    # Upper bound for the k-th neighbour: cells by their far edge, until they hold k others and the row itself.
-    edges = F.array_sort(F.transform("cells", lambda c: F.struct(
-        (F.get("gaps", c["cell"]) + c["radius"]).alias("edge"), c["members"].alias("members"))))
-    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(float("inf")).alias("bound"))
-    bound = F.aggregate(
-        edges, start,
-        lambda acc, e: F.struct(
-            (acc["seen"] + e["members"]).alias("seen"),
-            F.when((acc["seen"] < k + 1) & (acc["seen"] + e["members"] >= k + 1), e["edge"])
-            .otherwise(acc["bound"]).alias("bound"),
-        ),
-        lambda acc: acc["bound"],
-    )
-    bounded = joined.withColumn("bound", bound * (1 + SLACK) + SLACK)
-    reachable = F.filter("cells", lambda c: F.get("gaps", c["cell"]) - c["radius"] <= F.col("bound"))
-    exploded = bounded.select("cls", "vec", "rep", F.explode(reachable).alias("target"))
-    return exploded.select("cls", "vec", "rep", F.col("target.cell").alias("cell"), F.col("target.rows").alias("rows"))
+def own_leaves(leaves: DataFrame, k: int) -> DataFrame:
+    """(cls, node, vec, rep, bound, dists, near) per row: what its own leaf holds; the bound is the k-th distance found
+    there if there are so many."""
+    kinds = dict(leaves.dtypes)
+
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = _best(pdf, pdf, k)
+        first = np.searchsorted(found["row"].to_numpy(), np.arange(len(pdf) + 1))
+        dists, near = found["dist"].to_numpy(), found["id"].to_numpy()
+        spans = list(zip(first[:-1], first[1:]))
+        reached = np.array([dists[b - 1] if b - a > k else np.inf for a, b in spans])
+        return pdf.assign(
+            bound=np.minimum(pdf["bound"].to_numpy(), reached * (1 + SLACK) + SLACK),
+            dists=[dists[a:b] for a, b in spans], near=[near[a:b] for a, b in spans],
+        )[["cls", "node", "vec", "rep", "bound", "dists", "near"]]
+
+    dealt = leaves.repartition(wide_parallelism(leaves.sparkSession), "node").groupBy("node")
+    return dealt.applyInPandas(search, f"cls {kinds['cls']}, node string, vec array<double>, rep {kinds['rep']}, bound double, "
+                               f"dists array<double>, near {kinds['ids']}")
+
+
+def _children_in_reach(rows: pd.DataFrame, children: pd.DataFrame) -> pd.DataFrame:
+    columns = ["rep", "vec", "bound", "home", "node", "leaf"]
+    if rows.empty:
+        return pd.DataFrame({c: [] for c in columns})
+    gaps = _distances(np.stack(rows["vec"].to_numpy()), np.stack(children["pivot"].to_numpy()))
+    at, to = np.nonzero(gaps - children["radius"].to_numpy()[None, :] <= rows["bound"].to_numpy()[:, None])
+    out = rows.iloc[at].assign(node=children["child"].to_numpy()[to], leaf=children["leaf"].to_numpy()[to])
+    return out[out["node"] != out["home"]][columns]
+
+
+def leaves_in_reach(searched: DataFrame, levels: list[DataFrame]) -> DataFrame | None:
+    """(rep, vec, bound, node): the leaves besides its own that each row has to look into."""
+    kind = dict(searched.dtypes)["rep"]
+    schema = f"rep {kind}, vec array<double>, bound double, home string, node string, leaf boolean"
+    frontier = searched.select("rep", "vec", "bound", F.col("node").alias("home"), _root().alias("node")).filter("home <> node")
+    visits = None
+    for children in levels:
+        cuts = store(frontier.groupBy("node").agg(_parts_of_rows(PART_ROWS)), "frontier-sizes")
+        dealt = frontier.join(cuts, "node").select("rep", "vec", "bound", "home", "node", _own_part("cuts"))
+        copies = children.join(cuts, children["parent"] == cuts["node"]).select(
+            "node", "child", "pivot", "radius", "leaf", _every_part("cuts"))
+        reached = store(dealt.groupBy("node", "part").cogroup(copies.groupBy("node", "part")).applyInPandas(
+            _children_in_reach, schema), "frontier")
+        some = reached.filter("leaf").select("rep", "vec", "bound", "node")
+        visits = some if visits is None else visits.unionByName(some)
+        frontier = reached.filter("not leaf").select("rep", "vec", "bound", "home", "node")
+    return visits
+
+
+def _parts_of_rows(rows: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / rows)).cast("int").alias("cuts")
 
 
-def _best_in_block(k: int):
-    def best(pdf: pd.DataFrame) -> pd.DataFrame:
-        asking, held = pdf[pdf["visitor"] == 1], pdf[pdf["visitor"] == 0]
-        if asking.empty or held.empty:
+def _visited(leaves: DataFrame, visits: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """(rep, dist, id): the best of each leaf that a row looks into, as far as its bound lets them count."""
+    kind = dict(leaves.dtypes)["rep"]
+
+    def search(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if asking.empty:
             return pd.DataFrame({"rep": [], "dist": [], "id": []})
-        q, m = np.stack(asking["vec"].to_numpy()), np.stack(held["vec"].to_numpy())
-        reps, ids, lowest = asking["rep"].to_numpy(), held["ids"].to_numpy(), held["rep"].to_numpy()
-        copies = np.array([len(i) for i in ids])
-        length, largest = (m**2).sum(axis=1), (q**2).sum(axis=1).max()
-        # One vector more than k, because the row itself may be among them.
-        take = min(k + 1, len(m))
-        parts = []
-        step = max(1, CHUNK_VALUES // len(m))
-        for at in range(0, len(q), step):
-            part = q[at : at + step]
-            # Fast squared distances (less a constant per row) pick the candidates with room for rounding, exact ones
-            # rank them.
-            rough = length[None, :] - 2.0 * (part @ m.T)
-            limit = np.partition(rough, take - 1, axis=1)[:, take - 1] + 1e-9 * (1.0 + largest + length.max())
-            rows, cols = np.nonzero(rough <= limit[:, None])
-            exact = np.sqrt(((part[rows] - m[cols]) ** 2).sum(axis=1))
-            order = np.lexsort((lowest[cols], exact, rows))
-            rows, cols, exact = rows[order], cols[order], exact[order]
-            first = np.searchsorted(rows, np.arange(len(part)))
-            kept = (first[:, None] + np.arange(take)[None, :]).ravel()
-            rows, cols, exact = rows[kept], cols[kept], exact[kept]
-            parts.append(pd.DataFrame({
-                "rep": np.repeat(reps[at + rows], copies[cols]),
-                "dist": np.repeat(exact, copies[cols]),
-                "id": np.concatenate([ids[c] for c in cols]),
-            }))
-        return pd.concat(parts)
-
-    return best
+        found = _best(asking, held, k)
+        rows = found["row"].to_numpy()
+        found = found.assign(rep=asking["rep"].to_numpy()[rows])
+        return found[found["dist"].to_numpy() <= asking["bound"].to_numpy()[rows]][["rep", "dist", "id"]]
+
+    cuts = store(visits.groupBy("node").agg(_parts_of_rows(block_rows)), "visits-of-leaves")
+    tasks = wide_parallelism(leaves.sparkSession)
+    asking = visits.join(cuts, "node").select("node", "rep", "vec", "bound", _own_part("cuts")).repartition(tasks, "node", "part")
+    held = leaves.join(cuts, "node").select("node", "rep", "vec", "ids", _every_part("cuts")).repartition(tasks, "node", "part")
+    return asking.groupBy("node", "part").cogroup(held.groupBy("node", "part")).applyInPandas(
+        search, f"rep {kind}, dist double, id {kind}")
 
 
 def nearest_neighbours(
@@ -152,55 +254,31 @@ def nearest_neighbours(
     id_col: str = "customer_id",
     class_col: str = "label",
     vector_col: str = "features",
-    pivots: int | None = None,
     block_rows: int | None = None,
+    fan: int = FAN,
 ) -> DataFrame:
     """(id, class, vec, neighbours): the k nearest other rows of the same class, nearest first, ties by id.
 
-    ``neighbours`` is an array of (dist, id). Block size follows the width of the vectors, the number of pivots the size
-    of the classes, unless given.
+    ``neighbours`` is an array of (dist, id). The rows of a leaf follow the width of the vectors unless given; rows without
+    a class have no neighbours and are left out.
     """
     distinct = store(distinct_vectors(df, k, id_col, class_col, vector_col), "vectors")
-    facts = distinct.agg(
-        F.count_distinct("cls").alias("classes"), F.max(F.size("ids")).alias("copies"),
-        F.count(F.lit(1)).alias("rows"), F.max(F.size("vec")).alias("width"),
-    ).first()
+    facts = distinct.agg(F.max(F.size("ids")).alias("copies"), F.max(F.size("vec")).alias("width")).first()
     if block_rows is None:
         block_rows = max(1024, min(BLOCK_ROWS, BLOCK_VALUES // (facts["width"] or 1)))
-    if pivots is None:
-        pivots = min(MOST_PIVOTS, 1 + facts["rows"] // (block_rows * max(1, facts["classes"])))
-    points = _pivots(distinct, pivots)
-    few_classes = facts["classes"] * pivots <= FEW_CELLS
-    kinds = dict(distinct.dtypes)
-
-    assigned = store(_assign(distinct, points), "cells")
-    visits = _visits(assigned, k, few_classes)
-    # Members and visitors of a cell are both cut by hash, so a block is about ``block_rows`` on either side.
-    load = visits.groupBy("cls", "cell").agg(F.count(F.lit(1)).alias("visitors"), F.first("rows").alias("rows")).select(
-        "cls", "cell",
-        F.greatest(F.lit(1), F.ceil(F.col("rows") / block_rows)).cast("int").alias("mcuts"),
-        F.greatest(F.lit(1), F.ceil(F.col("visitors") / block_rows)).cast("int").alias("vcuts"),
-    )
-    cut = F.xxhash64("vec")
-    members = _attach(assigned.drop("gaps"), load, ["cls", "cell"], few_classes).select(
-        "cls", "cell", F.pmod(cut, F.col("mcuts")).cast("int").alias("mcut"),
-        F.explode(F.sequence(F.lit(0), F.col("vcuts") - 1)).alias("vcut"),
-        F.lit(0).alias("visitor"), "rep", "vec", "ids",
-    )
-    visitors = _attach(visits.drop("rows"), load, ["cls", "cell"], few_classes).select(
-        "cls", "cell", F.explode(F.sequence(F.lit(0), F.col("mcuts") - 1)).alias("mcut"),
-        F.pmod(cut, F.col("vcuts")).cast("int").alias("vcut"),
-        F.lit(1).alias("visitor"), "rep", "vec", F.lit(None).cast(kinds["ids"]).alias("ids"),
-    )
-    block = ["cls", "cell", "mcut", "vcut"]
-    blocks = members.unionByName(visitors).repartition(wide_parallelism(df.sparkSession), *block).groupBy(*block)
-    partial = blocks.applyInPandas(
-        _best_in_block(k), f"rep {kinds['rep']}, dist double, id {kinds['rep']}"
-    )
-    # k others and one entry for the row itself. The rank filter is applied before the shuffle as well.
-    nearest = F.row_number().over(W.partitionBy("rep").orderBy("dist", "id"))
-    best = partial.withColumn("nearest", nearest).filter(F.col("nearest") <= k + 1)
-    shortlist = best.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("dist", "id"))).alias("found"))
+    leaves, levels = cell_tree(distinct, k, block_rows, fan)
+    searched = own_leaves(leaves, k)
+    own = F.arrays_zip(F.col("dists").alias("dist"), F.col("near").alias("id"))
+    if levels:
+        searched = store(searched, "own-leaves")
+        visits = store(leaves_in_reach(searched, levels), "visits")
+        partial = searched.select("rep", F.inline(own)).unionByName(_visited(leaves, visits, k, block_rows))
+        # k others and one entry for the row itself. The rank filter is applied before the shuffle as well.
+        nearest = F.row_number().over(W.partitionBy("rep").orderBy("dist", "id"))
+        best = partial.withColumn("nearest", nearest).filter(F.col("nearest") <= k + 1)
+        shortlist = best.groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("dist", "id"))).alias("found"))
+    else:
+        shortlist = searched.select("rep", own.alias("found"))
 
     known = distinct.join(shortlist, "rep")
     answered = known.select(F.explode("ids").alias("id"), "cls", "vec", "found")

@@ -30,23 +30,50 @@ def brute_force(rows, k):
     return out
 
 
-@pytest.mark.parametrize("pivots,block,few", [(None, None, True), (6, 7, True), (3, 20, False)])
-def test_neighbours_equal_brute_force(spark, monkeypatch, pivots, block, few):
+@pytest.mark.parametrize("block,fan", [(None, 32), (12, 3), (40, 2)])
+def test_neighbours_equal_brute_force(spark, monkeypatch, block, fan):
     monkeypatch.setattr(neighbours, "CHUNK_VALUES", 40)
-    if not few:
-        monkeypatch.setattr(neighbours, "FEW_CELLS", -1)
+    monkeypatch.setattr(neighbours, "PART_ROWS", 16)
     rng = np.random.default_rng(5)
     centres = rng.normal(0, 8, (4, 3))
     rows = [(i, int(i % 10 == 0), centres[i % 4] + rng.normal(0, 1, 3)) for i in range(60)]
     # A third of all rows are copies of one vector, and one class has a single row.
     rows += [(100 + i, 0, centres[0]) for i in range(30)] + [(999, 7, centres[1])]
     df = spark.createDataFrame([(i, c, [float(v) for v in x]) for i, c, x in rows], "id bigint, c int, x array<double>")
-    near = neighbours.nearest_neighbours(df, 4, "id", "c", "x", pivots, block)
+    near = neighbours.nearest_neighbours(df, 4, "id", "c", "x", block, fan)
     assert near.count() == len(rows)
     got = {(r[0], r[1], r[2], r[3], round(r[4], 6)) for r in neighbours.neighbour_table(near, "id", "c").collect()}
     assert got == brute_force(rows, 4)
 
 
+def test_neighbours_over_three_levels_and_without_a_class(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PART_ROWS", 50)
+    rng = np.random.default_rng(8)
+    rows = [(i, "a|b" if i % 4 else "0.|a", rng.normal(0, 1, 2) * 10.0 ** rng.integers(0, 4)) for i in range(400)]
+    data = [(i, c, [float(v) for v in x]) for i, c, x in rows] + [(1000, None, [0.0, 0.0])]
+    df = spark.createDataFrame(data, "id bigint, c string, x array<double>")
+    distinct = store(neighbours.distinct_vectors(df, 3, "id", "c", "x"), "vectors")
+    leaves, levels = neighbours.cell_tree(distinct, 3, 20, 4)
+    assert len(levels) >= 3 and leaves.groupBy("node").count().agg(F.max("count")).first()[0] <= 20
+    near = neighbours.nearest_neighbours(df, 3, "id", "c", "x", 20, 4)
+    got = {tuple(r)[:4]: r[4] for r in neighbours.neighbour_table(near, "id", "c").collect()}
+    assert near.count() == 400 and got == pytest.approx({r[:4]: r[4] for r in brute_force(rows, 3)}, abs=2e-6)
+
+
+def test_neighbours_in_clusters_look_into_few_cells(spark):
+    """Rows travel to a few cells, not to all: 90 and more leaves, and no more than two visits a row."""
+    rng = np.random.default_rng(9)
+    centres = rng.uniform(-100, 100, (40, 8))
+    data = [(i, 0, [float(v) for v in centres[i % 40] + rng.normal(0, 0.5, 8)]) for i in range(4000)]
+    df = spark.createDataFrame(data, "id bigint, c int, x array<double>")
+    distinct = store(neighbours.distinct_vectors(df, 5, "id", "c", "x"), "vectors")
+    leaves, levels = neighbours.cell_tree(distinct, 5, 128, 8)
+    searched = store(neighbours.own_leaves(leaves, 5), "own-leaves")
+    visits = neighbours.leaves_in_reach(searched, levels)
+    cells = leaves.select("node").distinct().count()
+    assert cells >= 40 and visits.count() <= 2 * 4000, (cells, visits.count())
+
+
 def test_event_ids_are_dense_and_ordered_within_hot_customers(spark):
     cdr = spark.range(600).select(
         F.col("id").alias("event_id"),

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from holdfast.functions import columns as C
-from holdfast.operators.quantiles import exact_quantiles
+from holdfast.operators.quantiles import exact_quantiles, long_values
 from holdfast.operators.skew import split_heavy_join
 from holdfast.session import store
 
@@ -95,17 +95,12 @@ def data_by_internet(cdr: DataFrame, services: DataFrame) -> DataFrame:
     sessions = cdr.filter(F.col("event_type") == "data").select("customer_id", "data_mb")
     lookup = services.select("customer_id", "internet_service").filter(F.col("internet_service").isNotNull())
     joined = split_heavy_join(sessions, lookup, "customer_id")
-    sized = store(joined.groupBy("internet_service", "data_mb").agg(F.count(F.lit(1)).alias("n")), "sessions")
-    counts = sized.filter(F.col("data_mb").isNotNull()).select(
-        "internet_service", F.lit("data_mb").alias("metric"), F.col("data_mb").cast("double").alias("value"), "n"
-    )
-    medians = exact_quantiles(joined, ["data_mb"], {"median_mb": 0.5}, ("internet_service",), counts)
-    totals = sized.groupBy("internet_service").agg(
-        F.sum("n").alias("sessions"),
-        F.try_divide(
-            F.sum(F.col("data_mb") * F.col("n")).cast("double"),
-            F.sum(F.when(F.col("data_mb").isNotNull(), F.col("n"))),
-        ).alias("mean_mb"),
+    held = store(joined.select("internet_service", "data_mb"), "sessions")
+    groups = ("internet_service",)
+    medians = exact_quantiles(held, ["data_mb"], {"median_mb": 0.5}, groups, long=long_values(held, ["data_mb"], groups))
+    totals = held.groupBy("internet_service").agg(
+        F.count(F.lit(1)).alias("sessions"),
+        F.try_divide(F.sum("data_mb").cast("double"), F.count("data_mb")).alias("mean_mb"),
     )
     return totals.join(medians.drop("metric"), "internet_service", "left")
 

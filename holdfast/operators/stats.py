@@ -2,11 +2,13 @@
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import schemas as S
-from holdfast.operators.quantiles import exact_quantiles, value_counts
+from holdfast.operators.quantiles import exact_quantiles, first_pass, long_values, stored_columns, value_counts
 from holdfast.session import small_table, store
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -15,25 +17,14 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 def numeric_summary(df: DataFrame, columns: list[str] | None = None, decimals: int = 2) -> DataFrame:
     """count, mean, std, min, quartiles and max per column, one row per column."""
     columns = columns or S.SUMMARY_COLUMNS
-    counts = store(value_counts(df, columns), "value-counts")
-    quartiles = exact_quantiles(df, columns, QUARTILES, counts=counts)
-    # Moments around the median, which is never further than one deviation from the mean: no cancellation.
-    gap = F.col("value") - F.col("median")
-    # One row per column of the list.
-    moments = counts.join(F.broadcast(quartiles), "metric").groupBy("metric", *QUARTILES).agg(
-        F.sum("n").alias("count"),
-        F.sum(F.col("n") * gap).alias("first"),
-        F.sum(F.col("n") * gap * gap).alias("second"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    mean = F.col("median") + F.col("first") / F.col("count")
-    spread = F.col("second") - F.col("first") * F.col("first") / F.col("count")
-    std = F.sqrt(F.try_divide(F.greatest(spread, F.lit(0.0)), F.col("count") - 1))
+    long = long_values(stored_columns(df, columns), columns)
+    moments = [F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")]
+    first = first_pass(long, (), *moments)
+    quartiles = exact_quantiles(df, columns, QUARTILES, long=long, first=first)
     figures = ["mean", "std", "min", "q1", "median", "q3", "max"]
-    return moments.withColumns({"mean": mean, "std": std}).select(
-        "metric", "count", *[F.round(c, decimals).alias(c) for c in figures]
-    )
+    # One row per column of the list on either side.
+    return first.join(quartiles, "metric").select(
+        "metric", F.col("rows").alias("count"), *[F.round(c, decimals).alias(c) for c in figures])
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -110,7 +101,7 @@ def density(df: DataFrame, columns: list[str] | None = None, points: int = 200,
     """Gaussian kernel density per column: over all rows and per churn value.
 
     Scott's bandwidth (n^-1/5 times the sample deviation); the grid reaches ``cut`` bandwidths beyond the data. Rows
-    are weighted distinct values, so the work is distinct values times grid points, summed map-side.
+    are weighted distinct values; the kernel's values at all grid points are one vector, summed where they are made.
     """
     columns = columns or S.DISTRIBUTION_COLUMNS
     # One scan: counts per class, then the classes added up. Rows without a class only count overall.
@@ -133,33 +124,38 @@ def density(df: DataFrame, columns: list[str] | None = None, points: int = 200,
     shape = spread.filter(F.col("std") > 0).select(*keys, "total", "low", "high", width.alias("bandwidth"))
     start = F.col("low") - cut * F.col("bandwidth")
     stop = F.col("high") + cut * F.col("bandwidth")
-    gridded = weighted.join(F.broadcast(shape), keys).select(
-        *keys, "value", "n", "total", "bandwidth", start.alias("start"), ((stop - start) / (points - 1)).alias("step"),
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
-    )
-    x = F.col("start") + F.col("point") * F.col("step")
-    u = (x - F.col("value")) / F.col("bandwidth")
-    kernel = F.sum(F.col("n") * F.exp(-0.5 * u * u))
-    summed = gridded.groupBy(*keys, "point", "start", "step", "total", "bandwidth").agg(kernel.alias("mass"))
+    grid = ["total", "bandwidth", "start", "step"]
+    placed = weighted.join(F.broadcast(shape), keys).select(
+        *keys, "value", "n", "total", "bandwidth", start.alias("start"), ((stop - start) / (points - 1)).alias("step"))
+    # One row of all points per value, added in place: a value never becomes more than one row.
+    numbers = F.sequence(F.lit(0), F.lit(points - 1))
+
+    def kernel(point: Column) -> Column:
+        u = (F.col("start") + point * F.col("step") - F.col("value")) / F.col("bandwidth")
+        return F.col("n") * F.exp(-0.5 * u * u)
+
+    masses = Summarizer.metrics("sum").summary(array_to_vector(F.transform(numbers, kernel)))
+    summed = placed.groupBy(*keys, *grid).agg(masses.alias("masses"))
     norm = F.col("total") * F.col("bandwidth") * F.sqrt(2 * F.pi())
-    return summed.select(*keys, "point", x.alias("x"), (F.col("mass") / norm).alias("density"))
+    # The points of the grid are the rows of the result.
+    return summed.select(*keys, *grid, F.posexplode(vector_to_array("masses.sum")).alias("point", "mass")).select(
+        *keys, "point", (F.col("start") + F.col("point") * F.col("step")).alias("x"), (F.col("mass") / norm).alias("density"))
 
 
 def box_stats(df: DataFrame, columns: list[str], groups: tuple[str, ...]) -> DataFrame:
-    """Quartiles, whisker ends (furthest value within 1.5 interquartile ranges) and the number of points outside."""
-    counts = store(value_counts(df, columns, groups), "value-counts")
+    """Quartiles, whisker ends (furthest value within 1.5 interquartile ranges) and the number of points outside.
+
+    The stored columns are read again beside the quartiles, one row per group and column, which Spark broadcasts while they
+    are few; whiskers and outliers are summed where the rows are read.
+    """
     keys = [*groups, "metric"]
-    quartiles = exact_quantiles(df, columns, QUARTILES, groups, counts)
+    long = long_values(stored_columns(df, columns, groups), columns, groups)
+    quartiles = store(exact_quantiles(df, columns, QUARTILES, groups, long=long), "quartiles")
     spread = F.col("q3") - F.col("q1")
-    fenced = counts.join(quartiles, keys).withColumns({
-        "inside": F.col("value").between(F.col("q1") - 1.5 * spread, F.col("q3") + 1.5 * spread)
-    })
-    return fenced.groupBy(*keys).agg(
-        F.sum("n").alias("count"),
-        F.first("q1").alias("q1"),
-        F.first("median").alias("median"),
-        F.first("q3").alias("q3"),
-        F.min(F.when(F.col("inside"), F.col("value"))).alias("whisker_low"),
-        F.max(F.when(F.col("inside"), F.col("value"))).alias("whisker_high"),
-        F.sum(F.when(F.col("inside"), F.lit(0)).otherwise(F.col("n"))).alias("outliers"),
-    )
+    inside = F.col("value").between(F.col("q1") - 1.5 * spread, F.col("q3") + 1.5 * spread)
+    return long.join(quartiles, keys).groupBy(*keys, *QUARTILES).agg(
+        F.count(F.lit(1)).alias("count"),
+        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
+        F.count_if(~inside).alias("outliers"),
+    ).select(*keys, "count", *QUARTILES, "whisker_low", "whisker_high", "outliers")

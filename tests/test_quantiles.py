@@ -10,7 +10,8 @@ from holdfast.operators import stats
 
 @pytest.fixture
 def many_ranges(monkeypatch):
-    """Several levels of few ranges."""
+    """Several levels of few ranges, and brackets that narrow in several passes."""
+    monkeypatch.setattr(Q, "INSIDE_ROWS", 3)
     monkeypatch.setattr(Q, "ROWS_PER_RANGE", 20)
     monkeypatch.setattr(Q, "FAN", 4)
 
@@ -36,16 +37,66 @@ def test_grouped_quantiles(numbers, many_ranges):
             assert got[g][name] == pytest.approx(np.quantile(own, p), rel=1e-12), (g, name)
 
 
-def test_the_number_of_ranges_does_not_show(numbers, monkeypatch):
+def test_the_width_of_brackets_does_not_show(numbers, monkeypatch):
     df, _ = numbers
     found = []
-    for rows, fan in ((10_000, 512), (300, 512), (10, 512), (40, 3)):
-        monkeypatch.setattr(Q, "ROWS_PER_RANGE", rows)
-        monkeypatch.setattr(Q, "FAN", fan)
+    # The last one: sketches that are too coarse for their reach, so that brackets miss and are opened again.
+    for inside, k, reach in ((200_000, 2048, 0.005), (0, 2048, 0.005), (60, 8, 0.0)):
+        monkeypatch.setattr(Q, "INSIDE_ROWS", inside)
+        monkeypatch.setattr(Q, "SKETCH_K", k)
+        monkeypatch.setattr(Q, "REACH", reach)
         found.append(sorted(map(tuple, Q.exact_quantiles(df, ["v"], stats.QUARTILES, ("g",)).collect())))
     assert all(f == found[0] for f in found)
 
 
+def test_quantiles_of_infinite_values_and_no_numbers(spark):
+    values = [float("-inf")] * 2 + [1.0, 2.0, 3.0] + [float("inf")] * 2 + [float("nan")] * 2
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    wanted = {f"p{i}": i / 8 for i in (0, 3, 5, 7)}
+    row = Q.exact_quantiles(df, ["v"], wanted).first()
+    assert [str(row[f"p{i}"]) for i in (0, 3, 5, 7)] == [str(values[i]) for i in (0, 3, 5, 7)]
+    assert Q.exact_quantiles(df.filter("v > 5 and v < 6"), ["v"], wanted).collect() == []
+
+
+def test_selection_shuffles_little_whatever_the_number_of_values(spark, monkeypatch):
+    monkeypatch.setattr(Q, "INSIDE_ROWS", 100)
+    rows = []
+    dealt = Q.store
+
+    def counted(df, name):
+        out = dealt(df, name)
+        rows.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(Q, "store", counted)
+    for n in (2_000, 50_000):
+        rows.clear()
+        df = spark.range(n).selectExpr("double(hash(id)) v").repartition(3)
+        got = Q.exact_quantiles(df, ["v"], stats.QUARTILES)
+        values = sorted(r[0] for r in df.collect())
+        assert tuple(got.first())[1:] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]), rel=1e-12)
+        # One row per column in each pass, whatever the number of values; the columns themselves are written, not dealt.
+        assert {c for name, c in rows if name != "columns"} == {1} and len(rows) <= 8
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange SinglePartition" not in plan
+
+
+def test_whiskers_are_found_where_rows_are_read(spark):
+    df = spark.range(5000).selectExpr("string(id % 2) g", "double(hash(id)) v").repartition(3)
+    found = stats.box_stats(df, ["v"], ("g",))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_density_makes_no_rows_of_grid_points(spark):
+    df = spark.range(500).selectExpr("if(id % 2 = 0, 'Yes', 'No') churn", "double(id * id) v")
+    found = stats.density(df, ["v"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # The only rows made of one are those of the result, above the sum.
+    assert plan.count("Generate") == 1 and plan.index("Generate") < plan.index("Aggregate")
+
+
 def test_ranges_stay_small_and_in_order(spark, many_ranges):
     counts = Q.store(spark.range(2000).selectExpr("'m' metric", "double(id * id) value", "1 n"), "counts")
     ranges = Q.with_ranges(counts).groupBy("part").agg(

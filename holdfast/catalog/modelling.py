@@ -32,7 +32,11 @@ def matrix(src) -> DataFrame:
 
 
 def label_keys(src) -> DataFrame:
-    return src.billing.select("customer_id", F.when(F.col("churn") == "Yes", 1).otherwise(0).alias("label"))
+    """Customers that the view holds, so that shares of a split are shares of its rows, and their label. No wide row is read."""
+    labels = src.billing.select("customer_id", F.when(F.col("churn") == "Yes", 1).otherwise(0).alias("label"))
+    for other in (src.crm, src.services):
+        labels = labels.join(other.select("customer_id"), "customer_id", "left_semi")
+    return labels
 
 
 def split_matrix(src) -> DataFrame:

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from holdfast import schemas as S
 from holdfast.functions import columns as C
 from holdfast.operators.selection import column_guard
+from holdfast.operators.skew import split_heavy_join
+from holdfast.session import store
 
 SEED = 42
 TEST_SHARE = 0.2
+CATEGORIES_PER_RANGE = 200_000
 
 
 def add_derived_features(df: DataFrame) -> DataFrame:
@@ -133,25 +136,64 @@ def train_categories(train: DataFrame, columns: list[str] | None = None, null_na
     return filled.unpivot([], columns, "column_name", "category").distinct()
 
 
+def category_dictionary(train: DataFrame, columns: list[str] | None = None, null_name: str = "None") -> DataFrame:
+    """(column_name, category, idx): the categories of the training rows with dense ids from 0, by column of the list and
+    category. A stored table.
+
+    The pairs are sorted by ranges, and a range is numbered from the size of those before it: no task sees more than a range.
+    """
+    columns = columns or [c for c in S.NOMINAL_COLUMNS if c in train.columns]
+    pairs = store(train_categories(train, columns, null_name), "categories")
+    ranges = -(-pairs.count() // CATEGORIES_PER_RANGE) or 1
+    order = ["_column", "category"]
+    placed = store(
+        pairs.withColumn("_column", F.array_position(F.lit(columns), F.col("column_name")))
+        .repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+        # The upper bits are the number of the range, the lower 33 the place inside it.
+        .withColumn("_at", F.monotonically_increasing_id()), "ordered-categories",
+    ).withColumn("_range", F.shiftright("_at", 33))
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per range.
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.col("_at").bitwiseAND(F.lit(2**33 - 1))
+    return store(placed.join(starts, "_range").select("column_name", "category", (F.col("_start") + inside).alias("idx")), "dictionary")
+
+
+def one_hot_vectors(
+    df: DataFrame, dictionary: DataFrame, columns: list[str] | None = None, null_name: str = "None"
+) -> DataFrame:
+    """(customer_id, indexes): each customer's 0/1 vector as the ids of its ones, in order.
+
+    A category that is not in the dictionary sets nothing. Common categories meet their id by broadcast, all others by a
+    shuffled join, so neither a common category nor a column of very many makes a large task.
+    """
+    columns = columns or [c for c in S.NOMINAL_COLUMNS if c in df.columns]
+    filled = df.select("customer_id", *[F.coalesce(F.col(c), F.lit(null_name)).alias(c) for c in columns])
+    own = filled.unpivot(["customer_id"], columns, "column_name", "category").select(
+        "customer_id", F.struct("column_name", "category").alias("pair"))
+    ids = dictionary.select(F.struct("column_name", "category").alias("pair"), "idx")
+    # At most one id per column of the list.
+    return split_heavy_join(own, ids, "pair", "left").groupBy("customer_id").agg(
+        F.array_sort(F.collect_list("idx")).alias("indexes"))
+
+
 def one_hot(df: DataFrame, train: DataFrame, columns: list[str] | None = None, null_name: str = "None") -> DataFrame:
-    """(customer_id, feature, value): the 0/1 columns in long form, all of them for every customer.
+    """(customer_id, feature, value): `one_hot_vectors` in long form, all 0/1 columns for every customer.
 
     A category not seen in training has zeros everywhere.
     """
     columns = columns or [c for c in S.NOMINAL_COLUMNS if c in df.columns]
-    filled = df.select("customer_id", *[F.coalesce(F.col(c), F.lit(null_name)).alias(c) for c in columns])
-    values = filled.unpivot(["customer_id"], columns, "column_name", "own")
-    # A row per nominal column: the categories of a column are the width of its encoding.
-    domain = train_categories(train, columns, null_name).groupBy("column_name").agg(
-        F.array_sort(F.collect_set("category")).alias("categories")
-    )
-    exploded = values.join(F.broadcast(domain), "column_name").select(
-        "customer_id", "column_name", "own", F.explode("categories").alias("category")
-    )
-    return exploded.select(
+    dictionary = category_dictionary(train, columns, null_name)
+    width = dictionary.count()
+    vectors = one_hot_vectors(df, dictionary, columns, null_name)
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(width - 1).cast("bigint"))
+    places = vectors.select("customer_id", "indexes", F.explode(every).alias("idx")) if width else vectors.select(
+        "customer_id", "indexes", F.lit(0).cast("bigint").alias("idx")).limit(0)
+    return places.join(dictionary, "idx").select(
         "customer_id",
         F.concat_ws("_", "column_name", "category").alias("feature"),
-        F.when(F.col("own") == F.col("category"), 1).otherwise(0).alias("value"),
+        F.array_contains("indexes", F.col("idx")).cast("int").alias("value"),
     )
 
 

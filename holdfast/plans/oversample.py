@@ -35,9 +35,10 @@ def smote(
     Every minority row makes the same number of points, and the first rows in hash order make one more, so that the
     classes come out equal. Neighbour and position are drawn from hashes of (id, number): reruns give the same rows.
     """
-    sizes = {r[label]: r["rows"] for r in class_sizes(train, label).collect()}
+    # Three rows at most: a third class is an error.
+    sizes = {r[label]: r["rows"] for r in class_sizes(train, label).limit(3).collect()}
     if len(sizes) != 2:
-        raise ValueError(f"oversampling needs two classes, found {sorted(sizes)}")
+        raise ValueError(f"oversampling needs two classes, found {'more' if len(sizes) > 2 else len(sizes)}")
     minority = min(sizes, key=lambda c: (sizes[c], c))
     if sizes[minority] < 2:
         raise ValueError("oversampling needs two minority rows at least")

@@ -67,6 +67,50 @@ def test_unseen_category_is_all_zeros_and_null_is_a_category(spark):
     }
 
 
+def test_a_hundred_thousand_categories(spark, monkeypatch):
+    monkeypatch.setattr(features, "CATEGORIES_PER_RANGE", 9_000)
+    rows = spark.range(150_000).select(
+        F.concat(F.lit("c"), "id").alias("customer_id"),
+        F.when(F.col("id") < 100_000, F.concat(F.lit("v"), F.col("id") * 7919 % 100_000)).otherwise("v5").alias("plan"),
+        F.when(F.col("id") % 3 == 0, None).otherwise("x").alias("kind"))
+    dictionary = features.category_dictionary(rows, ["plan", "kind"])
+    told = dictionary.toPandas()
+    assert sorted(told["idx"]) == list(range(100_002))
+    names = told.sort_values("idx")
+    assert list(zip(names["column_name"], names["category"])) == (
+        [("plan", c) for c in sorted(f"v{i}" for i in range(100_000))] + [("kind", "None"), ("kind", "x")])
+    idx = dict(zip(zip(told["column_name"], told["category"]), told["idx"]))
+    vectors = features.one_hot_vectors(rows, dictionary, ["plan", "kind"])
+    plan = vectors._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan
+    got = vectors.toPandas()
+    assert len(got) == 150_000
+    for name, ones in got.sample(500, random_state=1).itertuples(index=False):
+        i = int(name[1:])
+        own = f"v{i * 7919 % 100_000}" if i < 100_000 else "v5"
+        assert list(ones) == [idx["plan", own], idx["kind", "None" if i % 3 == 0 else "x"]]
+
+
+def test_the_split_counts_rows_of_the_view(spark):
+    """Billing rows that the join drops have no part in the shares."""
+    from holdfast.catalog.modelling import label_keys
+
+    class Joined:
+        crm = spark.range(100).select(F.col("id").cast("string").alias("customer_id"))
+        services = crm
+        billing = spark.range(1000).selectExpr("string(id) customer_id", "if(id % 2 = 0, 'Yes', 'No') churn")
+
+    split = features.stratified_split(label_keys(Joined)).groupBy("label", "split").count().collect()
+    assert sorted(map(tuple, split)) == [(0, "test", 10), (0, "train", 40), (1, "test", 10), (1, "train", 40)]
+
+
+def test_oversampling_needs_two_classes(spark):
+    for labels in ([1], [1, 2, 3], range(50)):
+        rows = spark.createDataFrame([(str(i), int(c), [0.0]) for i, c in enumerate(labels)], "customer_id string, label int, features array<double>")
+        with pytest.raises(ValueError):
+            oversample.smote(rows)
+
+
 def test_encoder_and_scaler_agree_with_the_fitted_pipeline(fitted):
     names = fitted.names
     assert names[: len(S.NUMERIC_COLUMNS)] == S.NUMERIC_COLUMNS

@@ -1,7 +1,10 @@
 """Databases, tables, views and parameterised SQL."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdfast import schemas as S
 from holdfast.operators import view360 as V
@@ -21,18 +24,76 @@ def create_tables(spark: SparkSession, root: str, raw: str = "raw", analytics: s
             spark.catalog.createTable(f"{raw}.{name}", source="parquet", schema=schema)
 
 
+def declared(df: DataFrame, table: str) -> DataFrame:
+    """The rows with the columns, order and types that an existing table declares.
+
+    A missing, an additional or a doubled column is an error, and so is a type that does not widen to the declared one.
+    """
+    schema = df.sparkSession.table(table).schema
+    if sorted(df.columns) != sorted(schema.names):
+        raise ValueError(f"{table} has the columns {schema.names}, not {df.columns}")
+    for field in schema:
+        own = df.schema[field.name].dataType
+        if own != field.dataType and not _widens(own, field.dataType):
+            raise ValueError(f"{table}.{field.name} is {field.dataType.simpleString()}, not {own.simpleString()}")
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+
+
+def _widens(own: T.DataType, wanted: T.DataType) -> bool:
+    if isinstance(own, T.DecimalType) and isinstance(wanted, T.DecimalType):
+        return own.scale <= wanted.scale and own.precision - own.scale <= wanted.precision - wanted.scale
+    for widths in ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.FloatType, T.DoubleType), (T.NullType, type(wanted))):
+        if type(own) in widths and type(wanted) in widths:
+            return widths.index(type(own)) <= widths.index(type(wanted))
+    return False
+
+
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"describe table extended {table}").collect()}
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table_write(df: DataFrame, table: str, buckets: int = 0, key: str = "customer_id") -> None:
-    """Replace the contents of a table.
+    """Replace the contents of a table; one that exists keeps its declared schema.
 
-    With ``buckets`` the rows are stored hashed and sorted by the key: tables with the same number of buckets then join
-    without a shuffle.
+    The rows are written to a folder of their own beside the table. Only when all are there the table is switched to that
+    folder and the old one is deleted, so a write that fails leaves the old rows. With ``buckets`` the rows are stored
+    hashed and sorted by the key: tables with the same number of buckets then join without a shuffle.
     """
-    if buckets:
-        # One task per bucket, so one file per bucket.
-        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    spark = df.sparkSession
+    exists = spark.catalog.tableExists(table)
+    if exists:
+        df = declared(df, table)
+    database, name = table.split(".") if "." in table else (spark.catalog.currentDatabase(), table)
+    number = uuid.uuid4().hex
+    folder = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}-{number}"
+    staged = f"{database}.{name}_{number}"
+    layout = f"clustered by ({key}) sorted by ({key}) into {buckets} buckets" if buckets else ""
+    # One task per bucket, so one file per bucket.
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key) if buckets else df.write
+    # A table with a path keeps its files when its entry is dropped.
+    try:
+        writer.format("parquet").option("path", folder).saveAsTable(staged)
+    except Exception:
+        _delete(spark, folder)
+        raise
+    finally:
+        spark.sql(f"drop table if exists {staged}")
+    old = _described(spark, table) if exists else {}
+    if exists and int(old.get("Num Buckets", 0)) == buckets:
+        spark.sql(f"alter table {table} set location '{folder}'")
     else:
-        writer = df.write
-    writer.mode("overwrite").format("parquet").saveAsTable(table)
+        # Another layout is another definition of the table.
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(f"drop table if exists {table}")
+        spark.sql(f"create table {table} ({columns}) using parquet {layout} location '{folder}'")
+    spark.catalog.refreshTable(table)
+    if "Location" in old:
+        _delete(spark, old["Location"])
 
 
 def load_sources(tables: dict[str, DataFrame], raw: str = "raw", buckets: int = 0) -> None:

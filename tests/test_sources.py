@@ -4,6 +4,7 @@ import csv
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from holdfast import schemas as S
 from holdfast.operators import rates, view360
@@ -137,3 +138,31 @@ def test_files_with_another_column_order_or_without_a_column_are_refused(spark,
     (tmp_path / "short.csv").write_text(",".join(names[1:]) + "\n")
     with pytest.raises(ValueError, match="missing"):
         read_wide_csv(spark, str(tmp_path / "short.csv"))
+
+
+def test_a_failed_write_leaves_the_old_rows(spark, src, tmp_path):
+    raw, analytics = "raw_staged", "analytics_staged"
+    warehouse.create_tables(spark, str(tmp_path), raw, analytics)
+    table = f"{raw}.crm"
+    warehouse.table_write(src.crm.limit(5), table)
+    before = sorted(map(str, spark.table(table).collect()))
+    assert len(before) == 5
+    # A failure in the middle: some tasks have written their rows when one fails.
+    broken = src.crm.repartition(8).withColumn("tenure", F.when(
+        F.spark_partition_id() == 7, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("tenure")))
+    with pytest.raises(Exception, match="lost"):
+        warehouse.table_write(broken, table)
+    assert sorted(map(str, spark.table(table).collect())) == before
+    for wrong in (src.crm.withColumn("tenure", F.col("tenure").cast("string")), src.crm.drop("city"),
+                  src.crm.withColumn("more", F.lit(1)), src.crm.withColumn("tenure", F.col("tenure").cast("bigint"))):
+        with pytest.raises(ValueError):
+            warehouse.table_write(wrong, table)
+    assert sorted(map(str, spark.table(table).collect())) == before
+    assert {t.name for t in spark.catalog.listTables(raw)} == set(S.TABLES)
+    # Other order and a narrower type are put right; another layout keeps the declared columns.
+    shuffled = src.crm.select(*reversed(src.crm.columns)).withColumn("tenure", F.col("tenure").cast("smallint"))
+    for buckets in (0, 4, 4, 0):
+        warehouse.table_write(shuffled, table, buckets)
+        assert spark.table(table).schema == spark.createDataFrame([], S.TABLES["crm"]).schema
+        assert sorted(map(str, spark.table(table).collect())) == sorted(map(str, src.crm.select(spark.table(table).columns).collect()))
+    spark.sql(f"drop database {raw} cascade")

@@ -17,7 +17,8 @@ from holdfast.plans import explain, features, metrics, models, oversample
 from holdfast.session import scratch_path
 from holdfast.sources import artifacts
 
-DRAWS = 4
+#: Reference points of sampled attributions.
+BACKGROUND_ROWS = 4
 
 
 def complete_view(src) -> DataFrame:
@@ -120,8 +121,8 @@ class Trained:
             means = explain.feature_means(self.balanced, self.names)
             phi = explain.linear_attribution(self.test, list(self.winner.coefficients), means, self.names)
         else:
-            background = explain.background_rows(self.prepared.filter(F.col("split") == "train"), DRAWS)
-            phi = explain.sampled_shapley(self.winner, self.test, background, self.names, DRAWS)
+            background = explain.background_rows(self.prepared.filter(F.col("split") == "train"), BACKGROUND_ROWS)
+            phi = explain.sampled_shapley(self.winner, self.test, background, self.names)
         path = artifacts.attributions_write(phi, scratch_path(self.src.spark, "attributions"))
         return self.src.spark.read.parquet(path)
 
@@ -130,8 +131,8 @@ class Trained:
         if isinstance(self.winner, LogisticRegressionModel):
             means = explain.feature_means(self.balanced, self.names)
             return float(self.winner.intercept + sum(b * m for b, m in zip(self.winner.coefficients, means)))
-        background = explain.background_rows(self.prepared.filter(F.col("split") == "train"), DRAWS)
-        return explain.base_value(self.winner, self.src.spark, background, DRAWS)
+        background = explain.background_rows(self.prepared.filter(F.col("split") == "train"), BACKGROUND_ROWS)
+        return explain.base_value(self.winner, self.src.spark, background)
 
 
 _TRAINED: dict[tuple[str, str], Trained] = {}

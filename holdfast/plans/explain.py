@@ -5,7 +5,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.plans.features import SEED
-from holdfast.session import wide_parallelism
+from holdfast.session import store, wide_parallelism
+
+#: Share of the mean effect that a customer's standard errors may have, and rounds that a customer gets at most.
+TARGET_ERROR, MOST_ROUNDS = 0.02, 64
 
 
 def feature_means(train: DataFrame, names: list[str]) -> list[float]:
@@ -38,31 +41,21 @@ def background_rows(train: DataFrame, rows: int = 4, seed: int = SEED) -> list[l
     return [list(r["x"]) for r in chosen.select(vector_to_array("features").alias("x")).collect()]
 
 
-def sampled_shapley(
-    model, rows: DataFrame, background: list[list[float]], names: list[str], permutations: int = 4, seed: int = SEED
+def pair_effects(
+    model, customers: DataFrame, background: list[list[float]], width: int, first: int, pairs: int, seed: int = SEED
 ) -> DataFrame:
-    """(customer_id, feature, phi, error) in log-odds, for every row given.
-
-    For each customer and permutation the features are switched one after the other from a background row to the
-    customer's own values; each change of the margin belongs to the feature switched. All hybrid points are scored by
-    one ``transform``, and differences between consecutive steps telescope, so that the attributions of a customer sum
-    to its margin minus the mean margin of the background rows used. Partial sums stay with the customer.
+    """(customer_id, idx, base, phi): the effect of each feature in each of the given pairs of permutations.
 
-    Permutations come in pairs, one and its reverse, whose errors partly cancel. ``error`` is the standard error of phi
-    from the spread of the pairs; null for a single pair.
+    A pair is a permutation and its reverse, whose errors partly cancel, against one background row, ``base``; the rows take
+    turns. The features are switched one after the other from the background row to the customer's own values; each change
+    of the margin belongs to the feature switched. All hybrid points are scored by one ``transform``, and differences between
+    consecutive steps telescope, so that the effects of a pair sum to the customer's margin minus the background row's.
     """
-    if permutations % 2:
-        raise ValueError("permutations come in pairs")
-    width = len(names)
-    # Each row grows by permutations times features, so the rows are spread over all cores first, whatever the size of
-    # the files they come from. The final sum groups by customer and reuses this partitioning.
-    spread = wide_parallelism(rows.sparkSession)
-    customers = rows.select("customer_id", vector_to_array("features").alias("x")).repartition(spread, "customer_id")
     drawn = customers.select(
-        "customer_id", "x", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("draw")
-    ).withColumn("base", F.get(F.lit(background), F.col("draw") % len(background)))
-    # Rank of each feature in this draw: by hash of (customer, pair, feature), every second time backwards.
+        "customer_id", "x", F.explode(F.sequence(F.lit(2 * first), F.lit(2 * (first + pairs) - 1))).alias("draw"))
     pair = F.floor(F.col("draw") / 2)
+    drawn = drawn.withColumn("at", (pair % len(background)).cast("int")).withColumn("base", F.get(F.lit(background), F.col("at")))
+    # Rank of each feature in this draw: by hash of (customer, pair, feature), every second time backwards.
     ticket = F.transform(
         F.sequence(F.lit(0), F.lit(width - 1)),
         lambda i: F.struct(F.xxhash64("customer_id", pair, i, F.lit(seed)).alias("h"), i.alias("i")),
@@ -77,19 +70,62 @@ def sampled_shapley(
         lambda z: F.when(z["rank"] <= F.col("step"), z["x"]).otherwise(z["base"]),
     )
     hybrids = steps.select(
-        "customer_id", "draw", "step", array_to_vector(mixed).alias("features"),
+        "customer_id", "draw", "at", array_to_vector(mixed).alias("features"),
         F.get("order", F.col("step") - 1).alias("entered"), F.get("order", F.col("step")).alias("entering"),
     )
     scored = model.transform(hybrids).withColumn("margin", margin(model))
     # Step s adds its margin to the feature that entered at s and takes it from the feature that enters at s + 1.
-    signed = scored.select("customer_id", pair.alias("pair"), F.explode(F.array(
+    signed = scored.select("customer_id", "at", pair.alias("pair"), F.explode(F.array(
         F.struct(F.col("entered").alias("idx"), F.col("margin").alias("part")),
         F.struct(F.col("entering").alias("idx"), (-F.col("margin")).alias("part")),
-    )).alias("s")).select("customer_id", "pair", "s.idx", "s.part").filter(F.col("idx").isNotNull())
+    )).alias("s")).select("customer_id", "at", "pair", "s.idx", "s.part").filter(F.col("idx").isNotNull())
+    return signed.groupBy("customer_id", "idx", "at", "pair").agg((F.sum("part") / 2).alias("phi")).select(
+        "customer_id", "idx", F.col("at").alias("base"), "phi")
+
+
+def sampled_shapley(
+    model, rows: DataFrame, background: list[list[float]], names: list[str], target: float = TARGET_ERROR,
+    most_rounds: int = MOST_ROUNDS, seed: int = SEED,
+) -> DataFrame:
+    """(customer_id, feature, phi, error) in log-odds, for every row given, by sequential sampling.
+
+    A round is one pair of permutations against each background row, so the attributions of a customer always sum to its
+    margin minus the mean margin of the background rows. ``error`` is the standard error of phi: the pairs of one background
+    row differ by chance only, and their spread is taken for each background row alone. After two rounds, a customer is
+    finished once the root mean square of its errors is at most ``target`` times the mean effect, the mean over customers of
+    the sum of absolute attributions; the others get as many rounds again as they had, up to ``most_rounds`` in all. What is above
+    the target then shows in ``error``.
+    """
+    width, spread = len(names), wide_parallelism(rows.sparkSession)
+    # Each row grows by permutations times features, so the rows are spread over all cores first, whatever the size of
+    # the files they come from. The sums group by customer and reuse this partitioning.
+    waiting = rows.select("customer_id", vector_to_array("features").alias("x"))
+    keys, done, rounds, wanted = ["customer_id", "idx", "base"], None, 0, 2
+    while True:
+        fresh = pair_effects(
+            model, waiting.repartition(spread, "customer_id"), background, width, rounds * len(background),
+            (wanted - rounds) * len(background), seed,
+        ).select(*keys, F.lit(1).cast("bigint").alias("n"), F.col("phi").alias("s"), (F.col("phi") ** 2).alias("ss"))
+        added = fresh if done is None else done.unionByName(fresh)
+        done = store(added.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss")]), "pair-sums")
+        rounds = wanted
+        variance = F.greatest(F.col("ss") - F.col("s") ** 2 / F.col("n"), F.lit(0.0)) / F.greatest(F.col("n") - 1, F.lit(1))
+        summed = done.groupBy("customer_id", "idx").agg(
+            F.avg(F.col("s") / F.col("n")).alias("phi"),
+            (F.sqrt(F.sum(variance / F.col("n"))) / len(background)).alias("error"),
+        )
+        if rounds >= most_rounds:
+            break
+        each = summed.groupBy("customer_id").agg(F.sqrt(F.avg(F.col("error") ** 2)).alias("error"), F.sum(F.abs("phi")).alias("effect"))
+        each = store(each, "errors")
+        scale = each.agg(F.avg("effect")).first()[0] or 0.0
+        # A sum of squares that only rounding tells from a square is no error.
+        late = each.filter(F.col("error") > target * scale + 1e-7).select("customer_id")
+        if late.isEmpty():
+            break
+        waiting = waiting.join(late, "customer_id", "left_semi")
+        wanted = min(2 * rounds, most_rounds)
     labels = F.array(*[F.lit(n) for n in names])
-    pairs = signed.groupBy("customer_id", "idx", "pair").agg((F.sum("part") / 2).alias("phi"))
-    summed = pairs.groupBy("customer_id", "idx").agg(
-        F.avg("phi").alias("phi"), (F.try_divide(F.stddev_samp("phi"), F.sqrt(F.count("phi")))).alias("error"))
     return summed.select("customer_id", F.get(labels, F.col("idx")).alias("feature"), "phi", "error")
 
 
@@ -99,10 +135,9 @@ def margin(model) -> Column:
     return factor * F.get(vector_to_array("rawPrediction"), F.lit(1))
 
 
-def base_value(model, spark, background: list[list[float]], permutations: int) -> float:
-    """Mean margin of the background rows as the draws use them."""
-    used = [(background[d % len(background)],) for d in range(permutations)]
-    points = spark.createDataFrame(used, "x array<double>").select(array_to_vector("x").alias("features"))
+def base_value(model, spark, background: list[list[float]]) -> float:
+    """Mean margin of the background rows."""
+    points = spark.createDataFrame([(b,) for b in background], "x array<double>").select(array_to_vector("x").alias("features"))
     return model.transform(points).agg(F.avg(margin(model))).first()[0]
 
 

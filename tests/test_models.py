@@ -126,12 +126,28 @@ def test_sampled_attributions_add_up(fitted):
 
 def test_sampled_attributions_of_a_linear_model_are_exact(fitted):
     background = explain.background_rows(fitted.prepared.filter("split = 'train'"), 2)
-    phi = explain.sampled_shapley(fitted.logistic, fitted.test, background, fitted.names, permutations=2)
+    phi = explain.sampled_shapley(fitted.logistic, fitted.test, background, fitted.names)
     exact = explain.linear_attribution(
         fitted.test, list(fitted.logistic.coefficients), list(np.mean(background, axis=0)), fitted.names)
     both = phi.join(exact.withColumnRenamed("phi", "want"), ["customer_id", "feature"])
     assert both.count() == phi.count()
     assert both.agg(F.max(F.abs(F.col("phi") - F.col("want")))).first()[0] < 1e-8
+    assert both.agg(F.max("error")).first()[0] < 1e-6
+
+
+def test_sampled_attributions_reach_their_target(fitted):
+    """Of a few trees: the stated errors are within the target, and the values agree with four times as many rounds."""
+    model = models.fit_boosted(fitted.balanced, trees=5)
+    background = explain.background_rows(fitted.prepared.filter("split = 'train'"), 2)
+    rows = fitted.test.limit(8)
+    found = explain.sampled_shapley(model, rows, background, fitted.names, target=0.02)
+    effect = found.groupBy("customer_id").agg(F.sum(F.abs("phi")).alias("s")).agg(F.avg("s")).first()[0]
+    errors = found.groupBy("customer_id").agg(F.sqrt(F.avg(F.col("error") ** 2)).alias("e"))
+    assert errors.agg(F.max("e")).first()[0] <= 0.02 * effect + 1e-6
+    more = explain.sampled_shapley(model, rows, background, fitted.names, target=0.0, most_rounds=64, seed=7)
+    both = found.join(more.withColumnRenamed("phi", "want").drop("error"), ["customer_id", "feature"])
+    assert both.count() == 8 * len(fitted.names)
+    assert both.agg(F.sqrt(F.avg((F.col("phi") - F.col("want")) ** 2))).first()[0] <= 0.03 * effect
 
 
 def test_riskiest_customer_is_explained(fitted):

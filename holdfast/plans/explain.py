@@ -99,7 +99,7 @@ def sampled_shapley(
     width, spread = len(names), wide_parallelism(rows.sparkSession)
     # Each row grows by permutations times features, so the rows are spread over all cores first, whatever the size of
     # the files they come from. The sums group by customer and reuse this partitioning.
-    waiting = rows.select("customer_id", vector_to_array("features").alias("x"))
+    waiting = everyone = rows.select("customer_id", vector_to_array("features").alias("x"))
     keys, done, rounds, wanted = ["customer_id", "idx", "base"], None, 0, 2
     while True:
         fresh = pair_effects(
@@ -123,7 +123,7 @@ def sampled_shapley(
         late = each.filter(F.col("error") > target * scale + 1e-7).select("customer_id")
         if late.isEmpty():
             break
-        waiting = waiting.join(late, "customer_id", "left_semi")
+        waiting = everyone.join(late, "customer_id", "left_semi")
         wanted = min(2 * rounds, most_rounds)
     labels = F.array(*[F.lit(n) for n in names])
     return summed.select("customer_id", F.get(labels, F.col("idx")).alias("feature"), "phi", "error")

@@ -100,3 +100,44 @@ def test_events_without_an_id_are_all_kept(spark, tmp_path):
     rows.select(*[rows[f.name].cast(f.dataType) for f in S.CDR]).write.parquet(feed)
     assert events.stream_ingest(spark, feed, str(tmp_path / "out"), str(tmp_path / "state")) == 0
     assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+
+
+def test_late_events_read_only_the_days_they_touch(spark, feed, tmp_path):
+    path = feed("new", [5, 20])
+    assert run(spark, path, tmp_path, "1 hour") == 0
+    # Files of day 20 (21 January) can't be read any more: a late run for day 5 must not open them.
+    broken = list((tmp_path / "out" / "event_day=2024-01-21").glob("*.parquet"))
+    assert broken
+    for file in broken:
+        file.write_bytes(b"x" * file.stat().st_size)
+    assert run(spark, feed("old", [5, 3]), tmp_path, "1 hour") == 20
+    assert run(spark, feed("again", [3]), tmp_path, "1 hour") == 10
+    late = spark.read.parquet(str(tmp_path / "out-late"))
+    assert sorted(r["event_id"] for r in late.collect()) == list(range(30, 40))
+
+
+def test_a_run_that_failed_before_its_late_events_is_made_good(spark, feed, tmp_path, monkeypatch):
+    path = feed("new", [20])
+    run(spark, path, tmp_path, "1 hour")
+    feed("old", [1])
+    with monkeypatch.context() as patch:
+        patch.setattr(events, "add_late", lambda *a: 1 / 0)
+        with pytest.raises(Exception):
+            run(spark, path, tmp_path, "1 hour")
+    assert events.ingested(spark, str(tmp_path / "out")).count() == 10
+    run(spark, path, tmp_path, "1 hour")
+    stored = events.ingested(spark, str(tmp_path / "out"))
+    assert stored.count() == stored.select("event_id").distinct().count() == 20
+
+
+def test_reading_totals_costs_the_same_after_many_batches(spark, tmp_path):
+    target, folders = str(tmp_path / "totals"), []
+    for number in range(200):
+        batch = spark.range(number % 7, 12, 3, 1).selectExpr("concat('c', id) customer_id", f"{number} total_calls")
+        # A repeated batch changes nothing, be it one that folds (95) or not.
+        for _ in range(2 if number in (90, 95) else 1):
+            events.keep_totals(batch, target, number)
+        folders.append(len(events.total_folders(spark, target)[1]))
+    assert max(folders) < events.FOLD_BATCHES and len(list((tmp_path / "totals").iterdir())) <= 3 * events.FOLD_BATCHES
+    want = {f"c{i}": n for n in range(200) for i in range(n % 7, 12, 3)}
+    assert {r[0]: r[1] for r in events.latest_totals(spark, target).collect()} == want

@@ -33,6 +33,12 @@ BLOCK_BYTES = 16 << 20
 #: Bytes of n-grams that one task counts.
 PART_BYTES = 16 << 20
 
+#: Tokens of whole texts for which one table of arcs is made.
+WALK_TOKENS = 200_000
+
+#: States without a history, and with only the begin mark as history. Others have the numbers after these.
+ROOT, BEGUN = 0, 1
+
 #: No words: words hold no white space.
 END, BEGIN = b"\n", b" "
 
@@ -177,19 +183,78 @@ def add_counts(runs: pa.Table) -> pa.Table:
     })
 
 
-def traverse(block: Block, found: dict[int, np.ndarray], total: int, vocabulary: int, mass: float) -> dict[str, np.ndarray]:
-    """Base and model score of each token. found: by n-gram length, the training count of each token's n-gram."""
-    base = np.log10((found[1] + 0.5) / (total + 0.5 * (vocabulary + 1)))
-    weight, begins = base, found[0][0]
-    for size in range(2, max(found) + 1):
-        history = np.roll(found[size - 1], 1)
-        if size == 2:
-            history[block.first] = begins
-        state = block.valid[size - 1] & (history > 0)
-        arc = np.log10((found[size] + mass * 10.0 ** weight) / (history + mass))
-        fail = np.log10(mass / (history + mass)) + weight
-        weight = np.where(state, np.where(found[size] > 0, arc, fail), weight)
-    return {"base": base, "model": weight}
+class Automaton:
+    """The piece of the automaton that a block's texts can reach.
+
+    Words and n-grams are numbered by their places among the block's distinct ones. found and places: by n-gram length, the
+    training count and the place of each token's n-gram; begins: the number of training texts. The arrays hold, at each
+    token, the arc of each length that reads it and the state that each length leads to; `piece` makes tables of them.
+    """
+
+    def __init__(self, block: Block, found: dict, places: dict, begins: int, total: int, vocabulary: int, mass: float):
+        self.order, self.vocabulary = max(found), int(places[1].max()) + 1
+        self.words = places[1].astype(np.int64)
+        self.start, self.begin_fail = ROOT, (0.0, ROOT)
+        if self.order > 1 and begins > 0:
+            self.start, self.begin_fail = BEGUN, (float(np.log10(mass / (begins + mass))), ROOT)
+        # The longest state that the tokens up to here end with, of at most 0, 1, .. order - 1 tokens.
+        longest, self.fails, reached, numbered = [np.full(len(self.words), ROOT, dtype=np.int64)], [], [], BEGUN + 1
+        for size in range(1, self.order):
+            known = block.valid[size - 1] & (found[size] > 0)
+            state = np.where(known, numbered + places[size], ROOT)
+            numbered += int(places[size].max()) + 1
+            self.fails.append((known, state, np.log10(mass / (found[size] + mass)), longest[-1]))
+            reached.append(state)
+            longest.append(np.where(known, state, longest[-1]))
+        self.base = weight = np.log10((found[1] + 0.5) / (total + 0.5 * (vocabulary + 1)))
+        everywhere = np.ones(len(self.words), dtype=bool)
+        self.arcs = [(everywhere, longest[0], weight, longest[min(1, self.order - 1)])]
+        for size in range(2, self.order + 1):
+            history, count = np.roll(reached[size - 2], 1), np.roll(found[size - 1], 1)
+            if size == 2:
+                history[block.first], count[block.first] = self.start, begins
+            present = block.valid[size - 1] & (history != ROOT) & (found[size] > 0)
+            # An n-gram of the training texts ends with a shorter one of them, so `weight` is that of the shorter arc.
+            weight = np.where(present, np.log10((found[size] + mass * 10.0 ** weight) / (count + mass)), weight)
+            self.arcs.append((present, history, weight, longest[min(size, self.order - 1)]))
+
+    def piece(self, start: int, stop: int) -> tuple[dict, dict]:
+        """Tables for the tokens from start to stop: (state, word) to weight and next state; state to weight and shorter state."""
+        arcs, fails, own = {}, {BEGUN: self.begin_fail}, slice(start, stop)
+        for present, state, weight, following in self.arcs:
+            at = np.flatnonzero(present[own]) + start
+            keys, first = np.unique(state[at] * self.vocabulary + self.words[at], return_index=True)
+            arcs.update(zip(keys.tolist(), zip(weight[at[first]].tolist(), following[at[first]].tolist())))
+        for known, state, weight, shorter in self.fails:
+            at = np.flatnonzero(known[own]) + start
+            keys, first = np.unique(state[at], return_index=True)
+            fails.update(zip(keys.tolist(), zip(weight[at[first]].tolist(), shorter[at[first]].tolist())))
+        return arcs, fails
+
+    def scores(self, lengths: np.ndarray) -> np.ndarray:
+        """Log10 probability of each text: one traversal from left to right that carries the state."""
+        ends = np.cumsum(lengths)
+        out, done = np.zeros(len(lengths)), 0
+        while done < len(lengths):
+            start = int(ends[done] - lengths[done])
+            until = max(done + 1, int(np.searchsorted(ends, start + WALK_TOKENS, side="right")))
+            arcs, fails = self.piece(start, int(ends[until - 1]))
+            for text in range(done, until):
+                out[text] = self.walk(arcs, fails, self.words[ends[text] - lengths[text]:ends[text]].tolist())
+            done = until
+        return out
+
+    def walk(self, arcs: dict, fails: dict, words: list[int]) -> float:
+        state, score, vocabulary = self.start, 0.0, self.vocabulary
+        for word in words:
+            arc = arcs.get(state * vocabulary + word)
+            while arc is None:
+                weight, state = fails[state]
+                score += weight
+                arc = arcs.get(state * vocabulary + word)
+            weight, state = arc
+            score += weight
+        return score
 
 
 def language_model_scores(
@@ -219,23 +284,23 @@ def language_model_scores(
         row = left.to_pylist()[0]
         block = Block(row, order)
         runs = sorted(right.select(["size", "part", "totals"]).to_pylist(), key=lambda r: (r["size"], r["part"]))
-        found = {}
+        found, place = {}, {}
         for size in range(1, order + 1):
             grams, _, places = block.distinct(size)
             totals = np.frombuffer(b"".join(r["totals"] for r in runs if r["size"] == size), dtype=np.int64)
-            found[size] = totals[places]
+            found[size], place[size] = totals[places], places
             if size == 1:
                 # As many texts begin as end.
-                found[0] = totals[np.searchsorted(grams, hashes([END]))]
-        weights = traverse(block, found, total, vocabulary, mass)
+                begins = int(totals[np.searchsorted(grams, hashes([END]))[0]])
+        automaton = Automaton(block, found, place, begins, total, vocabulary, mass)
         starts = np.cumsum(block.lengths) - block.lengths
         return pa.table({
             "doc_id": left["keys"].combine_chunks().flatten(), "held_out": left["held"].combine_chunks().flatten(),
             "n_tokens": pa.array(block.lengths),
             "n_known": pa.array(np.add.reduceat((found[1] > 0).astype(np.int64), starts)),
             "train_tokens": pa.array(np.full(len(starts), total, np.int64)),
-            "base_score": pa.array(np.add.reduceat(weights["base"], starts)),
-            "score": pa.array(np.add.reduceat(weights["model"], starts)),
+            "base_score": pa.array(np.add.reduceat(automaton.base, starts)),
+            "score": pa.array(automaton.scores(block.lengths)),
         })
 
     schema = (f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "

@@ -1,6 +1,8 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, and columns with clashing names."""
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -301,6 +303,35 @@ def test_language_model_in_small_blocks(spark):
     assert known[1]["score"] > known[1]["base_score"]
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_language_model_walk_is_the_closed_formula(spark, order):
+    rng = random.Random(order)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.randrange(0, 40))) for _ in range(60)] + ["a b unseen a b", "unseen", "", "a a a a a a"]
+    held = [i % 4 == 1 or i >= 60 for i in range(len(texts))]
+    grams, histories = Counter(), Counter()
+    for text, out in zip(texts, held):
+        own = ["<", *text.split(), ">"]
+        for i in range(1, 0 if out else len(own)):
+            for size in range(1, min(order, i + 1) + 1):
+                gram = tuple(own[i - size + 1:i + 1])
+                grams[gram] += 1
+                histories[gram[:-1]] += 1
+    total, kinds = histories[()], sum(len(g) == 1 for g in grams)
+
+    def p(history, token):
+        if not history:
+            return (grams[(token,)] + 0.5) / (total + 0.5 * (kinds + 1))
+        lower = p(history[1:], token)
+        return (grams[(*history, token)] + 3 * lower) / (histories[history] + 3) if histories[history] else lower
+
+    data = spark.createDataFrame(list(zip(range(len(texts)), texts, held)), "doc_id long, text string, held_out boolean")
+    got = {r["doc_id"]: r for r in language_model_scores(data.repartition(3), order=order, mass=3.0, block_bytes=300).collect()}
+    for i, text in enumerate(texts):
+        own = ["<", *text.split(), ">"]
+        want = sum(math.log10(p(tuple(own[max(0, j - order + 1):j]), own[j])) for j in range(1, len(own)))
+        assert got[i]["score"] == pytest.approx(want), text
+
+
 def test_classifier_without_both_classes_accepts_all(spark, odd):
     labels = spark.createDataFrame([(1, 1)], LABELS)
     assert all(r["accepted"] for r in cotraining.quality_classifier(odd, labels).collect())

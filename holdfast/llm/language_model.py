@@ -14,7 +14,9 @@ evenly, so frequent words make no part larger; the number of parts follows the n
 have the same hash with a probability of about n * n / 2**65.
 """
 
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,8 @@ BLOCK_BYTES = 16 << 20
 #: Bytes of n-grams that one task counts.
 PART_BYTES = 16 << 20
 
-#: Tokens of whole texts for which one table of arcs is made.
-WALK_TOKENS = 200_000
+#: Tokens of whole texts for which one table of arcs is made (a longer text has a table of its own).
+WALK_TOKENS = 50_000
 
 #: States without a history, and with only the begin mark as history. Others have the numbers after these.
 ROOT, BEGUN = 0, 1
@@ -186,76 +188,95 @@ def add_counts(runs: pa.Table) -> pa.Table:
 class Automaton:
     """The piece of the automaton that a block's texts can reach.
 
-    Words and n-grams are numbered by their places among the block's distinct ones. found and places: by n-gram length, the
-    training count and the place of each token's n-gram; begins: the number of training texts. The arrays hold, at each
-    token, the arc of each length that reads it and the state that each length leads to; `piece` makes tables of them.
+    Words and n-grams are numbered by their places among the block's distinct ones, which numbers the states too. found and
+    places: by n-gram length, the training count and the place of each of the block's n-grams; base: the root's weight of
+    each token; begins: the number of training texts. Failure arcs (`fails`, `shorter`) are arrays by state, the root's arcs
+    (`root`, `read`) by word; `arcs` makes tables of the other ones for a run of texts, so that these stay small.
     """
 
-    def __init__(self, block: Block, found: dict, places: dict, begins: int, total: int, vocabulary: int, mass: float):
-        self.order, self.vocabulary = max(found), int(places[1].max()) + 1
-        self.words = places[1].astype(np.int64)
-        self.start, self.begin_fail = ROOT, (0.0, ROOT)
-        if self.order > 1 and begins > 0:
-            self.start, self.begin_fail = BEGUN, (float(np.log10(mass / (begins + mass))), ROOT)
+    def __init__(self, block: Block, found: dict, places: dict, base: np.ndarray, begins: int, mass: float):
+        self.block, self.found, self.places, self.base, self.begins, self.mass = block, found, places, base, begins, mass
+        self.order, self.words, self.vocabulary = max(found), places[1], int(places[1].max()) + 1
+        self.start = BEGUN if self.order > 1 and begins > 0 else ROOT
+        sizes = range(1, self.order)
+        self.first_state = dict(zip(sizes, accumulate((int(places[n].max()) + 1 for n in sizes), initial=BEGUN + 1)))
+        states = 1 + max((self.first_state[n] + int(places[n].max()) for n in sizes), default=BEGUN)
+        root, read = np.zeros(self.vocabulary), np.full(self.vocabulary, ROOT)
+        fails, shorter = np.zeros(states), np.full(states, ROOT)
+        fails[BEGUN] = np.log10(mass / (begins + mass))
+        root[self.words] = base
+        for size in sizes:
+            at = np.flatnonzero(self.known(size, slice(None)))
+            own = self.first_state[size] + places[size][at]
+            fails[own] = np.log10(mass / (found[size][at] + mass))
+            if size == 1:
+                read[self.words[at]] = own
+            else:
+                # An n-gram of the training texts ends with a shorter one of them, which has a state.
+                shorter[own] = self.first_state[size - 1] + places[size - 1][at]
+        self.root, self.read = array("d", root.tobytes()), array("q", read.tobytes())
+        self.fails, self.shorter = array("d", fails.tobytes()), array("q", shorter.tobytes())
+
+    def known(self, size: int, run: slice) -> np.ndarray:
+        return self.block.valid[size - 1][run] & (self.found[size][run] > 0)
+
+    def arcs(self, start: int, stop: int) -> tuple[dict, array, array]:
+        """Arcs of all states but the root for the tokens of whole texts: by state * vocabulary + word a number, by number
+        the weight and the next state."""
+        run, n = slice(start, stop), stop - start
+        first, words = self.block.first[run], self.words[run]
+        table, weights, states = {}, [], []
         # The longest state that the tokens up to here end with, of at most 0, 1, .. order - 1 tokens.
-        longest, self.fails, reached, numbered = [np.full(len(self.words), ROOT, dtype=np.int64)], [], [], BEGUN + 1
+        longest, reached = [np.full(n, ROOT)], []
         for size in range(1, self.order):
-            known = block.valid[size - 1] & (found[size] > 0)
-            state = np.where(known, numbered + places[size], ROOT)
-            numbered += int(places[size].max()) + 1
-            self.fails.append((known, state, np.log10(mass / (found[size] + mass)), longest[-1]))
-            reached.append(state)
-            longest.append(np.where(known, state, longest[-1]))
-        self.base = weight = np.log10((found[1] + 0.5) / (total + 0.5 * (vocabulary + 1)))
-        everywhere = np.ones(len(self.words), dtype=bool)
-        self.arcs = [(everywhere, longest[0], weight, longest[min(1, self.order - 1)])]
+            known = self.known(size, run)
+            reached.append(np.where(known, self.first_state[size] + self.places[size][run], ROOT))
+            longest.append(np.where(known, reached[-1], longest[-1]))
+        weight = self.base[run]
         for size in range(2, self.order + 1):
-            history, count = np.roll(reached[size - 2], 1), np.roll(found[size - 1], 1)
+            history, count = np.roll(reached[size - 2], 1), np.roll(self.found[size - 1][run], 1)
             if size == 2:
-                history[block.first], count[block.first] = self.start, begins
-            present = block.valid[size - 1] & (history != ROOT) & (found[size] > 0)
-            # An n-gram of the training texts ends with a shorter one of them, so `weight` is that of the shorter arc.
-            weight = np.where(present, np.log10((found[size] + mass * 10.0 ** weight) / (count + mass)), weight)
-            self.arcs.append((present, history, weight, longest[min(size, self.order - 1)]))
-
-    def piece(self, start: int, stop: int) -> tuple[dict, dict]:
-        """Tables for the tokens from start to stop: (state, word) to weight and next state; state to weight and shorter state."""
-        arcs, fails, own = {}, {BEGUN: self.begin_fail}, slice(start, stop)
-        for present, state, weight, following in self.arcs:
-            at = np.flatnonzero(present[own]) + start
-            keys, first = np.unique(state[at] * self.vocabulary + self.words[at], return_index=True)
-            arcs.update(zip(keys.tolist(), zip(weight[at[first]].tolist(), following[at[first]].tolist())))
-        for known, state, weight, shorter in self.fails:
-            at = np.flatnonzero(known[own]) + start
-            keys, first = np.unique(state[at], return_index=True)
-            fails.update(zip(keys.tolist(), zip(weight[at[first]].tolist(), shorter[at[first]].tolist())))
-        return arcs, fails
-
-    def scores(self, lengths: np.ndarray) -> np.ndarray:
-        """Log10 probability of each text: one traversal from left to right that carries the state."""
-        ends = np.cumsum(lengths)
-        out, done = np.zeros(len(lengths)), 0
-        while done < len(lengths):
-            start = int(ends[done] - lengths[done])
-            until = max(done + 1, int(np.searchsorted(ends, start + WALK_TOKENS, side="right")))
-            arcs, fails = self.piece(start, int(ends[until - 1]))
+                history[first], count[first] = self.start, self.begins
+            present = self.known(size, run) & (history != ROOT)
+            # `weight` is that of the arc which reads the token after the shorter history.
+            joint = np.log10((self.found[size][run] + self.mass * 10.0 ** weight) / (count + self.mass))
+            weight = np.where(present, joint, weight)
+            at = np.flatnonzero(present)
+            table.update(zip((history[at] * self.vocabulary + words[at]).tolist(), (at + n * (size - 2)).tolist()))
+            weights.append(weight)
+            states.append(longest[min(size, self.order - 1)])
+        return table, array("d", b"".join(w.tobytes() for w in weights)), array("q", b"".join(s.tobytes() for s in states))
+
+    def score(self, arcs: tuple[dict, array, array], start: int, stop: int) -> float:
+        """Log10 probability of the text of these tokens: one traversal from left to right that carries the state."""
+        (table, weights, states), vocabulary = arcs, self.vocabulary
+        root, read, fails, shorter = self.root, self.read, self.fails, self.shorter
+        state, score = self.start, 0.0
+        for word in self.words[start:stop].tolist():
+            while state:
+                arc = table.get(state * vocabulary + word)
+                if arc is not None:
+                    score += weights[arc]
+                    state = states[arc]
+                    break
+                score += fails[state]
+                state = shorter[state]
+            else:
+                score += root[word]
+                state = read[word]
+        return score
+
+    def scores(self) -> np.ndarray:
+        ends = np.cumsum(self.block.lengths)
+        starts, out, done = ends - self.block.lengths, np.zeros(len(ends)), 0
+        while done < len(ends):
+            until = max(done + 1, int(np.searchsorted(ends, starts[done] + WALK_TOKENS, side="right")))
+            arcs = self.arcs(int(starts[done]), int(ends[until - 1]))
             for text in range(done, until):
-                out[text] = self.walk(arcs, fails, self.words[ends[text] - lengths[text]:ends[text]].tolist())
+                out[text] = self.score(arcs, int(starts[text]), int(ends[text]))
             done = until
         return out
 
-    def walk(self, arcs: dict, fails: dict, words: list[int]) -> float:
-        state, score, vocabulary = self.start, 0.0, self.vocabulary
-        for word in words:
-            arc = arcs.get(state * vocabulary + word)
-            while arc is None:
-                weight, state = fails[state]
-                score += weight
-                arc = arcs.get(state * vocabulary + word)
-            weight, state = arc
-            score += weight
-        return score
-
 
 def language_model_scores(
     docs: DataFrame, order: int = ORDER, mass: float = PRIOR_MASS, block_bytes: int = BLOCK_BYTES,
@@ -292,15 +313,15 @@ def language_model_scores(
             if size == 1:
                 # As many texts begin as end.
                 begins = int(totals[np.searchsorted(grams, hashes([END]))[0]])
-        automaton = Automaton(block, found, place, begins, total, vocabulary, mass)
+        base = np.log10((found[1] + 0.5) / (total + 0.5 * (vocabulary + 1)))
         starts = np.cumsum(block.lengths) - block.lengths
         return pa.table({
             "doc_id": left["keys"].combine_chunks().flatten(), "held_out": left["held"].combine_chunks().flatten(),
             "n_tokens": pa.array(block.lengths),
             "n_known": pa.array(np.add.reduceat((found[1] > 0).astype(np.int64), starts)),
             "train_tokens": pa.array(np.full(len(starts), total, np.int64)),
-            "base_score": pa.array(np.add.reduceat(automaton.base, starts)),
-            "score": pa.array(automaton.scores(block.lengths)),
+            "base_score": pa.array(np.add.reduceat(base, starts)),
+            "score": pa.array(Automaton(block, found, place, base, begins, mass).scores()),
         })
 
     schema = (f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "

@@ -81,13 +81,17 @@ class Trained:
         oversample.smote(self.prepared.filter(F.col("split") == "train")).write.parquet(path)
         return self.src.spark.read.parquet(path)
 
+    @cached_property
+    def partitions(self) -> int:
+        return models.training_partitions(self.balanced.count())
+
     @cached_property
     def logistic(self):
-        return models.fit_logistic(self.balanced)
+        return models.fit_logistic(self.balanced, partitions=self.partitions)
 
     @cached_property
     def boosted(self):
-        return models.fit_boosted(self.balanced)
+        return models.fit_boosted(self.balanced, partitions=self.partitions)
 
     @cached_property
     def test(self) -> DataFrame:
@@ -103,7 +107,7 @@ class Trained:
             scored = models.score_customers(model, self.test)
             auc = metrics.roc_auc(scored, "label", "churn_probability").first()[0]
             saved = models.save_model(model, scratch_path(self.src.spark, name))
-            models.log_run(self.src.spark, path, name, params, auc, saved)
+            models.log_run(self.src.spark, path, name, {**params, "partitions": self.partitions}, auc, saved)
         return models.read_runs(self.src.spark, path)
 
     @cached_property

@@ -19,18 +19,26 @@ LOGISTIC = {"maxIter": 1000, "C": 1.0}
 BOOSTED = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
 
 
-#: Partitions of the training rows, for the caller to set by the size of the data. The rows that a tree draws depend on
-#: it, so it is a setting like the seed and never derived from the input.
-TRAIN_PARTITIONS = 8
+#: Most training rows of one partition.
+ROWS_PER_PARTITION = 16_384
 
 
-def laid_out(train: DataFrame, partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+def training_partitions(rows: int, most: int = ROWS_PER_PARTITION) -> int:
+    """Partitions of so many training rows: a power of two, so that a table that grows a little keeps its layout.
+
+    The rows that a tree draws depend on it as on the seed, so it is logged with the run; given that number, a later fit of
+    the same rows gives the same model.
+    """
+    return 1 << (max(1, -(-rows // most)) - 1).bit_length()
+
+
+def laid_out(train: DataFrame, partitions: int | None = None) -> DataFrame:
     """The same rows in the same places and order, however the input is split."""
-    return train.repartition(partitions, "customer_id").sortWithinPartitions("customer_id")
+    return train.repartition(partitions or training_partitions(train.count()), "customer_id").sortWithinPartitions("customer_id")
 
 
 def fit_logistic(
-    train: DataFrame, max_iter: int = LOGISTIC["maxIter"], c: float = LOGISTIC["C"], partitions: int = TRAIN_PARTITIONS,
+    train: DataFrame, max_iter: int = LOGISTIC["maxIter"], c: float = LOGISTIC["C"], partitions: int | None = None,
 ) -> LogisticRegressionModel:
     """L2-penalised, class-balanced. The penalty 1 / (C * sum of weights) is the one of a summed loss."""
     weighted = with_class_weights(laid_out(train, partitions))
@@ -42,7 +50,7 @@ def fit_logistic(
 
 
 def fit_boosted(
-    train: DataFrame, trees: int = BOOSTED["maxIter"], seed: int = SEED, partitions: int = TRAIN_PARTITIONS,
+    train: DataFrame, trees: int = BOOSTED["maxIter"], seed: int = SEED, partitions: int | None = None,
 ) -> GBTClassificationModel:
     estimator = GBTClassifier(**{**BOOSTED, "maxIter": trees}, seed=seed, cacheNodeIds=True, checkpointInterval=10)
     return estimator.fit(laid_out(train, partitions))

@@ -104,6 +104,21 @@ def test_the_fit_does_not_depend_on_the_files(fitted):
     assert (fits[0] == fits[1]).all() and (fits[0] == fits[2]).all()
 
 
+def test_training_partitions_follow_the_rows():
+    assert [models.training_partitions(n, 100) for n in (0, 1, 100, 101, 200, 201, 400, 401)] == [1, 1, 1, 2, 2, 4, 4, 8]
+
+
+def test_logistic_fit_is_optimal(fitted):
+    """The gradient of the summed, balanced, penalised loss is zero at the fit."""
+    rows = fitted.balanced.select("label", "features").collect()
+    x, y = np.array([r["features"].toArray() for r in rows]), np.array([r["label"] for r in rows], dtype=float)
+    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
+    beta = np.array(fitted.logistic.coefficients)
+    off = weight * (1 / (1 + np.exp(-(x @ beta + fitted.logistic.intercept))) - y)
+    gradient = np.append(x.T @ off + beta / models.LOGISTIC["C"], off.sum())
+    assert np.abs(gradient).max() < 1e-3 * np.abs(weight[:, None] * x).sum(axis=0).max()
+
+
 def test_linear_attributions_add_up(fitted):
     means = explain.feature_means(fitted.balanced, fitted.names)
     beta = np.array(fitted.logistic.coefficients)

@@ -245,6 +245,14 @@ def _(src):
     return long_vectors(features.apply_preprocessor(t.preprocessor, t.split), "customer_id", "label", "split")
 
 
+@query("preprocess_saved", _VECTORS + f"select customer_id, label, split, {_UNNESTED} from vectors")
+def _(src):
+    """The fitted preprocessor saved, loaded and applied."""
+    t = trained(src)
+    loaded = models.load_preprocessor(models.save_model(t.preprocessor, scratch_path(src.spark, "preprocessor")))
+    return long_vectors(features.apply_preprocessor(loaded, t.split), "customer_id", "label", "split")
+
+
 @query("transformer_save_load")
 def _(src):
     """Save the fitted preprocessor and the better model, load both, transform with the loaded ones."""
@@ -394,6 +402,17 @@ def _(src):
     return rounded(metrics.roc_auc(rated(src)), "roc_auc")
 
 
+@query("run_log_recorded", _RATED + f"""select 'recorded_score' run_name, '50' threshold,
+    round({_auc('rated', 'score')}, 6) roc_auc""")
+def _(src):
+    """The recorded churn score logged as a run and read back."""
+    path = scratch_path(src.spark, "runs")
+    auc = metrics.roc_auc(rated(src)).first()["roc_auc"]
+    models.log_run(src.spark, path, "recorded_score", {"threshold": 50}, auc)
+    runs = models.read_runs(src.spark, path)
+    return rounded(runs.select("run_name", F.col("params")["threshold"].alias("threshold"), "roc_auc"), "roc_auc")
+
+
 @query("roc_curve", _RATED + """select cast('infinity' as double) threshold, 0.0::double fpr, 0.0::double tpr union all
     select distinct score, round(sum(1 - label) over w / (select sum(1 - label) from rated), 6),
         round(sum(label) over w / (select sum(label) from rated), 6)

@@ -313,6 +313,9 @@ def language_model_scores(
             if size == 1:
                 # As many texts begin as end.
                 begins = int(totals[np.searchsorted(grams, hashes([END]))[0]])
+        # What the walk doesn't read is given back before its tables are made.
+        del row, runs, right, grams, totals, places
+        block.grams = []
         base = np.log10((found[1] + 0.5) / (total + 0.5 * (vocabulary + 1)))
         starts = np.cumsum(block.lengths) - block.lengths
         return pa.table({

@@ -30,6 +30,9 @@ MEASURES = {
     "chars_per_word": ("word_chars / n_words", 0.5, True),
 }
 
+#: Columns that the rules add.
+RESULTS = ("word_chars", "n_symbols", "n_words", "n_lines", "n_dup_lines", "n_repeat_words", *MEASURES, "base_failed", "kept")
+
 
 def _words(text: Column) -> Column:
     """Runs of characters other than white space."""
@@ -105,14 +108,15 @@ def quality_rules(
     pass it are kept if no measure is beyond the fences of their language and source (null is a language and a source
     like any other). Null and empty texts have no words and fail. Repeated rows count each; an empty table gives no rows.
     Measured rows are stored once, so texts are measured once; a caller that does not need the text back leaves it
-    out of `keep`.
+    out of `keep`. Input columns called like a result give way to it.
     """
-    keep = docs.columns if keep is None else keep
-    source = docs.select(*dict.fromkeys([*keep, "text", "lang", "source"]))
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
+    # Named by place, so that no kept column is called like one that is made.
+    own = {c: f"_in{i}" for i, c in enumerate(keep)}
+    source = docs.select(*[F.col(f"`{c}`").alias(name) for c, name in own.items()], "text", "lang", "source")
     rows = with_measures(measured(source)).withColumn(
         "base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words"))
-    made = [c for c in rows.columns if c not in source.columns]
-    rows = store(rows.select(*dict.fromkeys([*keep, "lang", "source", *made])), "measured")
+    rows = store(rows.select(*own.values(), "lang", "source", *RESULTS[:-1]), "measured")
     groups = store(sketches(rows), "sketches")
     limits = fences(groups, group_rows, reach)
     if groups.count() <= BROADCAST_GROUPS:
@@ -123,4 +127,5 @@ def quality_rules(
     passed = F.lit(True)
     for name in MEASURES:
         passed &= F.coalesce(F.col(name).between(F.col(f"{name}_low"), F.col(f"{name}_high")), F.lit(True))
-    return joined.withColumn("kept", ~F.col("base_failed") & passed).select(*keep, *made, "kept")
+    return joined.withColumn("kept", ~F.col("base_failed") & passed).select(
+        *[F.col(name).alias(c) for c, name in own.items()], *RESULTS)

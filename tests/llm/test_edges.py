@@ -337,11 +337,97 @@ def test_classifier_without_both_classes_accepts_all(spark, odd):
     assert all(r["accepted"] for r in cotraining.quality_classifier(odd, labels).collect())
 
 
-def test_each_round_hands_over_new_documents(monkeypatch):
-    made, fitted, fit = np.random.default_rng(14), [], cotraining.fit
-    quality = np.array([0, 1] * 50 + [-1] * 400)
-    side = np.where(quality < 0, made.integers(0, 2, 500), quality)
-    x = (side * 8.0 - 4)[:, None] + made.normal(size=(500, 1))
-    monkeypatch.setattr(cotraining, "fit", lambda a, b, **o: fitted.append(len(a)) or fit(a, b, **o))
-    cotraining.cotrain(x, x, quality, np.arange(500) % 4 < 2, rounds=4)
-    assert fitted[0:10:2] == [50, 70, 90, 110, 130]
+def pool_of(spark, made, size, labelled=400):
+    """Documents of two kinds that both views tell apart with errors, and labels of the first ones."""
+    data, labels = [], []
+    for i in range(labelled + size):
+        good = made.random() < 0.7
+        words = made.choice(["plain", "words", "of", "some", "prose"] if made.random() < 0.9 and good else ["$$$", "WIN", "!!"], 40)
+        source = made.choice(["a", "b", "c"], p=[0.6, 0.3, 0.1] if good else [0.1, 0.2, 0.7])
+        data.append((i, " ".join(words), "en", str(source), int(made.integers(100, 900) if good else made.integers(10, 300))))
+        if i < labelled:
+            labels.append((i, int(good)))
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    return docs, spark.createDataFrame(labels, LABELS)
+
+
+def plain_cotraining(ids, quality, views, rounds):
+    """Co-training of arrays in memory, with whole rankings."""
+    held = cotraining.held_back(ids, np.where(quality < 0, 1, quality)) & (quality >= 0)
+    train, pool, taught = (quality >= 0) & ~held, np.flatnonzero(quality < 0), [{}, {}]
+    rate = quality[train].mean()
+
+    def fitted(v):
+        at = [*np.flatnonzero(train), *taught[v]]
+        return cotraining.fit(views[v][at], np.array([*quality[train], *taught[v].values()], dtype=float))
+
+    for _ in range(rounds):
+        models, given = (fitted(0), fitted(1)), [{}, {}]
+        for v in (0, 1):
+            left = [i for i in pool if i not in taught[1 - v]]
+            margin = dict(zip(left, models[v].margin(views[v][left])))
+            ranked, most = sorted(left, key=margin.get), int(len(pool) * cotraining.TAUGHT_SHARE)
+            bad, good = int(most * (1 - rate)), int(most * rate)
+            # What ties with the last one goes with it.
+            given[1 - v] = {i: 0 for i in left if bad and margin[i] <= min(margin[ranked[bad - 1]], -np.log(9))}
+            given[1 - v] |= {i: 1 for i in left if good and margin[i] >= max(margin[ranked[-good]], np.log(9))}
+        for v in (0, 1):
+            taught[v] |= given[v]
+    return fitted(0), fitted(1), taught
+
+
+def test_cotraining_in_spark_is_that_of_the_whole_pool(spark, monkeypatch):
+    docs, labels = pool_of(spark, np.random.default_rng(3), 2000)
+    stored = cotraining.stored_features(docs, labels)
+    found = stored.toArrow().sort_by("doc_id")
+    ids, quality = found["doc_id"].to_pylist(), np.asarray(found["quality"])
+    assert len(ids) == 2400 and (quality >= 0).sum() == 400
+    content, meta, taught = plain_cotraining(ids, quality, cotraining._whole(found), 3)
+    drawn, draw = [], cotraining._taught
+    monkeypatch.setattr(cotraining, "_taught", lambda *a: drawn.append(draw(*a)) or drawn[-1])
+    got = cotraining.cotrain(stored, rounds=3)
+    assert [sum(t[v] for t, _ in drawn) for v in (0, 1)] == [len(taught[1]), len(taught[0])]
+    assert all(min(t) > 0 for t, _ in drawn)
+    for a, b in ((content, got.content), (meta, got.metadata)):
+        assert np.allclose(a.weights, b.weights, rtol=1e-5, atol=1e-6)
+
+
+def test_a_rare_source_teaches_and_what_is_fitted_on_is_bounded(spark, monkeypatch):
+    docs, labels = pool_of(spark, np.random.default_rng(4), 4000)
+    rare = spark.createDataFrame(
+        [(10_000 + i, "plain words of some prose " * 8, "en", "rare", 800) for i in range(12)], docs.schema)
+    stored, drawn, draw = cotraining.stored_features(docs.union(rare), labels), [], cotraining._taught
+    monkeypatch.setattr(cotraining, "_taught", lambda *a: drawn.append(draw(*a)) or drawn[-1])
+    # Every sure document is handed over: thousands, of which some 80 are drawn, 14 good ones of each source.
+    monkeypatch.setattr(cotraining, "ranks", lambda pool, left, rate: (left // 2, left // 2))
+    assert cotraining.cotrain(stored, rounds=2, most_taught=80) is not None
+    assert max(len(y) for _, d in drawn for _, y in d) <= 160 and drawn[0][0][0] > 1500
+    place = 16 + int(cotraining.places(["en"], ["rare"])[1][0])
+    assert sum(d[0][0][:, place].sum() for _, d in drawn if len(d[0][1])) == 12
+
+
+def test_levels_share_out():
+    assert cotraining.level([5, 100, 100], 45) == 20
+    assert cotraining.level([5, 6], 45) == 6
+    assert cotraining.level([], 45) == 0
+    assert cotraining.level([10, 10], 10) == 5
+
+
+def test_columns_called_like_results(spark):
+    """Every column that the rules and the classifier read or make inside is an input column as well."""
+    docs, labels = pool_of(spark, np.random.default_rng(5), 300)
+    longer = F.concat_ws(" ", "text", F.transform(F.sequence(F.lit(1), F.lit(60)), lambda i: F.concat(F.lit("w"), i)))
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 7 > 0, longer).otherwise(F.col("text")))
+    names = ["kept", "n_words", "word_chars", "n_lines", "base_failed", "symbols_per_char", "_words", "_at", "_lang", "_source",
+             "lang_rows", "symbols_per_char_low", "accepted", "p_content", "p_metadata", "quality_score", "_whole_text", "_l",
+             "quality", "content", "src", "given0", "margin0", "view", "rank", "c0", "rows", "one"]
+    more = docs.select("*", *[F.lit(f"own {c}").alias(c) for c in names])
+    for operator, key in ((lambda d: quality_rules(d, group_rows=20), "kept"),
+                          (lambda d: cotraining.quality_classifier(d, labels), "accepted")):
+        plain, got = ({r["doc_id"]: r for r in operator(d).collect()} for d in (docs, more))
+        assert len(got) == 700 and len(set(got[0].__fields__)) == len(got[0].__fields__)
+        made = [c for c in plain[0].__fields__ if c not in docs.columns]
+        assert key in made and len({r[key] for r in plain.values()}) == 2
+        for i, r in got.items():
+            assert [r[c] for c in plain[0].__fields__] == [plain[i][c] for c in plain[0].__fields__]
+            assert all(r[c] == f"own {c}" for c in names if c not in made)

@@ -3,17 +3,21 @@
 First pass: each record goes to one of as many buckets as keep a bucket small enough for a task's memory, by a seeded hash
 of its row. Second pass: each bucket is put in order, shuffled (Fisher-Yates, the built-in shuffle of arrays with a seed)
 and dealt out. The buckets laid end to end are one random order of all records; shards are equal runs of it, so their
-numbers of rows differ by one at most. Only built-in functions are used.
+numbers of rows differ by one at most. A task works on a run of neighbouring buckets, one after another, and so holds a
+run of that order: it writes its rows to the one or few shards they belong to, without another shuffle. Only built-in
+functions are used.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.session import store
+from holdfast.session import store, wide_parallelism
 
 SEED = 20
 #: Bytes of records that are shuffled in one task's memory.
 BUCKET_BYTES = 8 << 20
+#: Neighbouring buckets that one task works on, where there are enough for all tasks.
+TASK_BUCKETS = 16
 #: Fixed part of a record's size.
 RECORD_BYTES = 16
 #: Buckets whose counts are added up in one group.
@@ -46,11 +50,16 @@ def shuffled(rows: DataFrame, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES
     scattered = rows.withColumn("_key", key).withColumn(
         "bucket", F.pmod(F.xxhash64("_key", F.lit(seed)), F.lit(buckets)))
     stored = store(scattered, "scattered")
-    starts = bucket_starts(stored)
-    held = stored.repartition(buckets, "bucket").groupBy("bucket").agg(
-        F.array_sort(F.collect_list(F.struct("_key", *columns))).alias("held"))
-    dealt = held.join(starts.hint("shuffle_hash"), "bucket").select(
-        "start", F.posexplode(F.shuffle("held", F.lit(seed))).alias("at", "row"))
+    run = max(1, min(TASK_BUCKETS, buckets // wide_parallelism(rows.sparkSession)))
+    record = F.struct("_key", *columns)
+    # The starts travel with the records, as rows without one, so they need no join.
+    records = stored.select("bucket", record.alias("record"), F.lit(None).cast("long").alias("start"))
+    empty = F.lit(None).cast(records.schema["record"].dataType).alias("record")
+    both = records.union(bucket_starts(stored).select("bucket", empty, "start")).withColumn(
+        "task", F.expr(f"cast(bucket div {run} as int)"))
+    held = both.repartitionById(-(-buckets // run), F.col("task")).groupBy("task", "bucket").agg(
+        F.array_sort(F.collect_list("record")).alias("held"), F.max("start").alias("start"))
+    dealt = held.select("start", F.posexplode(F.shuffle("held", F.lit(seed))).alias("at", "row"))
     return dealt.select(
         *[F.col("row")[c].alias(c) for c in columns], (F.col("start") + F.col("at")).alias("position")), stored.count()
 
@@ -77,7 +86,8 @@ def shards(
 
 
 def write_shards(docs: DataFrame, path: str, number: int = 40, **options) -> None:
-    """Write each shard to a folder of its own, its rows in the order of their slots."""
-    placed = shards(docs, number, **options)
-    placed.repartitionByRange(number, "shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy(
-        "shard").parquet(path)
+    """Write each shard to a folder of its own: its files in the order of their names hold its rows in that of their slots.
+
+    Rows are written by the tasks that shuffled them, so a shard may be larger than any task.
+    """
+    shards(docs, number, **options).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

@@ -6,6 +6,8 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -282,6 +284,33 @@ def test_shards_are_whole_even_and_written(spark, odd, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == odd.count()
 
 
+def test_shards_are_written_where_they_are_shuffled(spark, tmp_path):
+    """Runs of buckets: one order without gaps, files of a shard in its order, and few of them."""
+    docs = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("x"), F.pmod(F.col("id"), F.lit(50)).cast("int")).alias("text"))
+    placed = shards(docs, 7, bucket_bytes=1 << 10)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("Union")[0]
+    assert "Join" not in above and above.count("Exchange") == 1
+    tasks = placed.rdd.getNumPartitions()
+    assert 8 < tasks <= 30  # of some 240 buckets
+    write_shards(docs, str(tmp_path / "out"), 7, bucket_bytes=1 << 10)
+    want = {s: [] for s in range(7)}
+    for r in placed.select("doc_id", "shard", "slot").orderBy("shard", "slot").collect():
+        assert r["slot"] == len(want[r["shard"]])
+        want[r["shard"]].append(r["doc_id"])
+    assert sorted(i for own in want.values() for i in own) == list(range(6000))
+    assert {len(own) for own in want.values()} == {857, 858}
+    assert want[0][:50] != sorted(want[0][:50])
+    total = 0
+    for shard, ids in want.items():
+        files = sorted((tmp_path / "out" / f"shard={shard}").glob("*.parquet"))
+        read = pa.concat_tables([pq.ParquetFile(f).read() for f in files])
+        assert read["slot"].to_pylist() == list(range(len(ids)))
+        total += len(files)
+    assert total <= tasks + 7
+
+
 def test_rules_follow_each_group(spark):
     plain = [(i, " ".join(f"w{(i * 31 + j * j) % 997}" for j in range(80)), "en", "plain") for i in range(150)]
     marked = [(1000 + i, " ".join(f"w{(i * 17 + j * j) % 991}#" for j in range(80)), "en", "marked") for i in range(150)]

@@ -14,11 +14,12 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 
 from holdfast.llm.common import map_texts
+from holdfast.llm.license_texts import TEXTS
 
 # The phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Common license notices.
+# Short license statements; whole texts and notices are in license_texts.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License<<beginOptional>>, Version<<endOptional>> 2.0"
         "<<beginOptional>> (the \"License\")<<endOptional>>",
@@ -35,7 +36,7 @@ TEMPLATES = {
     "bsd-text": "Redistribution and use in source and binary forms, with or without modification, are permitted",
     "copyright": "Copyright<<beginOptional>> (c)<<endOptional>> <<var;match=\"[0-9]{4}\";words=2>>"
         " <<var;match=\".+\";words=6>> All rights reserved",
-}
+} | TEXTS
 
 #: Bytes that belong to words; every byte of a character beyond ASCII does.
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -252,6 +253,67 @@ def test_templates():
         license_scan.Scanner({}, {"x": '<<var;match=".+";words=2>> license'})
 
 
+def as_expression(template):
+    """The template as a regular expression over its words, each followed by a space."""
+    out = ""
+    for part in re.split("(<<.*?>>)", template, flags=re.S):
+        if found := re.fullmatch('<<var;match="(.*)";words=(.*)>>', part):
+            out += "(?:(?:%s) ){1,%s}" % ("[^ ]+" if found[1] == ".+" else found[1], found[2])
+        elif part.startswith("<<"):
+            out += "(?:" if part == "<<beginOptional>>" else ")?"
+        else:
+            out += "".join(re.escape(w) + " " for w in re.findall("[a-z0-9]+", part.lower()))
+    return re.compile(out)
+
+
+def written(template, made):
+    """A text that the template accepts, as words."""
+    out, dropped = [], []
+    for part in re.split("(<<.*?>>)", template, flags=re.S):
+        if part == "<<beginOptional>>":
+            dropped.append(made.random() < 0.5)
+        elif part == "<<endOptional>>":
+            dropped.pop()
+        elif any(dropped):
+            continue
+        elif found := re.fullmatch('<<var;match="(.*)";words=(.*)>>', part):
+            made_up = {".+": ["the", "authors", "acme"], "[0-9]+": ["2", "30"], "[0-9]{4}": ["1999", "2024"]}[found[1]]
+            out += [made.choice(made_up) for _ in range(made.randint(1, int(found[2])))]
+        else:
+            out += re.findall("[a-z0-9]+", part.lower())
+    return out
+
+
+@pytest.mark.parametrize("label", license_scan.TEMPLATES)
+def test_automata_accept_what_expressions_do(label):
+    """Accepted texts, and texts with a word changed, left out, doubled or moved, against a regular expression."""
+    template, made = license_scan.TEMPLATES[label], random.Random(label)
+    automaton, expression = license_scan.compiled(template), as_expression(template)
+    verdicts = Counter()
+    for turn in range(120):
+        words = written(template, made)
+        assert automaton.run([w.encode() for w in words], 0) == len(words)
+        at = made.randrange(len(words))
+        changed = made.choice([words[:at] + ["other"] + words[at + 1:], words[:at] + words[at + 1:], words[:at] + words[at:at + 1] * 2
+                               + words[at + 1:], words[at:] + words[:at], words[:at] + ["7"] + words[at:]])
+        got = automaton.run([w.encode() for w in changed] + [b"end"], 0) if changed else None
+        want = max((i for i in range(1, len(changed) + 2) if expression.fullmatch(
+            "".join(w + " " for w in [*changed, "end"][:i]))), default=None)
+        assert got == want, changed
+        verdicts[got is None] += 1
+    assert verdicts[True] > 20
+
+
+def test_whole_license_texts():
+    scan = license_scan.Scanner(license_scan.PHRASES, license_scan.TEMPLATES).scan
+    made = random.Random(8)
+    for label, template in license_scan.TEXTS.items():
+        text = "A file. " + " ".join(written(template, made)) + " End of it."
+        found = scan(text.encode())
+        assert label in found[5].split(",") and found[6] > 0.5
+    assert "cc-by-notice" not in scan(b"This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 License")[5].split(",")
+
+
 def test_texts_without_any_statement(spark):
     data = spark.createDataFrame([(i, "no statement here") for i in range(5)], "doc_id long, text string").coalesce(1)
     found = license_scan.license_scan(data, spans=True).collect()

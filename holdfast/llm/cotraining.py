@@ -30,6 +30,8 @@ MOST_TAUGHT = 4_000
 ROUNDS = 4
 #: Share of the pool that a view labels in a round, and the probability it needs for that.
 TAUGHT_SHARE, CONFIDENCE = 0.05, 0.9
+#: Rows whose features are made into matrices at once.
+JUDGED_ROWS = 1_000
 #: Ranks of margins are found to one in this many of the pool.
 RANK_ACCURACY = 10_000
 #: Share of the good documents that has to stay.
@@ -179,7 +181,7 @@ def _judged(pool: DataFrame, history: list[Round], models: tuple[Logistic, Logis
     kind = pool.schema["doc_id"].dataType.simpleString()
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, JUDGED_ROWS) for b in batches for i in range(0, b.num_rows, JUDGED_ROWS)):
             views = _matrices(batch)
             given = [pa.array(handed_over(history, v, x), pa.int32()) for v, x in enumerate(views)]
             margins = [pa.array(models[v].margin(x) if models else np.zeros(len(x))) for v, x in enumerate(views)]

@@ -200,6 +200,8 @@ def placed(rows: DataFrame, plan: dict[int, Plan]) -> DataFrame:
     names = [c for c in rows.columns if c != "number"]
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Workers that coded texts before give back the vocabulary and the table of words while the rows are sorted.
+        coder.cache_clear()
         for batch in batches:
             lengths, numbers = (np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("length", "number"))
             sequences, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)

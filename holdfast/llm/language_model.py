@@ -30,8 +30,10 @@ from holdfast.session import store
 
 ORDER = 2
 PRIOR_MASS = 4.0
-#: Bytes of text that are scored together.
+#: Bytes of text that are scored together, and their tokens at most: the arrays of a block follow its tokens, and short
+#: frequent words put many more of them into the same bytes.
 BLOCK_BYTES = 16 << 20
+BLOCK_TOKENS = 1 << 21
 #: Bytes of n-grams that one task counts.
 PART_BYTES = 16 << 20
 
@@ -70,7 +72,7 @@ def mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Columns doc_id, text, held_out to one row per block: its documents, and their tokens as numbers into its words."""
 
     def row(number: int, held: list) -> pa.RecordBatch:
@@ -93,14 +95,17 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns.values(), types)], names=list(columns))
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, number = [], 0, 0
+        held, size, count, number = [], 0, 0, 0
         for batch in batches:
             for part, texts in slices(batch):
-                held += zip(part.column(0).to_pylist(), part.column(2).to_pylist(), texts)
-                size += sum(map(len, texts))
-                if size >= block_bytes:
-                    yield row(number, held)
-                    held, size, number = [], 0, number + 1
+                for item in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), texts):
+                    held.append(item)
+                    size += len(item[2])
+                    # Its words and the end.
+                    count += len(item[2].split()) + 1
+                    if size >= block_bytes or count >= block_tokens:
+                        yield row(number, held)
+                        held, size, count, number = [], 0, 0, number + 1
         if held:
             yield row(number, held)
 
@@ -280,7 +285,7 @@ class Automaton:
 
 def language_model_scores(
     docs: DataFrame, order: int = ORDER, mass: float = PRIOR_MASS, block_bytes: int = BLOCK_BYTES,
-    part_bytes: int = PART_BYTES,
+    part_bytes: int = PART_BYTES, block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """Scores of all texts by the automaton learned from those with a false `held_out`; columns doc_id, text, held_out.
 
@@ -291,7 +296,7 @@ def language_model_scores(
     """
     docs = docs.withColumn("held_out", F.coalesce("held_out", F.lit(False)))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    stored = store(blocks(docs, block_bytes), "lm-blocks")
+    stored = store(blocks(docs, block_bytes, block_tokens), "lm-blocks")
     sums = stored.agg(F.sum("n_tokens").alias("n"), F.sum("n_train").alias("train")).first()
     tokens, total = sums["n"] or 0, sums["train"] or 0
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -394,6 +394,22 @@ def test_language_model_in_small_blocks(spark):
     assert known[1]["score"] > known[1]["base_score"]
 
 
+def test_language_model_blocks_are_bounded_by_tokens(spark):
+    """Short frequent words fill a block by tokens long before its bytes: memory follows the tokens."""
+    from holdfast.llm.language_model import blocks
+
+    texts = ["a " * 30, "a b a b a b", "a", "b a b"] * 10
+    data = spark.createDataFrame([(i, t, i % 4 == 1) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    made = blocks(data.coalesce(1), block_bytes=1 << 20, block_tokens=16).collect()
+    # A block closes with the text that reaches the bound; one text may pass it alone.
+    assert len(made) > 1 and all(r["n_tokens"] - r["lengths"][-1] < 16 for r in made)
+    key = lambda r: r["doc_id"]
+    whole = sorted(language_model_scores(data.coalesce(1), order=2, block_tokens=1 << 20).collect(), key=key)
+    small = sorted(language_model_scores(data.coalesce(1), order=2, block_tokens=16).collect(), key=key)
+    for a, b in zip(whole, small, strict=True):
+        assert a["score"] == pytest.approx(b["score"]) and a["n_known"] == b["n_known"]
+
+
 @pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_language_model_walk_is_the_closed_formula(spark, order):
     rng = random.Random(order)

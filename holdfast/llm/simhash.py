@@ -111,7 +111,8 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
     filed = filed.select("key", F.col("print").alias("a"))
     sought = sought.select("key", F.col("print").alias("b"))
     close = F.expr(f"a < b and bit_count(a ^ b) <= {MOST_ERRORS}")
-    return filed.join(sought, (filed["key"] == sought["key"]) & close).select("a", "b").distinct()
+    # Spark takes both sides to have as many rows as there are fingerprints and would broadcast up to 108 times as many.
+    return filed.join(sought.hint("merge"), (filed["key"] == sought["key"]) & close).select("a", "b").distinct()
 
 
 def fingerprint_groups(docs: DataFrame, size: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -157,6 +157,15 @@ def test_all_close_fingerprints_are_linked(spark):
     assert {tuple(r) for r in links} == expected and len(links) == len(expected)
 
 
+def test_keys_that_are_looked_up_are_not_broadcast(spark, tmp_path):
+    # A small table whose size Spark knows: 20,000 fingerprints, some 1.7 million keys.
+    spark.range(20_000).select(F.xxhash64("id").alias("print")).write.parquet(str(tmp_path / "prints"))
+    links = simhash.fingerprint_links(spark.read.parquet(str(tmp_path / "prints")))
+    links.collect()
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(1000, i) for i in range(1001, 1300)]

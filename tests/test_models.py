@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -104,6 +105,18 @@ def test_the_fit_does_not_depend_on_the_files(fitted):
     assert (fits[0] == fits[1]).all() and (fits[0] == fits[2]).all()
 
 
+def test_trees_are_those_of_kept_node_ids(fitted):
+    ours = models.fit_boosted(fitted.balanced, trees=6)
+    kept = GBTClassifier(**{**models.BOOSTED, "maxIter": 6}, seed=42, cacheNodeIds=True).fit(models.laid_out(fitted.balanced))
+    assert [t.toDebugString.split("\n")[1:] for t in ours.trees] == [t.toDebugString.split("\n")[1:] for t in kept.trees]
+    assert list(ours.featureImportances) == list(kept.featureImportances)
+
+
+def test_a_million_training_rows_are_not_cut_into_small_tasks():
+    # 60 times the customers of sf 0.1 are 1,081,548 balanced rows; each level of 300 trees runs a task per partition.
+    assert models.training_partitions(1_081_548) == 32
+
+
 def test_training_partitions_follow_the_rows():
     assert [models.training_partitions(n, 100) for n in (0, 1, 100, 101, 200, 201, 400, 401)] == [1, 1, 1, 2, 2, 4, 4, 8]
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from holdfast.catalog.modelling import trained
@@ -163,6 +164,32 @@ def test_sampled_attributions_of_a_linear_model_are_exact(fitted):
     assert both.agg(F.max("error")).first()[0] < 1e-6
 
 
+def test_effects_by_leaves_are_those_of_scored_hybrids(spark, fitted):
+    """Against scoring every step, with a customer that comes twice and one without a key."""
+    model = models.fit_boosted(fitted.balanced, trees=7)
+    background = explain.background_rows(fitted.prepared.filter("split = 'train'"), 3)
+    rows = fitted.test.select("customer_id", vector_to_array("features").alias("x")).orderBy("customer_id").limit(6)
+    other = rows.orderBy(F.desc("customer_id")).limit(1)
+    rows = rows.unionByName(other).unionByName(other.select(F.lit(None).cast("string").alias("customer_id"), F.reverse("x").alias("x")))
+    width = len(fitted.names)
+    slow = explain.pair_effects(model, rows.repartition(2, "customer_id"), background, width, 3, 6).groupBy(
+        "customer_id", "base", "idx").agg(F.sum("phi"), F.sum(F.col("phi") ** 2)).collect()
+    want = {(r[0], r[1] * width + r[2]): r[3:] for r in slow}
+    fast = explain._pair_sums(model, rows.repartition(2, "customer_id"), background, width, 3, 6, 42).collect()
+    found = {(r["customer_id"], i): (s, ss) for r in fast for i, (s, ss) in enumerate(zip(r["s"], r["ss"]))}
+    assert len(fast) == 7 and found.keys() == want.keys()
+    assert all(found[k] == pytest.approx(tuple(want[k]), abs=1e-11) for k in want)
+    assert sum(abs(s) > 1e-3 for s, _ in found.values()) > 20
+
+
+def test_the_hybrids_of_trees_are_not_made(fitted, monkeypatch):
+    # They were 46 rows for each of 16 permutations of a customer.
+    monkeypatch.setattr(explain, "pair_effects", None)
+    model = models.fit_boosted(fitted.balanced, trees=2)
+    background = explain.background_rows(fitted.prepared.filter("split = 'train'"), 2)
+    assert explain.sampled_shapley(model, fitted.test, background, fitted.names).count() == fitted.test.count() * len(fitted.names)
+
+
 def test_sampled_attributions_reach_their_target(fitted):
     """Of a few trees: the stated errors are within the target, and the values agree with four times as many rounds."""
     model = models.fit_boosted(fitted.balanced, trees=5)

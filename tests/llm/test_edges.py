@@ -12,6 +12,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from holdfast.llm import cotraining, golay, license_scan, packing, simhash, topk
 from holdfast.llm.byte_bpe import byte_bpe, encode, safe_chunks
 from holdfast.llm.components import components
@@ -166,6 +167,16 @@ def test_keys_that_are_looked_up_are_not_broadcast(spark, tmp_path):
     assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
 
 
+def test_the_near_duplicate_stage_broadcasts_no_keys(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(i, f"text {i} of {i * i}") for i in range(300)], "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    seen = []
+    monkeypatch.setattr(simhash, "components", lambda links: seen.append(links) or components(links))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    assert corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).count() > 0
+    seen[0].collect()
+    assert "BroadcastExchange" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_of_chains_stars_and_cycles(spark):
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(1000, i) for i in range(1001, 1300)]
